@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillweave.llm import common, topk
+from quillweave.llm import common, secrets, topk
 
 
 def op1_topk(spark, sf_dir):
@@ -12,7 +12,12 @@ def op1_topk(spark, sf_dir):
     return topk.exact_top_k(vectors, vectors.where(F.col("id") % 50 == 0))
 
 
+def op4_secrets(spark, sf_dir):
+    return secrets.digest(secrets.scan(common.read(spark, sf_dir, "documents", "doc_id", "text", "source")))
+
+
 SQL = {
+    "op4_secrets": secrets.oracle(),
     "op1_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
                    FROM embeddings
@@ -25,4 +30,4 @@ SQL = {
         WHERE rank <= 5""",
 }
 
-QUERIES = {f.__name__: f for f in (op1_topk,)}
+QUERIES = {f.__name__: f for f in (op1_topk, op4_secrets)}
