@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from quillweave.llm import common, secrets, topk
+from quillweave.llm import bpe, common, packing, secrets, topk
+
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_topk(spark, sf_dir):
@@ -16,6 +19,14 @@ def op4_secrets(spark, sf_dir):
     return secrets.digest(secrets.scan(common.read(spark, sf_dir, "documents", "doc_id", "text", "source")))
 
 
+def op7_bpe(spark, sf_dir):
+    return bpe.round_trip(common.read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
+
+
+def op10_packing(spark, sf_dir):
+    return packing.pack(common.read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
+
+
 SQL = {
     "op4_secrets": secrets.oracle(),
     "op1_topk": """
@@ -30,4 +41,4 @@ SQL = {
         WHERE rank <= 5""",
 }
 
-QUERIES = {f.__name__: f for f in (op1_topk, op4_secrets)}
+QUERIES = {f.__name__: f for f in (op1_topk, op4_secrets, op7_bpe, op10_packing)}
