@@ -124,9 +124,15 @@ def text_column(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word (bytes other than 0x20 and 0x09-0x0D) of the rows that offsets mark in raw."""
-    solid = ~_WHITE[raw]
+NOT_WHITE = ~_WHITE
+#: Digits, ASCII letters and all bytes of letters beyond ASCII.
+ALNUM = np.array([chr(i).isalnum() if i < 128 else True for i in range(256)])
+
+
+def words(raw: np.ndarray, offsets: np.ndarray, of: np.ndarray = NOT_WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word (a run of the bytes that `of` marks; by default all but 0x20 and 0x09-0x0D) of
+    the rows that offsets mark in raw."""
+    solid = of[raw]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     inner = offsets[(offsets > 0) & (offsets < len(raw))]

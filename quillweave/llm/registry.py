@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quillweave.llm import bpe, common, packing, secrets, topk
+from quillweave.llm import bpe, common, langid, packing, secrets, topk, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -15,10 +15,25 @@ def op1_topk(spark, sf_dir):
     return topk.exact_top_k(vectors, vectors.where(F.col("id") % 50 == 0))
 
 
+def op3_toxicity(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = common.read(spark, sf_dir, "labels", "doc_id", "toxic").where(common.fold("doc_id", 3) != 1)
+    weights = toxicity.fit(docs.withColumnRenamed("doc_id", "id"), labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label")))
+    found = toxicity.score(docs, weights)
+    return found.select(F.col("id").alias("doc_id"), (common.fold("id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_secrets(spark, sf_dir):
     return secrets.digest(secrets.scan(common.read(spark, sf_dir, "documents", "doc_id", "text", "source")))
 
 
+def op5_langid(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    train = docs.where(common.fold("doc_id", 4) != 2).select(F.col("doc_id").alias("id"), "text", "lang")
+    found = langid.predict(docs, langid.fit(train))
+    return found.select(F.col("id").alias("doc_id"), (common.fold("id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_bpe(spark, sf_dir):
     return bpe.round_trip(common.read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
@@ -41,4 +56,4 @@ SQL = {
         WHERE rank <= 5""",
 }
 
-QUERIES = {f.__name__: f for f in (op1_topk, op4_secrets, op7_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_topk, op3_toxicity, op4_secrets, op5_langid, op7_bpe, op10_packing)}
