@@ -14,8 +14,8 @@ DIMS = 1 << 20
 #: The most labelled documents that the model is fitted on: those whose ids hash lowest.
 SAMPLE = 24_000
 EPOCHS = 2
-#: Bytes of a word's stem, which counts as a word of its own beside it.
-STEM = 5
+#: Bytes of a word's stems, each of which counts as a word of its own beside it.
+STEMS = (4, 5, 6)
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.7, 0.1
 
 
@@ -26,8 +26,11 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     one = range_hashes(low, start, end)
-    stem = range_hashes(low, start, np.minimum(end, start + STEM)) ^ U64(0x5EED)
-    rows, keys = [row, row], [one, stem]
+    rows, keys = [row], [one]
+    for size in STEMS:
+        long = end - start >= size
+        rows.append(row[long])
+        keys.append(range_hashes(low, start[long], start[long] + size) ^ U64(0x5EED))
     with np.errstate(over="ignore"):
         for gap in (1, 2):
             same = row[gap:] == row[:-gap]
