@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quillweave.llm import bpe, common, langid, packing, secrets, topk, toxicity
+from quillweave.llm import ann, bpe, common, langid, packing, secrets, topk, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -34,6 +34,11 @@ def op5_langid(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), (common.fold("id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_ann(spark, sf_dir):
+    vectors = ann.usable(common.read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return ann.search(vectors, vectors.where(F.col("id") % 50 == 0))
+
+
 def op7_bpe(spark, sf_dir):
     return bpe.round_trip(common.read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
@@ -56,4 +61,4 @@ SQL = {
         WHERE rank <= 5""",
 }
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_toxicity, op4_secrets, op5_langid, op7_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_topk, op3_toxicity, op4_secrets, op5_langid, op6_ann, op7_bpe, op10_packing)}
