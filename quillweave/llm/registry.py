@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quillweave.llm import ann, bpe, common, langid, packing, secrets, topk, toxicity
+from quillweave.llm import ann, bpe, common, langid, neardup, packing, secrets, topk, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -15,6 +15,10 @@ def op1_topk(spark, sf_dir):
     return topk.exact_top_k(vectors, vectors.where(F.col("id") % 50 == 0))
 
 
+def op2_neardup(spark, sf_dir):
+    return neardup.near_duplicates(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_toxicity(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
     labels = common.read(spark, sf_dir, "labels", "doc_id", "toxic").where(common.fold("doc_id", 3) != 1)
@@ -61,4 +65,4 @@ SQL = {
         WHERE rank <= 5""",
 }
 
-QUERIES = {f.__name__: f for f in (op1_topk, op3_toxicity, op4_secrets, op5_langid, op6_ann, op7_bpe, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_neardup, op3_toxicity, op4_secrets, op5_langid, op6_ann, op7_bpe, op10_packing)}
