@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quillweave.llm import ann, bpe, common, langid, linededup, neardup, packing, secrets, topk, toxicity
+from quillweave.llm import ann, bpe, common, langid, linededup, lm, neardup, packing, secrets, topk, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -47,6 +47,12 @@ def op7_bpe(spark, sf_dir):
     return bpe.round_trip(common.read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_lm(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
+    found = lm.language_scores(docs, docs.where(common.fold("doc_id", 7) != 2))
+    return found.withColumn("held_out", common.fold("doc_id", 7) == 2).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_linededup(spark, sf_dir):
     found = linededup.match_lines(common.read(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "n_links", "class_id", F.array_join("removed", ",").alias("removed"))
@@ -70,4 +76,4 @@ SQL = {
         WHERE rank <= 5""",
 }
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_neardup, op3_toxicity, op4_secrets, op5_langid, op6_ann, op7_bpe, op9_linededup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_neardup, op3_toxicity, op4_secrets, op5_langid, op6_ann, op7_bpe, op8_lm, op9_linededup, op10_packing)}
