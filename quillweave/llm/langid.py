@@ -122,15 +122,17 @@ def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> M
     return Model([r["lang"] for r in found], owner.astype(np.int64), np.concatenate([base.centroids, *blocks]), idf, REJECT * min((r["low"] for r in found), default=0.0))
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, lang_pred, score (cosine of the nearest centroid) and rejected (nearer to none than the model asks).
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """Per row: id, lang_pred, score (cosine of the nearest centroid) and rejected (nearer to none than the model asks);
+    with `carry` also `doc`, a struct of the row itself.
 
     A null text, or one without a letter, is `und` with score 0 and rejected. A null id stays null, repeated rows give
     repeated results; very long texts are read whole, in constant memory but for their letters.
     """
     bound = session_of(docs).sparkContext.broadcast(model)
-    df = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    df = df.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    row = [F.struct("*").alias("doc")] if carry else []
+    text = F.col(text_col).cast("string")
+    df = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), *row)
 
     def run(batches):
         m = bound.value
@@ -142,6 +144,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 lang, score = np.zeros(len(letters), np.int64), np.zeros(len(letters))
             names = [m.langs[i] if ok else UNKNOWN for i, ok in zip(lang, letters, strict=True)]
             score = np.where(letters, score, 0.0)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(~letters | (score < m.least))], ["id", "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(~letters | (score < m.least)), *part.columns[3:]], ["id", "lang_pred", "score", "rejected", "doc"][: 4 + carry])
 
-    return df.mapInArrow(run, "id long, lang_pred string, score double, rejected boolean")
+    return df.mapInArrow(run, "id long, lang_pred string, score double, rejected boolean" + (f", doc {docs.schema.simpleString()}" if carry else ""))
