@@ -42,6 +42,10 @@ def _surface(surface: Column, priority: int) -> Column:
     return F.struct(surface.alias("surface"), F.lit(priority).alias("priority"))
 
 
+def _surfaces(cell: Column, priority: int) -> Column:
+    return F.transform(_listed(cell), lambda v: _surface(v, priority))
+
+
 def read_genes(spark: SparkSession, path: str) -> DataFrame:
     """Symbols and names of genes, then former symbols, then aliases. The id is the NCBI one where there is one."""
     lines = _lines(spark, path)
@@ -53,7 +57,7 @@ def read_genes(spark: SparkSession, path: str) -> DataFrame:
     cell = lambda c: F.coalesce(F.get(f, F.lit(header.index(c))), F.lit(""))
     entrez = F.trim(cell("entrez_id"))
     entity = F.when(entrez != "", F.concat(F.lit("NCBIGene:"), entrez)).otherwise(cell("hgnc_id"))
-    lists = [F.transform(_listed(cell(c)), lambda v, p=p: _surface(v, p)) for c, p in GENE_LISTS if c in header]
+    lists = [_surfaces(cell(c), p) for c, p in GENE_LISTS if c in header]
     first = F.array(_surface(cell("symbol"), 0), _surface(cell("name"), 0))
     return _entries(lines.where(F.col("value") != "\t".join(header)), S.GENE, entity, cell("symbol"), F.concat(first, *lists))
 
@@ -74,7 +78,7 @@ def read_ctd(spark: SparkSession, path: str, kind: str, id_column: str, name_col
     f = F.split("value", "\t")
     cell = lambda c: F.coalesce(F.get(f, F.lit(header.index(c))), F.lit(""))
     rows = _lines(spark, path).where(~F.col("value").startswith("#"))
-    lists = [F.transform(_listed(cell(c)), lambda v: _surface(v, 1)) for c in synonyms]
+    lists = [_surfaces(cell(c), 1) for c in synonyms]
     return _entries(rows, kind, cell(id_column), cell(name_column), F.concat(F.array(_surface(cell(name_column), 0)), *lists))
 
 

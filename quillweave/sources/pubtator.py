@@ -43,12 +43,13 @@ def parse(files: DataFrame) -> Corpus:
     lines = F.split(F.regexp_replace("block", r"^\n+|\n+$", ""), "\n")
     cut = lambda i, mark, k: F.get(F.split(F.get(F.col("lines"), F.lit(i)), rf"\|{mark}\|", 2), F.lit(k))
     good = (F.size("lines") >= 2) & F.get(F.col("lines"), F.lit(0)).contains("|t|") & F.coalesce(F.get(F.col("lines"), F.lit(1)), F.lit("")).contains("|a|")
+    odd = F.filter(F.slice("lines", 3, F.greatest(F.size("lines"), F.lit(1))), lambda r: ~F.size(F.split(r, "\t")).isin(5, 6))
+    rows = _check(F.size(odd) == 0, F.slice("lines", 3, F.greatest(F.size("lines"), F.lit(1))), F.concat(F.lit("malformed line: "), F.substring(F.get(odd, F.lit(0)), 1, 80)), "array<string>")
     heads = blocks.select(lines.alias("lines")).select(
-        _check(good, cut(0, "t", 0), F.lit("a block must begin with |t| and |a| lines"), "string").alias("pmid"), cut(0, "t", 1).alias("title"), cut(1, "a", 1).alias("abstract"), F.slice("lines", 3, F.greatest(F.size("lines"), F.lit(1))).alias("rows")
+        _check(good, cut(0, "t", 0), F.lit("a block must begin with |t| and |a| lines"), "string").alias("pmid"), cut(0, "t", 1).alias("title"), cut(1, "a", 1).alias("abstract"), rows.alias("rows")
     )
     fields = heads.select("pmid", F.concat("title", F.lit(" "), "abstract").alias("text"), F.posexplode("rows").alias("ordinal", "row")).select("*", F.split("row", "\t").alias("f"))
     size = F.size("f")
-    fields = fields.withColumn("pmid", _check(size.isin(5, 6), F.col("pmid"), F.concat(F.lit("malformed line: "), F.substring("row", 1, 80)), "string"))
     at = lambda i: F.get("f", F.lit(i))
     start, end, surface = F.try_to_number(at(1), F.lit("999999999")).cast("int"), F.try_to_number(at(2), F.lit("999999999")).cast("int"), at(3)
     label = _mapped(at(4), S.CORPUS_ENTITY_TYPES)
