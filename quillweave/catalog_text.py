@@ -16,7 +16,9 @@ from quillweave.operators import evaluation, linking
 from quillweave.plans import extract
 from quillweave.sources import adapters, pubmed
 
-DOC = F.col("doc_id").cast("string").alias("pmid")
+
+def _pmid():
+    return F.col("doc_id").cast("string").alias("pmid")
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def language_guess(spark, sf_dir):
-    return _docs(spark, sf_dir).select(DOC, guess_language(F.col("text")).alias("language"))
+    return _docs(spark, sf_dir).select(_pmid(), guess_language(F.col("text")).alias("language"))
 
 
 def article_scope(spark, sf_dir):
@@ -37,11 +39,11 @@ def article_scope(spark, sf_dir):
 
 
 def sentence_count(spark, sf_dir):
-    return _plain(_docs(spark, sf_dir).select(DOC, F.size(sentence_spans(F.col("text"))).alias("n_sentences")))
+    return _plain(_docs(spark, sf_dir).select(_pmid(), F.size(sentence_spans(F.col("text"))).alias("n_sentences")))
 
 
 def sentence_split(spark, sf_dir):
-    spans = _docs(spark, sf_dir).select(DOC, "text", F.posexplode(sentence_spans(F.col("text"))).alias("index", "s"))
+    spans = _docs(spark, sf_dir).select(_pmid(), "text", F.posexplode(sentence_spans(F.col("text"))).alias("index", "s"))
     return _plain(spans.select("pmid", "index", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.substring("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("sentence")))
 
 

@@ -44,6 +44,11 @@ def test_query(spark, duck, name):
 
 
 def test_entry_imports():
+    import subprocess
+    import sys
+
+    alone = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"], cwd=Path(__file__).parent.parent, capture_output=True, text=True)
+    assert alone.returncode == 0, alone.stderr
     import __spark_entry__ as e
 
     assert "neighbors" in e.queries() and set(e.oracle_sql()) <= set(e.queries())
