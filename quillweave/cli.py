@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from quillweave import schemas as S
 from quillweave.operators.store import Store
+from quillweave.plans import ingest
+from quillweave.plans.extract import constant_classifier, dictionary_tagger
 from quillweave.plans.graph import KnowledgeGraph
+from quillweave.plans.pipeline import extract_pending
 from quillweave.sinks.graph_files import FORMATS, export_graph
+from quillweave.sources import entrez, lexicon
 
 
 def parser() -> argparse.ArgumentParser:
@@ -20,6 +26,19 @@ def parser() -> argparse.ArgumentParser:
     add = lambda name: sub.add_parser(name)
     p = add("build-graph")
     p.add_argument("--min-confidence", type=float, default=S.MIN_CONFIDENCE)
+    p = add("ingest")
+    p.add_argument("--start", type=int, default=ingest.START)
+    p.add_argument("--end", type=int, default=ingest.STOP)
+    p.add_argument("--per-year", type=int, default=ingest.PER_YEAR)
+    p.add_argument("--non-english", type=int, default=ingest.NON_ENGLISH_PER_YEAR)
+    p.add_argument("--topic", action="append", choices=sorted(ingest.TOPICS))
+    p.add_argument("--cache", required=True)
+    p = add("extract")
+    p.add_argument("--terms", required=True, help="JSON object of terms and their types")
+    p.add_argument("--lexicons", required=True, help="folder of the vocabularies")
+    p.add_argument("--confidence", type=float, default=0.9)
+    p.add_argument("--limit", type=int)
+    p.add_argument("--redo", action="store_true")
     p = add("query")
     p.add_argument("--entity", required=True)
     p.add_argument("--since", type=int)
@@ -60,10 +79,21 @@ def years(series) -> str:
 def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     """The lines that a command prints."""
     store = Store(spark, args.db)
+    if args.command == "ingest":
+        chosen = {k: v for k, v in ingest.TOPICS.items() if not args.topic or k in args.topic}
+        plan = ingest.plan_queries(ingest.topics(spark, chosen), args.start, args.end, args.per_year, args.non_english)
+        documents, counts = ingest.run_ingest(spark, entrez.Client(entrez.Cache(args.cache)), plan)
+        store.upsert(documents)
+        store.append("search_counts", counts)
+        return [f"{store.count('documents')} documents"]
     if not store.exists("documents"):
         raise SystemExit(f"{args.db} holds no documents")
     if args.command == "build-graph":
         return [f"{k}: {v}" for k, v in store.build_graph(args.min_confidence).items()]
+    if args.command == "extract":
+        terms = json.loads(Path(args.terms).read_text(encoding="utf-8"))
+        n = extract_pending(store, dictionary_tagger(terms), constant_classifier("Association", args.confidence), lexicon.read_all(spark, args.lexicons), args.limit, args.redo)
+        return [f"{n} documents extracted"]
     graph = store.graph()
     if args.command == "query":
         e = entity(graph, args.entity)

@@ -164,6 +164,27 @@ def test_store_and_stream(spark, tmp_path):
     assert store.documents().count() == 2
 
 
+def test_pipeline_and_command_line(spark, tmp_path):
+    from quillweave import cli
+    from quillweave.plans import pipeline
+
+    corpus = pubtator.parse(spark.createDataFrame([(BLOCK,)], "value string"))
+    vocabulary = lex(spark, ("Gene", "APOE", "NCBIGene:348", "APOE", 0), ("Disease", "AD", "MESH:D000544", "AD", 0))
+    tagger, classifier = extract.dictionary_tagger({"APOE": "Gene", "AD": "Disease"}), extract.constant_classifier("Association", 0.9)
+    got = pipeline.scores(pipeline.evaluate_pipeline(corpus, tagger, classifier, vocabulary))
+    assert {r["type"]: r["accuracy"] for r in got["normalization"]} == {None: 1.0, "Gene": 1.0, "Disease": 1.0}
+    assert {r["measure"]: (r["tp"], r["fp"], r["fn"]) for r in got["relations"]} == {"model": (1, 0, 0), "cooccurrence": (1, 0, 0)}
+    store = Store(spark, str(tmp_path / "db"))
+    store.upsert(spark.createDataFrame([("1", "APOE and AD", "", 2012, ["eng"], "", "", [], "x")], S.ARTICLES + ", query_label string"))
+    assert pipeline.extract_pending(store, tagger, classifier, vocabulary) == 1 and pipeline.extract_pending(store, tagger, classifier, vocabulary) == 0
+    run = lambda *a: cli.run(spark, cli.parser().parse_args(["--db", str(tmp_path / "db"), *a]))
+    assert "edges: 1" in run("build-graph")
+    assert run("query", "--entity", "apoe", "--evidence", "1")[1].startswith("AD") and len(run("top")) == 2 and len(run("trends", "--entity", "ad", "--min-docs", "1")) == 2
+    assert run("export", "--format", "json", "--out", str(tmp_path / "g.json")) == [f"wrote 2 nodes / 1 edges to {tmp_path}/g.json"] and "documents: 1" in run("stats")
+    with pytest.raises(SystemExit):
+        run("query", "--entity", "nothing")
+
+
 def test_scores(spark):
     score = lambda a, b, c: spark.range(1).select(*evaluation.prf(F.lit(a), F.lit(b), F.lit(c))).first()
     assert score(8, 2, 8)[3:] == (0.8, 0.5, pytest.approx(2 * 0.8 * 0.5 / 1.3)) and score(0, 0, 0)[3:] == (0.0, 0.0, 0.0)
