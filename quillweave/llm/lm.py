@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from quillweave.llm.common import U64, Scratch, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
 
 #: Classes, slots of a class, and how many of all slots are buckets of rare words; the others are single frequent words.
-CLASSES, MEMBERS, RARE = 32, 64, 512
+CLASSES, MEMBERS, RARE = 32, 32, 256
 SLOTS = CLASSES * MEMBERS
 OWN = SLOTS - RARE
 #: Rows of the hashed weight tables: of the class softmax and of the softmax within a class.
 CLASS_ROWS, MEMBER_ROWS = 4096, 8192
 #: Rounds of training (each document is learnt from in one of them), tokens of an update, step.
-ROUNDS, BATCH, RATE = 3, 4096, 0.08
+ROUNDS, BATCH, RATE = 3, 16_384, 0.12
 #: Frequent words whose counts are sent to all tasks (at most 4 MB); the counts of the others are joined.
 FREQUENT = 1 << 18
 #: Distinct words that a task holds before it passes their counts on.
@@ -100,36 +100,39 @@ class Model:
 
 
 def contexts(row: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Tokens x 4 hashes: the slot before, the two before, the one two before and the one three before."""
+    """Tokens x 3 hashes: the slot before, the two before and, skipping one, the one two before."""
     before = []
-    for k in (1, 2, 3):
+    for k in (1, 2):
         b = np.full(len(slot), START, dtype=np.int64)
         same = row[k:] == row[:-k]
         b[k:][same] = slot[:-k][same]
         before.append(b.astype(U64))
-    one, two, three = before
+    one, two = before
     with np.errstate(over="ignore"):
-        return np.stack([mix(h) for h in (one * U64(8) + U64(1), (one * U64(4096) + two) * U64(8) + U64(2), two * U64(8) + U64(3), three * U64(8) + U64(4))], axis=1)
+        return np.stack([mix(h) for h in (one * U64(8) + U64(1), (one * U64(4096) + two) * U64(8) + U64(2), two * U64(8) + U64(3))], axis=1)
 
 
 def rows_of(context: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The weight rows of each token: those of its context, and those of its context in the class of its slot."""
+    """The weight rows of each token: those of its context, and those of the words right before it in the class of its
+    slot."""
     with np.errstate(over="ignore"):
-        inner = mix(context ^ ((slot // MEMBERS).astype(U64) * U64(0x9E3779B97F4A7C15))[:, None])
-    return (context % U64(CLASS_ROWS)).astype(np.int32), (inner % U64(MEMBER_ROWS)).astype(np.int32)
+        inner = mix(context[:, :2] ^ ((slot // MEMBERS).astype(U64) * U64(0x9E3779B97F4A7C15))[:, None])
+    return (context % U64(CLASS_ROWS)).astype(np.uint16), (inner % U64(MEMBER_ROWS)).astype(np.uint16)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(axis=1, keepdims=True))
-    return z / z.sum(axis=1, keepdims=True)
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
 
 
 def forward(m: Model, outer: np.ndarray, inner: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities of all classes, and of all slots of the token's class."""
     a, b = np.repeat(m.class_bias[None], len(slot), axis=0), m.member_bias[slot // MEMBERS]
-    for i in range(outer.shape[1]):
-        a = a + m.class_rows[outer[:, i]]
-        b = b + m.member_rows[inner[:, i]]
+    for x, table, rows in ((a, m.class_rows, outer), (b, m.member_rows, inner)):
+        for i in range(rows.shape[1]):
+            x += table[rows[:, i]]
     return _softmax(a), _softmax(b)
 
 
