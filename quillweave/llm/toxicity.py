@@ -82,7 +82,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     """
     known = labels.where(F.col("id").isNotNull() & F.col("label").isNotNull()).groupBy("id").agg(F.max("label").cast("int").alias("label"))
     chosen = known.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(sample)
-    rows = docs.join(chosen, "id").select("h", "id", "label", "text").repartition(1).sortWithinPartitions("h", "id")
+    rows = docs.join(F.broadcast(chosen), "id").select("h", "id", "label", "text").repartition(1).sortWithinPartitions("h", "id")
 
     def run(batches):
         learner, seen = Learner(), []
