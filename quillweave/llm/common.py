@@ -99,6 +99,36 @@ def range_hashes(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
         return mix(((total[end] - total[start]) * POWERS.down[start]) ^ ((end - start).astype(U64) << U64(48)))
 
 
+#: Bits of a map of wanted rows. It has a fixed size; with many rows it lets more others through, never fewer of its own.
+WANTED = 1 << 24
+
+
+def slots(*keys: np.ndarray) -> np.ndarray:
+    """The bit of each row with these int64 keys."""
+    h = np.zeros(len(keys[0]), dtype=U64)
+    for k in keys:
+        h = mix(h + k.astype(np.int64).view(U64) + U64(1))
+    return (h & U64(WANTED - 1)).astype(np.int64)
+
+
+def wanted_rows(rows: DataFrame):
+    """A broadcast map of the rows' (long) columns, to be asked by is_wanted before anything is shuffled."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(slots(*(c.to_numpy() for c in batch.columns))), pa.int32())], ["slot"])
+
+    bits = np.zeros(WANTED, dtype=bool)
+    bits[rows.mapInArrow(run, "slot int").distinct().toArrow().column(0).to_numpy()] = True
+    return session_of(rows).sparkContext.broadcast(np.packbits(bits))
+
+
+def is_wanted(bits: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    slot = slots(*keys)
+    return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 

@@ -7,14 +7,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
+from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, pieces, range_hashes, session_of, text_column, wanted_rows, words
 
 #: Lines match at 100 * shared words >= PERCENT * words of either. Lines of fewer than LEAST different words stay.
 PERCENT, LEAST = 90, 4
 #: Buckets of the counts that tell rare words from frequent ones, and of those that tell long inverted lists.
 WORDS, LISTS, LONG = 1 << 17, 1 << 20, 128
-#: Bits of the map of lines to fetch for verification; false hits only fetch more.
-FETCH = 1 << 24
+#: Lines of a side of a compared block of a long list.
+BLOCK = 1024
 
 LINES = "doc_id long, line_no int, n int, d1 long, d2 long, sig long, prefix array<int>"
 
@@ -115,20 +115,36 @@ def lines(docs: DataFrame, counts: np.ndarray, percent: int, least: int) -> Data
     return docs.mapInArrow(run, LINES)
 
 
-def long_lists(classes: DataFrame) -> bytes:
+def long_lists(rows: DataFrame, column: str) -> bytes:
+    """A bitmap of the buckets whose values (an array or a plain column) occur more than LONG times."""
+
     def count(batches):
         total = np.zeros(LISTS, dtype=np.int64)
         for batch in batches:
-            total += np.bincount(batch.column(0).flatten().to_numpy().view(np.uint32) & (LISTS - 1), minlength=LISTS)
+            values = batch.column(0)
+            total += np.bincount(_bucket((values.flatten() if pa.types.is_list(values.type) else values).to_numpy()), minlength=LISTS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
 
-    found = classes.select("prefix").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LONG)
+    found = rows.select(column).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LONG)
     hot = np.zeros(LISTS, dtype=bool)
     hot[found.select("bucket").toArrow().column(0).to_numpy()] = True
     return np.packbits(hot).tobytes()
 
 
+def _bucket(values: np.ndarray) -> np.ndarray:
+    return (values.astype(np.int64) & (LISTS - 1)).astype(np.int64)
+
+
+def _bits(packed: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
+
+
+def pair_keys(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The list of two prefix words together: negative, so never a single word's."""
+    return (mix((one << 32 | two).astype(U64)) | U64(1 << 63)).view(np.int64)
+
+
 def postings(classes: DataFrame, hot: bytes) -> DataFrame:
     """(key, pos, d, l, n, sig): a prefix word's own list if it is short. If it is long, the lists of the word with each
     later word of the prefix and the one after it: two matching lines share two words of those, the first two they have
@@ -136,7 +152,7 @@ def postings(classes: DataFrame, hot: bytes) -> DataFrame:
     bound = session_of(classes).sparkContext.broadcast(hot)
 
     def run(batches):
-        is_hot = np.unpackbits(np.frombuffer(bound.value, np.uint8)).astype(bool)
+        is_hot = _bits(bound.value)
         for batch in batches:
             column = batch.column(4)
             size = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -146,7 +162,7 @@ def postings(classes: DataFrame, hot: bytes) -> DataFrame:
             row = np.repeat(np.arange(len(size)), size)
             pos = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
             last = pos == size[row] - 1
-            long = is_hot[flat & (LISTS - 1)]
+            long = is_hot[_bucket(flat)]
             short = np.flatnonzero(~long & ~last)
             at, keys = [short], [flat[short]]
             wide = np.flatnonzero(long & ~last)
@@ -154,7 +170,7 @@ def postings(classes: DataFrame, hot: bytes) -> DataFrame:
             one = np.repeat(wide, after)
             two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(after) - after, after)
             at.append(one)
-            keys.append((mix((flat[one] << 32 | flat[two]).astype(U64)) | U64(1 << 63)).view(np.int64))
+            keys.append(pair_keys(flat[one], flat[two]))
             at = np.concatenate(at)
             take = pa.array(row[at])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(pos[at] + 1, pa.int32()), *(batch.column(i).take(take) for i in range(4))], ["key", "pos", "d", "l", "n", "sig"])
@@ -175,44 +191,140 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
     return x.join(y, "key").where(ahead & fits & (rest >= need) & (differ <= total - 2 * need)).select("xd", "xl", "yd", "yl").distinct()
 
 
-def _slot(ids: np.ndarray, number: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return (mix(mix(ids.astype(np.int64).view(U64)) + number.astype(U64)) & U64(FETCH - 1)).astype(np.int64)
-
-
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs whose whole word sets are similar enough."""
-    pairs = scratch.keep(pairs)
-    wanted = pairs.select(F.col("xd").alias("d"), F.col("xl").alias("l")).union(pairs.select("yd", "yl")).distinct()
-
-    def slots(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_slot(batch.column(0).to_numpy(), batch.column(1).to_numpy())), pa.int32())], ["slot"])
-
-    bits = np.zeros(FETCH, dtype=bool)
-    bits[wanted.mapInArrow(slots, "slot int").distinct().toArrow().column(0).to_numpy()] = True
-    bound = session_of(docs).sparkContext.broadcast(np.packbits(bits))
-    order = Order(np.zeros(WORDS, dtype=np.int64))
+def fetched(lines_: DataFrame, docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(d, l, words) of the wanted lines (d, l), and maybe of others: their distinct words in the order of rarity."""
+    wanted, order = wanted_rows(lines_), session_of(docs).sparkContext.broadcast(Order(counts))
 
     def run(batches):
         for part in pieces(batches, 1 << 20):
             raw, at = text_column(part.column(1))
             ids = part.column(0).to_numpy(zero_copy_only=False)
             bounds, doc, number = line_bounds(raw, at)
-            slot = _slot(ids[doc], number)
-            use = np.flatnonzero(bound.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
+            use = np.flatnonzero(is_wanted(wanted.value, ids[doc], number))
             if len(use):
                 own = np.concatenate([raw[bounds[i] : bounds[i + 1]] for i in use.tolist()])
                 cut = np.concatenate([[0], np.cumsum(bounds[use + 1] - bounds[use])])
-                row, word = line_sets(own, cut, order)
+                row, word = line_sets(own, cut, order.value)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(use)))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[doc[use]]), pa.array(number[use], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(word.view(np.int64)))], ["d", "l", "words"])
 
-    fetched = scratch.keep(docs.mapInArrow(run, "d long, l int, words array<long>").dropDuplicates(["d", "l", "words"]))
-    side = lambda k: fetched.select(F.col("d").alias(f"{k}d"), F.col("l").alias(f"{k}l"), F.col("words").alias(f"{k}w"))
+    return docs.mapInArrow(run, "d long, l int, words array<long>").dropDuplicates(["d", "l", "words"])
+
+
+def _first_two(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The two first words that both lines have, as they stand in prefixes (32 bits)."""
+    both = np.intersect1d(x.view(U64), y.view(U64), assume_unique=True)[:2]
+    return both.astype(np.uint32).astype(np.int64)
+
+
+COUNTS = "d long, l int, links long, later int"
+
+
+def _counted(d: np.ndarray, line: np.ndarray, links: np.ndarray, later: np.ndarray) -> pa.RecordBatch:
+    keep = links > 0
+    return pa.RecordBatch.from_arrays([pa.array(d[keep], pa.int64()), pa.array(line[keep], pa.int32()), pa.array(links[keep], pa.int64()), pa.array(later[keep].astype(np.int32))], ["d", "l", "links", "later"])
+
+
+def pair_links(pairs: DataFrame, words_: DataFrame, percent: int, hot: bytes, blocked: bytes) -> DataFrame:
+    """(d, l, links, later): links of pairs whose whole word sets are similar enough. Pairs whose first two common words
+    make a blocked list are counted there, so they are left out here."""
+    side = lambda k: words_.select(F.col("d").alias(f"{k}d"), F.col("l").alias(f"{k}l"), F.col("words").alias(f"{k}w"))
     both = F.size(F.array_intersect("xw", "yw"))
-    joined = pairs.join(side("x"), ["xd", "xl"]).join(side("y"), ["yd", "yl"])
-    return joined.where(100 * both >= percent * (F.size("xw") + F.size("yw") - both)).select("xd", "xl", "yd", "yl").distinct()
+    joined = pairs.join(side("x"), ["xd", "xl"]).join(side("y"), ["yd", "yl"]).where(100 * both >= percent * (F.size("xw") + F.size("yw") - both)).select("xd", "xl", "yd", "yl", "xw", "yw")
+    bound = session_of(pairs).sparkContext.broadcast((hot, blocked))
+
+    def run(batches):
+        is_hot, is_blocked = map(_bits, bound.value)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            xs, ys = ([np.asarray(v, dtype=np.int64) for v in batch.column(c).to_pylist()] for c in (4, 5))
+            first = np.array([np.resize(_first_two(x, y), 2) for x, y in zip(xs, ys, strict=True)])
+            mine = ~(is_hot[_bucket(first[:, 0])] & is_blocked[_bucket(pair_keys(first[:, 0], first[:, 1]))])
+            d = np.concatenate([batch.column(c).to_numpy() for c in (0, 2)])
+            line = np.concatenate([batch.column(c).to_numpy() for c in (1, 3)])
+            yield _counted(d, line, np.tile(mine, 2).astype(np.int64), np.repeat([0, 1], n))
+
+    return joined.mapInArrow(run, COUNTS)
+
+
+def block_links(posts: DataFrame, words_: DataFrame, percent: int) -> DataFrame:
+    """(d, l, links, later) of the lines of long lists of two words: every pair of a list whose first two common words
+    are the list's is compared as a whole.
+
+    A list is dealt into chunks of BLOCK lines by hash and each pair of chunks is compared by one task, by matrix products:
+    how many words two lines share, and whether they share one that comes before the list's. Only sums by line leave it.
+    """
+    sizes = posts.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
+    dealt = posts.select("key", "d", "l", "pos").join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("d", "l"), "chunks").cast("int"))
+    cells = dealt.join(words_, ["d", "l"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    cells = cells.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "d", "l", "pos", "words")
+
+    def compare(key, table):
+        d, line, mine = (table.column(c).to_numpy() for c in ("d", "l", "mine"))
+        lists = table.column("words").combine_chunks()
+        size = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        values, at = np.unique(lists.flatten().to_numpy().view(U64), return_inverse=True)
+        row = np.repeat(np.arange(len(d)), size)
+        short = values.astype(np.uint32).astype(np.int64)
+        # The list's two words, among those that the first line holds: the pair whose key it is.
+        own = short[at[: size[0]]]
+        one, two = np.meshgrid(own[: prefix_length(size[:1], percent)[0] + 1], own[: prefix_length(size[:1], percent)[0] + 1], indexing="ij")
+        hit = np.argwhere((pair_keys(one.ravel(), two.ravel()) == key[0].as_py()).reshape(one.shape))[0]
+        w1, w2 = at[: size[0]][hit[0]], at[: size[0]][hit[1]]
+        often = np.bincount(at, minlength=len(values)) > 1
+        slot = np.cumsum(often) - 1
+        keep = often[at]
+        grid = np.zeros((len(d), int(often.sum())), dtype=np.float32)
+        grid[row[keep], slot[at[keep]]] = 1
+        before = slot[np.flatnonzero(often & (np.arange(len(values)) < w2) & (np.arange(len(values)) != w1))]
+        left, right = np.flatnonzero(mine == key[1].as_py()), np.flatnonzero(mine == key[2].as_py())
+        shared = grid[left] @ grid[right].T
+        earlier = grid[left][:, before] @ grid[right][:, before].T if len(before) else np.zeros_like(shared)
+        total = size[left][:, None] + size[right][None, :]
+        has = grid[:, slot[w1]] * grid[:, slot[w2]] > 0 if often[w1] and often[w2] else np.zeros(len(d), dtype=bool)
+        ok = (100 * shared >= percent * (total - shared)) & (earlier == 0) & has[left][:, None] & has[right][None, :]
+        order = np.lexsort((line, d))
+        place = np.empty(len(d), dtype=np.int64)
+        place[order] = np.arange(len(d))
+        if key[1].as_py() == key[2].as_py():
+            np.fill_diagonal(ok, False)
+        links, later = np.zeros(len(d), dtype=np.int64), np.zeros(len(d), dtype=np.int64)
+        links[left] += ok.sum(axis=1)
+        later[left] |= (ok & (place[right][None, :] < place[left][:, None])).any(axis=1)
+        if key[1].as_py() != key[2].as_py():
+            links[right] += ok.sum(axis=0)
+            later[right] |= (ok & (place[left][:, None] < place[right][None, :])).any(axis=0)
+        return pa.Table.from_batches([_counted(d, line, links, later)])
+
+    return cells.groupBy("key", "i", "j").applyInArrow(compare, COUNTS)
+
+
+def links_of(classes: DataFrame, docs: DataFrame, counts: np.ndarray, percent: int, scratch: Scratch) -> DataFrame:
+    """(d, l, links, later) of the classes' first lines: how many classes match, and whether one of them comes before.
+
+    Short lists give pairs, which the filters leave few of. Long lists of two words are compared in blocks, as a family of
+    thousands of variants of a line would give the square of that in pairs.
+    """
+    hot = long_lists(classes, "prefix")
+    posts = scratch.keep(postings(classes, hot))
+    blocked = long_lists(posts.where("key < 0"), "key")
+    bound = session_of(classes).sparkContext.broadcast(blocked)
+
+    def flagged(batches):
+        is_blocked = _bits(bound.value)
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            yield batch.append_column("long", pa.array((key < 0) & is_blocked[_bucket(key)]))
+
+    marked = posts.mapInArrow(flagged, "key long, pos int, d long, l int, n int, sig long, long boolean")
+    pairs = scratch.keep(candidate_pairs(marked.where("NOT long").drop("long"), percent))
+    dense = scratch.keep(marked.where("long").select("key", "pos", "d", "l"))
+    wanted = pairs.select("xd", "xl").union(pairs.select("yd", "yl")).union(dense.select("d", "l")).select(F.col("xd").alias("d"), F.col("xl").cast("long").alias("l"))
+    words_ = scratch.keep(fetched(wanted, docs, counts))
+    found = pair_links(pairs, words_, percent, hot, blocked).union(block_links(dense, words_, percent))
+    return found.groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later"))
 
 
 def match_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, least: int = LEAST) -> DataFrame:
@@ -228,12 +340,12 @@ def match_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scratch = Scratch(session_of(docs), "lines")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = docs.where(F.col("doc_id").isNotNull())
-    every = scratch.keep(lines(known, word_counts(known), percent, least))
+    counts = word_counts(known)
+    every = scratch.keep(lines(known, counts, percent, least))
     own = every.where("line_no >= 0")
     classes = scratch.keep(own.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")).select("n", "d1", "d2", F.col("f.doc_id").alias("d"), F.col("f.line_no").alias("l"), "sig", "prefix"))
     searched = classes.where(F.size("prefix") > 0)
-    links = scratch.keep(verified(candidate_pairs(postings(searched, long_lists(searched)), percent), known, percent, scratch))
-    per_line = links.select(F.col("xd").alias("d"), F.col("xl").alias("l"), F.lit(0).alias("later")).union(links.select("yd", "yl", F.lit(1))).groupBy("d", "l").agg(F.count("*").alias("links"), F.max("later").alias("later"))
+    per_line = scratch.keep(links_of(searched, known, counts, percent, scratch))
     decided = classes.select("n", "d1", "d2", "d", "l").join(per_line, ["d", "l"], "left").select("n", "d1", "d2", "d", "l", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("later", F.lit(0)).alias("later"))
     flagged = own.select("doc_id", "line_no", "n", "d1", "d2").join(decided, ["n", "d1", "d2"])
     gone = (F.col("later") == 1) | (F.col("doc_id") != F.col("d")) | (F.col("line_no") != F.col("l"))
