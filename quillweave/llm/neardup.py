@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
+from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, pieces, range_hashes, session_of, text_column, wanted_rows, words
 from quillweave.llm.components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -15,14 +15,19 @@ SHINGLE, PERCENT = 5, 75
 #: Retained values of a document, and how many of them (lowest first) are looked up in inverted lists. A pair of
 #: similarity 0.75 shares none of 16 with a probability of 0.25 ** 16.
 SKETCH, LISTED = 64, 16
+#: Retained values for comparisons within long lists, what must be shared of them (0.75 less four and a half standard
+#: deviations), and the long lists of a class.
+WIDE, WIDE_ESTIMATE, LISTED_LONG = 256, 0.63, 10
 #: Inverted lists are told long by counts of retained values in a fixed table of buckets (a count is never too low).
 BUCKETS, LONG = 1 << 20, 64
 #: Documents with more than this share of values of long lists are also compared over those lists.
 SHARED = 1 / 3
-#: The union sketch's estimate must reach this: 0.75 less five and a half standard deviations.
-ESTIMATE = 0.45
-#: Shared values of long lists that a star's pair needs, and rows of a side of a compared block.
-STAR, BLOCK = 4, 1024
+#: The union sketch's estimate must reach this: 0.75 less four and a half standard deviations.
+ESTIMATE = 0.5
+#: Stars over long lists: rounds at most, pivots of a list in a round, lists of a class, shared ones that a pair needs.
+ROUNDS, PIVOTS, STARRED, STAR = 4, 4, 6, 2
+#: Rows of a side of a compared block.
+BLOCK = 1024
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,8 +87,8 @@ def sketches(docs: DataFrame, size: int = SKETCH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sketch array<long>")
 
 
-def long_lists(classes: DataFrame, long: int = LONG) -> bytes:
-    """A bitmap of the buckets whose retained values occur in more than `long` classes."""
+def long_lists(classes: DataFrame) -> bytes:
+    """A bitmap of the buckets whose retained values occur in more than LONG classes."""
 
     def count(batches):
         total = np.zeros(BUCKETS, dtype=np.int64)
@@ -92,7 +97,7 @@ def long_lists(classes: DataFrame, long: int = LONG) -> bytes:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
 
-    found = classes.select("sketch").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > long)
+    found = classes.select("sketch").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LONG)
     hot = np.zeros(BUCKETS, dtype=bool)
     hot[found.select("bucket").toArrow().column(0).to_numpy()] = True
     return np.packbits(hot).tobytes()
@@ -119,7 +124,7 @@ def listed(classes: DataFrame, hot: bytes) -> DataFrame:
                     keep = mine & (np.bincount(row, weights=common, minlength=len(size)) > SHARED * size)[row]
                 order = np.cumsum(keep)
                 before = np.concatenate([[0], order])[np.cumsum(size) - size]
-                keep = keep & (order - before[row] <= LISTED)
+                keep = keep & (order - before[row] <= (LISTED_LONG if mine is common else LISTED))
                 at = np.concatenate([[0], np.cumsum(np.bincount(row, weights=keep, minlength=len(size)))])
                 out.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat[keep])))
             yield pa.RecordBatch.from_arrays([*batch.columns, *out], ["rep", "n", "m", "sketch", "rare", "common"])
@@ -138,13 +143,24 @@ def rare_pairs(lists: DataFrame) -> DataFrame:
     return posts.select("value", F.col("rep").alias("a"), F.col("n").alias("an")).join(posts.select("value", F.col("rep").alias("b"), F.col("n").alias("bn")), "value").where((F.col("a") < F.col("b")) & _alike("an", "bn")).select("a", "b").distinct()
 
 
-def star_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b) of each class with the pivot of a long list that both are in: as many pairs as entries, not as pairs of
-    entries. The pivot is the class with most copies."""
-    posts = lists.select("rep", "n", "m", F.explode("common").alias("value"))
-    pivots = posts.groupBy("value").agg(F.max(F.struct("m", (-F.col("rep")).alias("r"), "n")).alias("p"), F.count("*").alias("c")).where("c > 1")
-    pairs = posts.join(pivots, "value").select(F.col("rep").alias("x"), F.col("n").alias("xn"), (-F.col("p.r")).alias("y"), F.col("p.n").alias("yn")).where(F.col("x") != F.col("y"))
-    return pairs.where(_alike("xn", "yn")).groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("s")).where(F.col("s") >= STAR).select("a", "b")
+def _placed(lists: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Classes of long lists with their component so far."""
+    own = lists.where(F.size("common") > 0)
+    if found is None:
+        return own.withColumn("component", F.col("rep"))
+    return own.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def star_pairs(lists: DataFrame, found: DataFrame | None, turn: int) -> DataFrame:
+    """(a, b) of each class with pivots of long lists that both are in, unless they are linked already: a few pairs per
+    entry, however long the list. Pivots are the class with most copies and, other ones each turn, those of lowest hash."""
+    posts = _placed(lists, found).select("rep", "n", "m", "component", F.explode(F.slice("common", 1, STARRED)).alias("value"))
+    order = [-F.col("m") if turn == i == 0 else F.xxhash64("rep", F.lit(turn * PIVOTS + i)) for i in range(PIVOTS)]
+    pick = [F.min(F.struct(o.alias("o"), F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"))) for o in order]
+    pivots = posts.groupBy("value").agg(F.array(*pick).alias("p"), F.count("*").alias("c")).where("c > 1").select("value", "p")
+    pairs = posts.join(pivots, "value").select(F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), F.explode(F.array_distinct(F.transform("p", lambda p: p.dropFields("o")))).alias("p")).select("x", "xn", "xc", "p.*")
+    pairs = pairs.where((F.col("x") != F.col("y")) & (F.col("xc") != F.col("yc")) & _alike("xn", "yn"))
+    return pairs.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("s")).where(F.col("s") >= STAR).select("a", "b")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -160,8 +176,13 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of documents whose whole shingle sets are similar enough."""
     pairs = scratch.keep(pairs)
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).where(F.col("id").isNotNull()).join(ids, "id", "left_semi")
+    wanted = wanted_rows(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+
+    def fetch(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(is_wanted(wanted.value, batch.column(0).to_numpy())))
+
+    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "text").mapInArrow(fetch, "id long, text string")
     joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("at")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("bt")), "b").select("a", "b", "at", "bt")
 
     def run(batches):
@@ -182,16 +203,25 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
-def block_pairs(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b) of classes of different components so far that share a value of a long list and whose sketches agree.
+def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b) of classes of different components so far that share a value of a long list and whose wide sketches agree.
+    Those are made of the texts anew, for the classes of open lists only.
 
     A list is dealt into chunks of BLOCK classes by hash, each pair of chunks is compared as a whole by one task: only
     pairs whose sketches agree leave it, and no pair is written down before.
     """
-    own = lists.where(F.size("common") > 0).join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    posts = own.select(F.explode("common").alias("value"), "rep", "component", "n", "sketch")
+    posts = _placed(lists, found).select(F.explode("common").alias("value"), "rep", "component", "n")
     open_ = posts.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("value", F.ceil(F.col("c") / BLOCK).alias("chunks"))
-    dealt = posts.join(open_, "value").withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
+    posts = scratch.keep(posts.join(open_, "value"))
+    wanted = wanted_rows(posts.select("rep").distinct())
+
+    def fetch(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(is_wanted(wanted.value, batch.column(0).to_numpy())))
+
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(fetch, "doc_id long, text string")
+    wide = scratch.keep(sketches(texts, WIDE).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep", "n", "sketch"]))
+    dealt = posts.join(wide, ["rep", "n"]).withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)))
     cells = dealt.select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "sketch")
 
@@ -209,7 +239,7 @@ def block_pairs(lists: DataFrame, found: DataFrame) -> DataFrame:
         right = np.flatnonzero(mine == key[2].as_py())
         shared = grid[left] @ grid[right].T
         small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
-        need = np.where(large <= SKETCH, PERCENT / (100 + PERCENT) * (small + large), ESTIMATE * np.minimum(SKETCH, small))
+        need = np.where(large <= WIDE, PERCENT / (100 + PERCENT) * (small + large), WIDE_ESTIMATE * np.minimum(WIDE, small))
         ok = (shared >= need - 1e-3) & (comp[left][:, None] != comp[right][None, :]) & (100 * small >= PERCENT * large)
         x, y = np.nonzero(ok)
         a, b = rep[left[x]], rep[right[y]]
@@ -233,14 +263,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = scratch.keep(sketches(docs))
     classes = scratch.keep(base.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("m"), F.first("sketch").alias("sketch")))
     lists = scratch.keep(listed(classes, long_lists(classes)))
-    first = verified(estimated(rare_pairs(lists).union(star_pairs(lists)).distinct(), lists), docs, scratch)
-    first = scratch.keep(first)
-    found = components(first, scratch)
-    more = scratch.keep(verified(estimated(block_pairs(lists, found), lists), docs, scratch))
-    if more.isEmpty():
-        linked = found
-    else:
-        linked = components(more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), scratch)
+    linked = None
+    for turn in range(ROUNDS + 2):
+        last = turn > ROUNDS or (turn > 0 and not turn_found)
+        if last:
+            pairs = block_pairs(lists, linked, docs, scratch)
+        else:
+            pairs = star_pairs(lists, linked, turn)
+            pairs = estimated((rare_pairs(lists).union(pairs).distinct() if turn == 0 else pairs), lists)
+        new = scratch.keep(verified(pairs, docs, scratch))
+        turn_found = not new.isEmpty()
+        if turn_found or linked is None:
+            linked = components(new if linked is None else new.union(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), scratch)
+        if last:
+            break
     of_class = classes.select("n", "d1", "d2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = base.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
