@@ -174,6 +174,20 @@ def words(raw: np.ndarray, offsets: np.ndarray, of: np.ndarray = NOT_WHITE) -> t
     return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
+def overlaps(row: np.ndarray, column: np.ndarray, rows: int, left: np.ndarray, right: np.ndarray, step: int = 4096) -> np.ndarray:
+    """How many columns each row of `left` shares with each of `right`, from the (row, column) places of ones. Products of
+    dense strips of `step` columns, so memory doesn't grow with the number of columns."""
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        i, j = np.searchsorted(column, (at, at + step))
+        strip = np.zeros((rows, step), dtype=np.float32)
+        strip[row[i:j], column[i:j] - at] = 1
+        out += strip[left] @ strip[right].T
+    return out
+
+
 def pieces(batches, limit: int = 4 << 20):
     """Arrow batches cut into runs of rows of about limit bytes of text (column `text`), so that memory is bounded by the
     longest text, not by the batch."""

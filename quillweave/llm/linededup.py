@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, pieces, range_hashes, session_of, text_column, wanted_rows, words
+from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
 
 #: Lines match at 100 * shared words >= PERCENT * words of either. Lines of fewer than LEAST different words stay.
 PERCENT, LEAST = 90, 4
@@ -276,14 +276,12 @@ def block_links(posts: DataFrame, words_: DataFrame, percent: int) -> DataFrame:
         often = np.bincount(at, minlength=len(values)) > 1
         slot = np.cumsum(often) - 1
         keep = often[at]
-        grid = np.zeros((len(d), int(often.sum())), dtype=np.float32)
-        grid[row[keep], slot[at[keep]]] = 1
-        before = slot[np.flatnonzero(often & (np.arange(len(values)) < w2) & (np.arange(len(values)) != w1))]
+        early = keep & (at < w2) & (at != w1)
         left, right = np.flatnonzero(mine == key[1].as_py()), np.flatnonzero(mine == key[2].as_py())
-        shared = grid[left] @ grid[right].T
-        earlier = grid[left][:, before] @ grid[right][:, before].T if len(before) else np.zeros_like(shared)
+        shared = overlaps(row[keep], slot[at[keep]], len(d), left, right)
+        earlier = overlaps(row[early], slot[at[early]], len(d), left, right)
         total = size[left][:, None] + size[right][None, :]
-        has = grid[:, slot[w1]] * grid[:, slot[w2]] > 0 if often[w1] and often[w2] else np.zeros(len(d), dtype=bool)
+        has = np.isin(np.arange(len(d)), row[at == w1]) & np.isin(np.arange(len(d)), row[at == w2])
         ok = (100 * shared >= percent * (total - shared)) & (earlier == 0) & has[left][:, None] & has[right][None, :]
         order = np.lexsort((line, d))
         place = np.empty(len(d), dtype=np.int64)

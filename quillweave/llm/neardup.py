@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, pieces, range_hashes, session_of, text_column, wanted_rows, words
+from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
 from quillweave.llm.components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -233,11 +233,9 @@ def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Sc
         row = np.repeat(np.arange(len(rep)), size)
         often = np.bincount(at, minlength=len(values)) > 1
         slot = np.cumsum(often) - 1
-        grid = np.zeros((len(rep), int(often.sum())), dtype=np.float32)
-        grid[row[often[at]], slot[at[often[at]]]] = 1
         left = np.flatnonzero(mine == key[1].as_py())
         right = np.flatnonzero(mine == key[2].as_py())
-        shared = grid[left] @ grid[right].T
+        shared = overlaps(row[often[at]], slot[at[often[at]]], len(rep), left, right)
         small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
         need = np.where(large <= WIDE, PERCENT / (100 + PERCENT) * (small + large), WIDE_ESTIMATE * np.minimum(WIDE, small))
         ok = (shared >= need - 1e-3) & (comp[left][:, None] != comp[right][None, :]) & (100 * small >= PERCENT * large)
@@ -263,20 +261,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = scratch.keep(sketches(docs))
     classes = scratch.keep(base.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("m"), F.first("sketch").alias("sketch")))
     lists = scratch.keep(listed(classes, long_lists(classes)))
-    linked = None
-    for turn in range(ROUNDS + 2):
-        last = turn > ROUNDS or (turn > 0 and not turn_found)
-        if last:
-            pairs = block_pairs(lists, linked, docs, scratch)
-        else:
-            pairs = star_pairs(lists, linked, turn)
-            pairs = estimated((rare_pairs(lists).union(pairs).distinct() if turn == 0 else pairs), lists)
-        new = scratch.keep(verified(pairs, docs, scratch))
-        turn_found = not new.isEmpty()
-        if turn_found or linked is None:
-            linked = components(new if linked is None else new.union(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), scratch)
-        if last:
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return scratch.keep(verified(pairs, docs, scratch))
+
+    def with_links(linked: DataFrame, new: DataFrame) -> DataFrame:
+        return components(new.union(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), scratch)
+
+    linked = components(confirmed(estimated(rare_pairs(lists).union(star_pairs(lists, None, 0)).distinct(), lists)), scratch)
+    for turn in range(1, ROUNDS + 1):
+        new = confirmed(estimated(star_pairs(lists, linked, turn), lists))
+        if new.isEmpty():
             break
+        linked = with_links(linked, new)
+    new = confirmed(block_pairs(lists, linked, docs, scratch))
+    if not new.isEmpty():
+        linked = with_links(linked, new)
     of_class = classes.select("n", "d1", "d2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = base.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
