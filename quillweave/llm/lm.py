@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from quillweave.llm.common import U64, Scratch, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
 
 #: Classes, slots of a class, and how many of all slots are buckets of rare words; the others are single frequent words.
-CLASSES, MEMBERS, RARE = 32, 32, 256
+CLASSES, MEMBERS, RARE = 32, 64, 512
 SLOTS = CLASSES * MEMBERS
 OWN = SLOTS - RARE
 #: Rows of the hashed weight tables: of the class softmax and of the softmax within a class.
 CLASS_ROWS, MEMBER_ROWS = 4096, 8192
 #: Rounds of training (each document is learnt from in one of them), tokens of an update, step.
-ROUNDS, BATCH, RATE = 3, 16_384, 0.12
+ROUNDS, BATCH, RATE = 3, 4096, 0.08
+#: Uses of a weight row in a batch up to which its gradients are summed along with other rows'.
+PASSES = 12
 #: Frequent words whose counts are sent to all tasks (at most 4 MB); the counts of the others are joined.
 FREQUENT = 1 << 18
 #: Distinct words that a task holds before it passes their counts on.
@@ -100,23 +102,22 @@ class Model:
 
 
 def contexts(row: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """Tokens x 3 hashes: the slot before, the two before and, skipping one, the one two before."""
+    """Tokens x 4 hashes: the slot before, the two before, the one two before and the one three before."""
     before = []
-    for k in (1, 2):
+    for k in (1, 2, 3):
         b = np.full(len(slot), START, dtype=np.int64)
         same = row[k:] == row[:-k]
         b[k:][same] = slot[:-k][same]
         before.append(b.astype(U64))
-    one, two = before
+    one, two, three = before
     with np.errstate(over="ignore"):
-        return np.stack([mix(h) for h in (one * U64(8) + U64(1), (one * U64(4096) + two) * U64(8) + U64(2), two * U64(8) + U64(3))], axis=1)
+        return np.stack([mix(h) for h in (one * U64(8) + U64(1), (one * U64(4096) + two) * U64(8) + U64(2), two * U64(8) + U64(3), three * U64(8) + U64(4))], axis=1)
 
 
 def rows_of(context: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The weight rows of each token: those of its context, and those of the words right before it in the class of its
-    slot."""
+    """The weight rows of each token: those of its context, and those of its context in the class of its slot."""
     with np.errstate(over="ignore"):
-        inner = mix(context[:, :2] ^ ((slot // MEMBERS).astype(U64) * U64(0x9E3779B97F4A7C15))[:, None])
+        inner = mix(context ^ ((slot // MEMBERS).astype(U64) * U64(0x9E3779B97F4A7C15))[:, None])
     return (context % U64(CLASS_ROWS)).astype(np.uint16), (inner % U64(MEMBER_ROWS)).astype(np.uint16)
 
 
@@ -132,7 +133,7 @@ def forward(m: Model, outer: np.ndarray, inner: np.ndarray, slot: np.ndarray) ->
     a, b = np.repeat(m.class_bias[None], len(slot), axis=0), m.member_bias[slot // MEMBERS]
     for x, table, rows in ((a, m.class_rows, outer), (b, m.member_rows, inner)):
         for i in range(rows.shape[1]):
-            x += table[rows[:, i]]
+            x += table.take(rows[:, i], axis=0)
     return _softmax(a), _softmax(b)
 
 
@@ -148,17 +149,29 @@ def log_slots(m: Model, row: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return out
 
 
-def _descend(weights: np.ndarray, squares: np.ndarray, hits: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """One update by the summed gradients of a batch; each weight has its own rate."""
+def _sums(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows that occur, how often, the sum of x over the tokens of each); rows: tokens x features. Rows that occur up to
+    PASSES times are summed for all at once, an occurrence at a time; the others one by one."""
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
-    at = flat[order]
+    at, token = flat[order], order // rows.shape[1]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    g = np.add.reduceat(gradient[order // rows.shape[1]], first, axis=0)
-    u = at[first]
+    n = np.diff(np.append(first, len(at)))
+    out = x.take(token[first], axis=0)
+    for j in range(1, PASSES):
+        more = np.flatnonzero((n > j) & (n <= PASSES))
+        out[more] += x.take(token[first[more] + j], axis=0)
+    for i in np.flatnonzero(n > PASSES).tolist():
+        x.take(token[first[i] : first[i] + n[i]], axis=0).sum(axis=0, out=out[i])
+    return at[first], n, out
+
+
+def _descend(weights: np.ndarray, squares: np.ndarray, hits: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
+    """One update by the summed gradients of a batch; each weight has its own rate."""
+    u, n, g = _sums(gradient, rows)
     squares[u] += g * g
     weights[u] -= RATE * g / np.sqrt(squares[u] + 1e-3)
-    hits[u] += np.diff(np.append(first, len(at)))
+    hits[u] += n
 
 
 def learnt(docs: DataFrame, model: Model) -> Model:

@@ -197,3 +197,22 @@ def test_slots_are_a_distribution():
     slot = np.arange(lm.SLOTS)
     a, b = lm.forward(m, *lm.rows_of(np.repeat(context, lm.SLOTS, axis=0), slot), slot)
     assert abs(float((a[slot, slot // lm.MEMBERS] * b[slot, slot % lm.MEMBERS]).sum()) - 1) < 1e-3
+
+
+def test_all_features_reach_both_softmaxes():
+    assert (lm.SLOTS, lm.OWN) == (2048, 1536)
+    row = np.zeros(5, np.int64)
+    one, other = (lm.contexts(row, np.array([k, 7, 8, 9, 9]))[3:4] for k in (5, 6))
+    assert one.shape == (1, 4) and (one != other).tolist() == [[False, False, False, True]]
+    slot = np.array([100])
+    for a, b in zip(lm.rows_of(one, slot), lm.rows_of(other, slot), strict=True):
+        assert a.shape == (1, 4) and (a != b).tolist() == [[False, False, False, True]]
+
+
+def test_gradient_sums():
+    rng = np.random.default_rng(3)
+    rows, x = (rng.zipf(1.3, (3000, 4)) % 500).astype(np.uint16), rng.normal(size=(3000, 6)).astype(np.float32)
+    want = np.zeros((500, 6))
+    np.add.at(want, rows.ravel(), np.repeat(x, 4, axis=0))
+    u, n, got = lm._sums(x, rows)
+    assert n.tolist() == np.bincount(rows.ravel(), minlength=500)[u].tolist() and np.abs(got - want[u]).max() < 1e-3
