@@ -18,8 +18,10 @@ DIMS = 4096
 #: Centroids of a language, and the most documents of a language that they are fitted on: the smallest by hash of the id.
 CENTROIDS, SAMPLE = 4, 1500
 ROUNDS = 8
-#: A text is rejected if its best cosine is below this share of the lowest hundredth of the sample's.
-REJECT = 0.2
+#: A text is rejected if its best cosine is below this share of the lowest hundredth of that centroid's sample (of its
+#: language's, if the centroid has fewer than ENOUGH rows or a tighter sample). A text of fewer n-grams than FULL shares
+#: fewer with any centroid, so its bar is lower by the root of their number.
+REJECT, ENOUGH, FULL = 0.6, 100, 400
 
 _LETTER = np.array([i >= 128 or chr(i).isalpha() for i in range(256)])
 
@@ -56,22 +58,29 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Broadcastable: the languages, their centroids (unit rows), the weight of each n-gram, the least cosine kept."""
+    """Broadcastable: the languages, their centroids (unit rows), the weight of each n-gram, the least cosine
+    kept by each centroid."""
 
     langs: list[str]
     owner: np.ndarray
     centroids: np.ndarray
     idf: np.ndarray
-    least: float
+    least: np.ndarray
 
     def vectors(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return unit(np.log1p(counts(raw, offsets)).astype(np.float32) * self.idf)
+        return self.weighted(counts(raw, offsets))
 
-    def nearest(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the language and cosine of each row's nearest centroid; ties go to the language first by name."""
-        cosine = self.vectors(raw, offsets) @ self.centroids.T
+    def weighted(self, found: np.ndarray) -> np.ndarray:
+        return unit(np.log1p(found).astype(np.float32) * self.idf)
+
+    def nearest(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the language and cosine of each row's nearest centroid, and whether that is near enough; ties go to
+        the language first by name."""
+        found = counts(raw, offsets)
+        cosine = self.weighted(found) @ self.centroids.T
         best = np.argmax(cosine, axis=1)
-        return self.owner[best], np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0).astype(np.float64)
+        score = np.clip(cosine[np.arange(len(best)), best], 0.0, 1.0).astype(np.float64)
+        return self.owner[best], score, score >= self.least[best] * np.sqrt(np.minimum(1.0, found.sum(axis=1) / FULL))
 
 
 def cluster(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -86,6 +95,21 @@ def cluster(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
+def bars(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The least cosine kept by each centroid. A row is compared with its own centroid as that would be without the row,
+    so that few rows don't look nearer than new texts will be."""
+    cosine = x @ c.T
+    mine, every = np.argmax(cosine, axis=1), np.arange(len(x))
+    total = np.array([x[mine == j].sum(axis=0) for j in range(len(c))])
+    along = np.einsum("ij,ij->i", x, total[mine])
+    rest = np.sqrt(np.maximum((total**2).sum(axis=1)[mine] - 2 * along + 1, 0))
+    cosine[every, mine] = np.where(np.bincount(mine, minlength=len(c))[mine] > 1, (along - 1) / np.where(rest > 1e-3, rest, 1), 0)
+    best = np.clip(cosine.max(axis=1), 0, 1)
+    all_ = np.quantile(best, 0.01)
+    own = [np.quantile(best[mine == j], 0.01) if (mine == j).sum() >= ENOUGH else all_ for j in range(len(c))]
+    return REJECT * np.minimum(own, all_)
+
+
 def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
     """Learn from (id, text, lang) rows with text and lang. Of each language at most `sample` rows count, those whose
     ids hash lowest; the rest of the fit is on the executors, one task a language, and only centroids reach the driver.
@@ -107,23 +131,23 @@ def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> M
     seen = rows.mapInArrow(frequencies, "n long, df binary").collect()
     total, n = sum((np.frombuffer(r["df"], dtype=np.int64) for r in seen), np.zeros(DIMS, dtype=np.int64)), sum(r["n"] for r in seen)
     idf = np.log((1 + n) / (1 + total)).astype(np.float32) + np.float32(1)
-    base = Model([], np.zeros(0, np.int64), np.zeros((0, DIMS), np.float32), idf, 0.0)
+    base = Model([], np.zeros(0, np.int64), np.zeros((0, DIMS), np.float32), idf, np.zeros(0))
 
     def centres(key, table):
         x = np.concatenate([base.vectors(*text_column(p.column(1))) for p in pieces(table.to_batches(), 1 << 20)])
         c = cluster(x, centroids)
-        low = float(np.quantile((x @ c.T).max(axis=1), 0.01))
-        return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "centroids": [c.astype(np.float32).tobytes()], "low": [low]})
+        return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "centroids": [c.astype(np.float32).tobytes()], "least": [bars(x, c).astype(np.float64).tobytes()]})
 
-    found = sorted(rows.groupBy("lang").applyInArrow(centres, "lang string, centroids binary, low double").collect(), key=lambda r: r["lang"])
+    found = sorted(rows.groupBy("lang").applyInArrow(centres, "lang string, centroids binary, least binary").collect(), key=lambda r: r["lang"])
     scratch.drop(rows)
     blocks = [np.frombuffer(r["centroids"], dtype=np.float32).reshape(-1, DIMS) for r in found]
     owner = np.concatenate([np.full(len(b), i) for i, b in enumerate(blocks)]) if blocks else base.owner
-    return Model([r["lang"] for r in found], owner.astype(np.int64), np.concatenate([base.centroids, *blocks]), idf, REJECT * min((r["low"] for r in found), default=0.0))
+    return Model([r["lang"] for r in found], owner.astype(np.int64), np.concatenate([base.centroids, *blocks]), idf, np.concatenate([base.least, *(np.frombuffer(r["least"]) for r in found)]))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """Per row: id, lang_pred, score (cosine of the nearest centroid) and rejected (nearer to none than the model asks);
+    """Per row: id, lang_pred, score (cosine of the nearest centroid) and rejected (less near than the
+    nearest centroid asks of a text of that length);
     with `carry` also `doc`, a struct of the row itself.
 
     A null text, or one without a letter, is `und` with score 0 and rejected. A null id stays null, repeated rows give
@@ -139,11 +163,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for part in pieces(batches, 1 << 20):
             letters = part.column(2).to_numpy(zero_copy_only=False).astype(bool) & bool(m.langs)
             if m.langs:
-                lang, score = m.nearest(*text_column(part.column(1)))
+                lang, score, near = m.nearest(*text_column(part.column(1)))
             else:
-                lang, score = np.zeros(len(letters), np.int64), np.zeros(len(letters))
+                lang, score, near = np.zeros(len(letters), np.int64), np.zeros(len(letters)), letters
             names = [m.langs[i] if ok else UNKNOWN for i, ok in zip(lang, letters, strict=True)]
             score = np.where(letters, score, 0.0)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(~letters | (score < m.least)), *part.columns[3:]], ["id", "lang_pred", "score", "rejected", "doc"][: 4 + carry])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(~(letters & near)), *part.columns[3:]], ["id", "lang_pred", "score", "rejected", "doc"][: 4 + carry])
 
     return df.mapInArrow(run, "id long, lang_pred string, score double, rejected boolean" + (f", doc {docs.schema.simpleString()}" if carry else ""))

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -216,3 +217,16 @@ def test_gradient_sums():
     np.add.at(want, rows.ravel(), np.repeat(x, 4, axis=0))
     u, n, got = lm._sums(x, rows)
     assert n.tolist() == np.bincount(rows.ravel(), minlength=500)[u].tolist() and np.abs(got - want[u]).max() < 1e-3
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="no tables")
+def test_unlearned_languages_and_noise_are_rejected(spark):
+    rng = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang").where("doc_id % 3 = 0")
+    model = langid.fit(docs.where("doc_id % 4 <> 2").select(F.col("doc_id").alias("id"), "text", "lang"), sample=500)
+    finnish = "on hyvä että kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan heille annettu järki omatunto suomen kieli kuuluu uralilaisiin kieliin talvella järvet jäätyvät kesällä yöt ovat valoisia".split()
+    letters, signs = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    made = [lambda n: " ".join(rng.choices(finnish, k=n)), lambda n: " ".join("".join(rng.choices(letters, k=rng.randrange(2, 10))) for _ in range(n)), lambda n: "".join(rng.choices(signs, k=6 * n)), lambda n: "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3 * n)), lambda n: "".join(chr(rng.randrange(0xAC00, 0xD7A3)) for _ in range(3 * n))]
+    noise = spark.createDataFrame([(k * 10_000_000 + n * 100 + i, make(n)) for k, make in enumerate(made) for n in (40, 200, 1000, 5000) for i in range(10)], "doc_id long, text string")
+    assert langid.predict(noise, model).where("NOT rejected").count() == 0
+    assert langid.predict(docs.where("doc_id % 4 = 2 AND text RLIKE '\\\\p{L}'"), model).where("rejected").count() == 0
