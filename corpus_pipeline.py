@@ -28,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that match an earlier one; a document of which no word is left goes."""
     docs = docs.select(*COLUMNS)
-    kept = linededup.remove_lines(docs, linededup.match_lines(docs))
+    kept = linededup.remove_lines(docs, linededup.match_lines(docs, least=linededup.EVERY))
     return kept.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
 
-#: Lines match at 100 * shared words >= PERCENT * words of either. Lines of fewer than LEAST different words stay.
-PERCENT, LEAST = 90, 4
+#: Lines match at 100 * shared words >= PERCENT * words of either. Lines of fewer than LEAST different words stay, unless
+#: the caller asks for another least: with EVERY, as the query and the pipeline do, all lines with a word take part.
+PERCENT, LEAST, EVERY = 90, 4, 1
 #: Buckets of the counts that tell rare words from frequent ones, and of those that tell long inverted lists.
 WORDS, LISTS, LONG = 1 << 17, 1 << 20, 128
 #: Lines of a side of a compared block of a long list.

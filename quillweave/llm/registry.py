@@ -54,7 +54,7 @@ def op8_lm(spark, sf_dir):
 
 
 def op9_linededup(spark, sf_dir):
-    found = linededup.match_lines(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+    found = linededup.match_lines(common.read(spark, sf_dir, "documents", "doc_id", "text"), least=linededup.EVERY)
     return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "n_links", "class_id", F.array_join("removed", ",").alias("removed"))
 
 

@@ -1,7 +1,8 @@
 import random
 import re
 
-from quillweave.llm import linededup, neardup
+import corpus_pipeline as pipeline
+from quillweave.llm import linededup, neardup, registry
 
 SPACE = re.compile("[\x20\x09-\x0d]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -128,3 +129,16 @@ def test_lines_of_nothing(spark):
     assert linededup.match_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = linededup.match_lines(spark.createDataFrame([(1, "\n".join("a b c d e" for _ in range(3000)))], "doc_id long, text string")).first()
     assert one.n_lines == 3000 and one.removed == list(range(1, 3000))
+
+
+def test_short_lines_take_part(spark, tmp_path):
+    licence = "All rights reserved."
+    rows = [(i, f"{licence}\nthis line is only in text {i}\n\n-- --") for i in range(6)] + [(10, "ha " * 50 + "\nha\nHA ho\nho ha hi"), (11, "hi ho HA\nho ha\n \t"), (12, licence.upper()), (13, None), (14, "\n")] + lines(5, 30)[:30]
+    rows = [(n, t) for n, (_, t) in enumerate(rows)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: ([int(x) for x in r.removed.split(",") if x], r.n_links) for r in registry.op9_linededup(spark, str(tmp_path)).collect()}
+    assert got == matches(rows, least=1)
+    assert got[3][0] == [0, 3] and got[6][0] == [1] and got[7][0] == [0, 1] and got[8][0] == [0]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in pipeline.line_dedup(spark, docs, "").collect()}
+    assert kept[0] == rows[0][1] and kept[3] == "this line is only in text 3\n" and 8 not in kept and kept[10] == "\n"
