@@ -46,6 +46,13 @@ def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(store.upsert_documents(docs.where(n % 2 == 0), arriving)).select("pmid", "year", "query_label", "nlp_scope", "extracted")
 
 
+def _upsert_every(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders up to 1999 are stored; those from 1998 on or without a date arrive, two years later. Together they are all."""
+    docs = adapters.documents(spark, sf_dir).withColumn("query_label", F.lit("first"))
+    arriving = docs.where(F.coalesce(F.col("year") >= 1998, F.lit(True))).withColumns({"year": F.col("year") + 2, "query_label": F.lit("second"), "extracted": F.lit(False)})
+    return rounded(store.upsert_documents(docs.where("year <= 1999"), arriving)).select("pmid", "year", "query_label", "nlp_scope", "extracted")
+
+
 def _replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions of orders divisible by four are replaced by their first sentences'."""
     old = adapters.mentions(spark, sf_dir).select("pmid", "sentence_index", "entity_id")
@@ -155,6 +162,12 @@ _G: dict[str, tuple[Callable, str]] = {
             CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN nlp_scope END AS nlp_scope, CAST(pmid AS BIGINT) % 2 = 0 AS extracted
             FROM gd WHERE CAST(pmid AS BIGINT) % 2 = 0 OR CAST(pmid AS BIGINT) % 3 = 0""",
     ),
+    "upsert_every": (
+        _upsert_every,
+        """SELECT pmid, CAST(CASE WHEN coalesce(year >= 1998, true) THEN year + 2 ELSE year END AS BIGINT) AS year,
+            CASE WHEN s THEN 'first' ELSE 'second' END AS query_label, CASE WHEN s THEN nlp_scope END AS nlp_scope, s AS extracted
+            FROM (SELECT *, coalesce(year <= 1999, false) AS s FROM gd)""",
+    ),
     "replace_extraction": (_replace, "SELECT pmid, entity_id, count(*) AS n FROM gm WHERE CAST(pmid AS BIGINT) % 4 <> 0 OR sentence_index = 1 GROUP BY ALL"),
 }
 
