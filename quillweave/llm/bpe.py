@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import unicodedata
 from concurrent.futures import ThreadPoolExecutor
 
@@ -94,6 +95,11 @@ class Codec:
         self.special = [t["content"] for t in spec["added_tokens"]]
         vocab = spec["model"]["vocab"]
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        if any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("special tokens must be plain strings")
+        self.added = added
+        self.marks = "(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")"
+        self.plain = {ord(c): b for c, b in letters.items()}
         self.bytes = [b""] * (max([*vocab.values(), *added.values()]) + 1)
         for token, i in vocab.items():
             self.bytes[i] = bytes(letters[c] for c in token) if token not in added else token.encode()
@@ -150,6 +156,20 @@ class Codec:
                 return a + middle + b
             window *= 2
 
+    def cut(self, text: str) -> list[int]:
+        """The ids of a text with special tokens or letters of unsure class: the library cuts it into words, whose ids are
+        found like all others'."""
+        out, known = [], {}
+        for part in re.split(self.marks, text) if self.special else [text]:
+            if part in self.added:
+                out.append(self.added[part])
+                continue
+            for word, _ in self.library.pre_tokenizer.pre_tokenize_str(part) if part else ():
+                if word not in known:
+                    known[word] = self.whole(word.translate(self.plain).encode("latin-1"))
+                out += known[word]
+        return out
+
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows and the n + 1 offsets of the rows in them."""
         n = len(offsets) - 1
@@ -185,10 +205,10 @@ class Codec:
         before = np.concatenate([[0], np.cumsum(count)])
         ids = self.flat[np.arange(before[-1]) + np.repeat(table[slot] - before[:-1], count)]
         out = before[np.searchsorted(starts, at)]
-        if odd:  # rows that the library encodes itself
+        if odd:  # rows that the library cuts into words itself
             parts = np.split(ids, out[1:-1])
             for r in set(odd):
-                parts[r] = np.array(self.library.encode(text[at[r] : at[r + 1]], add_special_tokens=False).ids, dtype=np.uint32)
+                parts[r] = np.array(self.cut(text[at[r] : at[r + 1]]), dtype=np.uint32)
             ids, out = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
         return ids.astype(np.uint32), out
 

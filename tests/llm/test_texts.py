@@ -230,3 +230,19 @@ def test_unlearned_languages_and_noise_are_rejected(spark):
     noise = spark.createDataFrame([(k * 10_000_000 + n * 100 + i, make(n)) for k, make in enumerate(made) for n in (40, 200, 1000, 5000) for i in range(10)], "doc_id long, text string")
     assert langid.predict(noise, model).where("NOT rejected").count() == 0
     assert langid.predict(docs.where("doc_id % 4 = 2 AND text RLIKE '\\\\p{L}'"), model).where("rejected").count() == 0
+
+
+def test_rare_letters_do_not_bypass_the_halves(library, monkeypatch):
+    tool, seen = bpe.Codec(PATH), []
+    texts = ["😀" + "ab!" * 3 + "x" * 9000 + " 😀😀 中<|endoftext|>" + "é" * 5000, "<|endoftext|><|endoftext|> a<|endoftext", "\U0001d400\U0001d401 it's  \n 𝟘1", "\u0cf3 ꟊ a's"]
+    whole = tool.whole
+    monkeypatch.setattr(tool, "whole", lambda data, *a: seen.append(len(data)) or whole(data, *a))
+    ids, at = tool.encode(*text_column(pa.array(texts, pa.string())))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+    class Cuts:
+        pre_tokenizer = library.pre_tokenizer
+
+    monkeypatch.setattr(tool, "library", Cuts)
+    again, _ = tool.encode(*text_column(pa.array(texts, pa.string())))
+    assert again.tolist() == ids.tolist() and max(seen) == 10_000
