@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,12 @@ def session_of(df: DataFrame) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none (tests, one machine)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where the session names none, a temporary one if driver
+    and executors are one process; on a cluster that is an error, as no machine-local folder would do."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = getattr(spark, "_quillweave_dir", None)
         if conf is None:
             conf = spark._quillweave_dir = "file://" + tempfile.mkdtemp(prefix="quillweave-")
@@ -57,6 +62,47 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for i in range(len(taken) + 1) if (n := f"{'_' * (i + 1)}{name}") not in taken) for name in names]
+
+
+#: Arrow batches between the engine and Python: bytes at most, where the session doesn't say (its own default is 64 MB).
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """mapInArrow in small batches; a worker gives its free memory back after each task, as it lives on between tasks."""
+    spark = session_of(df)
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(*BATCH_BYTES)
+    return df.mapInArrow(tidy(run), schema)
+
+
+def tidy(run: Callable) -> Callable:
+    def ran(batches):
+        import pyarrow as pa
+
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return ran
+
+
+def trim() -> None:
+    """Free pages go back to the system, where the C library can say so."""
+    import ctypes
+
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def fold(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
@@ -120,7 +166,7 @@ def wanted_rows(rows: DataFrame):
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(slots(*(c.to_numpy() for c in batch.columns))), pa.int32())], ["slot"])
 
     bits = np.zeros(WANTED, dtype=bool)
-    bits[rows.mapInArrow(run, "slot int").distinct().toArrow().column(0).to_numpy()] = True
+    bits[arrow(rows, run, "slot int").distinct().toArrow().column(0).to_numpy()] = True
     return session_of(rows).sparkContext.broadcast(np.packbits(bits))
 
 
@@ -174,6 +220,39 @@ def words(raw: np.ndarray, offsets: np.ndarray, of: np.ndarray = NOT_WHITE) -> t
     return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
+#: Distinct keys that a task holds before it passes their counts on.
+HELD = 1_000_000
+
+
+def key_counts(docs: DataFrame, keys: Callable, text_at: int = 0) -> DataFrame:
+    """(w, c): how often each int64 key occurs that keys(raw, offsets) finds in the texts of a column. Summed in each task
+    before they are shuffled."""
+    import pyarrow as pa
+
+    def merged(found, counts):
+        k, inverse = np.unique(np.concatenate(found), return_inverse=True)
+        return k, np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)
+
+    def run(batches):
+        found, counts, held = [], [], 0
+        out = lambda k, c: pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["w", "c"])
+        for part in pieces(batches, 1 << 20):
+            k, c = np.unique(keys(*text_column(part.column(text_at))), return_counts=True)
+            found.append(k)
+            counts.append(c)
+            held += len(k)
+            if held > HELD:
+                k, c = merged(found, counts)
+                found, counts, held = [k], [c], len(k)
+                if held > HELD // 2:
+                    yield out(k, c)
+                    found, counts, held = [], [], 0
+        if found:
+            yield out(*merged(found, counts))
+
+    return arrow(docs, run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+
+
 def overlaps(row: np.ndarray, column: np.ndarray, rows: int, left: np.ndarray, right: np.ndarray, step: int = 4096) -> np.ndarray:
     """How many columns each row of `left` shares with each of `right`, from the (row, column) places of ones. Products of
     dense strips of `step` columns, so memory doesn't grow with the number of columns."""
@@ -188,15 +267,15 @@ def overlaps(row: np.ndarray, column: np.ndarray, rows: int, left: np.ndarray, r
     return out
 
 
-def pieces(batches, limit: int = 4 << 20):
-    """Arrow batches cut into runs of rows of about limit bytes of text (column `text`), so that memory is bounded by the
-    longest text, not by the batch."""
+def pieces(batches, limit: int = 4 << 20, rows: int = 1 << 20):
+    """Arrow batches cut into runs of about `limit` bytes of text (column `text`) and at most `rows` rows, so that memory
+    is bounded by the longest text, not by the batch."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, at = text_column(batch.column(batch.schema.get_field_index("text")))
         i = 0
         while i < batch.num_rows:
-            j = max(i + 1, int(np.searchsorted(at, at[i] + limit, side="right")) - 1)
+            j = min(i + rows, max(i + 1, int(np.searchsorted(at, at[i] + limit, side="right")) - 1))
             yield batch.slice(i, j - i)
             i = j

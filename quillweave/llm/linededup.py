@@ -5,19 +5,24 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
+from quillweave.functions.arrays import let
+from quillweave.llm.common import U64, Scratch, arrow, fresh, is_wanted, key_counts, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
 
 #: Lines match at 100 * shared words >= PERCENT * words of either. Lines of fewer than LEAST different words stay, unless
 #: the caller asks for another least: with EVERY, as the query and the pipeline do, all lines with a word take part.
 PERCENT, LEAST, EVERY = 90, 4, 1
-#: Buckets of the counts that tell rare words from frequent ones, and of those that tell long inverted lists.
-WORDS, LISTS, LONG = 1 << 17, 1 << 20, 128
-#: Lines of a side of a compared block of a long list.
-BLOCK = 1024
+#: A word that occurs more often than RARE has no list of its own, but lists with each later word of a prefix. At most
+#: FREQUENT words are told apart so, the most frequent ones; their counts are broadcast (9 bytes each).
+RARE, FREQUENT = 64, 1 << 22
+#: A list of two words of more lines than LONG is compared in blocks of BLOCK x BLOCK lines.
+LONG, BLOCK = 128, 2048
 
-LINES = "doc_id long, line_no int, n int, d1 long, d2 long, sig long, prefix array<int>"
+LINES = "doc_id long, line_no long, n int, d1 long, d2 long, sig long, prefix array<long>"
+#: The lines of rows that share an id are numbered apart by this much.
+APART = 1 << 40
 
 
 def line_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -33,333 +38,317 @@ def line_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.repeat(np.arange(len(count)), count), np.arange(len(starts) - 1) - np.repeat(first, count)
 
 
-def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
-    """Words of a line's prefix: of two matching lines, the prefixes share one; lines too short to match any but equal
-    ones have none."""
-    need = -(-n * percent // 100)
-    return np.where(n * 100 >= percent * (n + 1), n - need + 1, 0)
+def misses(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many words of a line of n a match may lack: one that is as long or longer, and one that is as long or shorter."""
+    return n + (-2 * percent * n // (100 + percent)), n + (-percent * n // 100)
 
 
-def word_counts(docs: DataFrame) -> np.ndarray:
-    """How often the words of each bucket occur in all texts."""
+def has_partners(n: np.ndarray, percent: int) -> np.ndarray:
+    """Lines long enough to match others than equal ones."""
+    return n * 100 >= percent * (n + 1)
 
-    def run(batches):
-        total = np.zeros(WORDS, dtype=np.int64)
-        for part in pieces(batches, 1 << 20):
-            low = lower_bytes(text_column(part.column(1))[0])
-            at = text_column(part.column(1))[1]
-            start, end, _ = words(low, at)
-            total += np.bincount((range_hashes(low, start, end) & U64(WORDS - 1)).astype(np.int64), minlength=WORDS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
 
-    found = docs.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(WORDS, dtype=np.int64)
-    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    return out
+class Order:
+    """A total order of words, rare ones first: by the logarithm of their count if they are frequent, then by hash. A
+    word is 63 bits of its hash and a last bit that says whether it is frequent."""
 
+    def __init__(self, names: np.ndarray, counts: np.ndarray):
+        order = np.argsort(names)
+        self.names, self.level = names[order], np.minimum(255, np.log2(counts[order] + 1.0) * 6).astype(np.uint8)
 
-class Order:
-    """A total order of words, rare ones first: by the logarithm of their bucket's count, then by hash."""
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.names):
+            return np.zeros(len(hashes), np.uint8)
+        at = np.minimum(np.searchsorted(self.names, hashes), len(self.names) - 1)
+        return np.where(self.names[at] == hashes, self.level[at], 0).astype(np.uint8)
 
-    def __init__(self, counts: np.ndarray):
-        self.level = np.minimum(255, np.log2(counts + 1.0) * 6).astype(np.uint8)
 
-    def keys(self, hashes: np.ndarray) -> np.ndarray:
-        return (self.level[(hashes & U64(WORDS - 1)).astype(np.int64)].astype(U64) << U64(56)) | (mix(hashes) >> U64(8))
+def hashed(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    low = lower_bytes(raw)
+    start, end, _ = words(low, offsets)
+    return (range_hashes(low, start, end) & ~U64(1)).view(np.int64) if len(start) else np.zeros(0, np.int64)
+
+
+def word_order(docs: DataFrame, scratch: Scratch) -> Order:
+    """By exact counts of all words of all texts. The driver gets the frequent ones only, FREQUENT at most."""
+    common = scratch.keep(key_counts(docs.select("text"), hashed).where(F.col("c") > RARE))
+    by_level = {r["k"]: r["n"] for r in common.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect()}
+    least, n = max(by_level, default=0) + 1, 0
+    for k in sorted(by_level, reverse=True):
+        n += by_level[k]
+        if n > FREQUENT:
+            break
+        least = k
+    found = common.where(F.col("c") >= 2**least).toArrow()
+    scratch.drop(common)
+    return Order(*(found.column(c).to_numpy() for c in ("w", "c")))
 
 
 def line_sets(raw: np.ndarray, bounds: np.ndarray, order: Order) -> tuple[np.ndarray, np.ndarray]:
-    """(line, word) of the lines' distinct words, each line's in the order of rarity."""
+    """(line, word) of the lines' distinct words, each line's in order."""
     low = lower_bytes(raw)
     start, end, row = words(low, bounds)
     if not len(start):
-        return np.zeros(0, np.int64), np.zeros(0, U64)
-    keys, rank = np.unique(order.keys(range_hashes(low, start, end)), return_inverse=True)
-    both = np.sort((row.astype(np.int64) << 32) | rank)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    names, inverse = np.unique((range_hashes(low, start, end) & ~U64(1)).view(np.int64), return_inverse=True)
+    level = order.levels(names)
+    sort = np.argsort(level, kind="stable")
+    rank = np.empty(len(sort), dtype=np.int64)
+    rank[sort] = np.arange(len(sort))
+    both = np.sort((row.astype(np.int64) << 32) | rank[inverse])
     both = both[np.concatenate([[True], both[1:] != both[:-1]])]
-    return both >> 32, keys[both & 0xFFFFFFFF]
+    return both >> 32, (names | (level > 0))[sort][both & 0xFFFFFFFF]
 
 
-def lines(docs: DataFrame, counts: np.ndarray, percent: int, least: int) -> DataFrame:
-    """A row for each line of at least `least` different words: digests of its set, a 64-bit signature and the prefix
-    with one word more. And one for each document, with line_no -1 and the number of its lines in n."""
-    bound = session_of(docs).sparkContext.broadcast(Order(counts))
+def lines(docs: DataFrame, order: Order, percent: int, least: int) -> DataFrame:
+    """A row for each line of at least `least` different words: digests of its set, a 64-bit signature, and the words that
+    a match may lack, with two more. And one for each document, with line_no -1 - base, the number of its lines in n and its
+    key in d1."""
+    bound = session_of(docs).sparkContext.broadcast(order)
+    names = [f.split()[0] for f in LINES.split(", ")]
 
     def run(batches):
         for part in pieces(batches, 1 << 20):
             raw, at = text_column(part.column(1))
-            ids = part.column(0).to_numpy(zero_copy_only=False)
+            ids, base = part.column(0).to_numpy(zero_copy_only=False), part.column(2).to_numpy(zero_copy_only=False)
             bounds, doc, number = line_bounds(raw, at)
             row, word = line_sets(raw, bounds, bound.value)
             n = np.bincount(row, minlength=len(doc))
             first = np.concatenate([[0], np.cumsum(n)])
             use = np.flatnonzero(n >= least)
+            plain = word.view(U64)
             with np.errstate(over="ignore"):
-                digests = [np.concatenate([np.zeros(1, U64), np.cumsum(mix(word ^ U64(salt)))]) for salt in (0x13579BDF, 0x2468ACE1)]
+                digests = [np.concatenate([np.zeros(1, U64), np.cumsum(mix(plain ^ U64(salt)))]) for salt in (0x13579BDF, 0x2468ACE1)]
                 digests = [(d[first[use + 1]] - d[first[use]]).view(np.int64) for d in digests]
-            bits = U64(1) << (mix(word) & U64(63))
-            sig = np.bitwise_or.reduceat(bits, first[:-1][n > 0]) if len(word) else np.zeros(0, U64)
             full = np.zeros(len(doc), dtype=U64)
-            full[n > 0] = sig
-            p = prefix_length(n, percent)
-            p = np.where((n >= least) & (p > 0), p + 1, 0)
+            if len(word):
+                full[n > 0] = np.bitwise_or.reduceat(U64(1) << (mix(plain) & U64(63)), first[:-1][n > 0])
+            p = np.where((n >= least) & has_partners(n, percent), np.minimum(n, misses(n, percent)[1] + 2), 0)
             mine = np.arange(len(word)) - first[:-1][row] < p[row]
             offsets = np.concatenate([[0], np.cumsum(p[use])]).astype(np.int32)
-            prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(word[mine].astype(np.uint32).view(np.int32)))
-            names = [f.split()[0] for f in LINES.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[doc[use]]), pa.array(number[use], pa.int32()), pa.array(n[use], pa.int32()), *map(pa.array, digests), pa.array(full[use].view(np.int64)), prefix], names)
+            prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(word[mine]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[doc[use]]), pa.array(base[doc[use]] + number[use]), pa.array(n[use], pa.int32()), *map(pa.array, digests), pa.array(full[use].view(np.int64)), prefix], names)
             none = np.zeros(len(ids), np.int64)
-            empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(ids) + 1, np.int32)), pa.array([], pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(none - 1, pa.int32()), pa.array(np.bincount(doc, minlength=len(ids)), pa.int32()), pa.array(none), pa.array(none), pa.array(none), empty], names)
-
-    return docs.mapInArrow(run, LINES)
-
-
-def long_lists(rows: DataFrame, column: str) -> bytes:
-    """A bitmap of the buckets whose values (an array or a plain column) occur more than LONG times."""
-
-    def count(batches):
-        total = np.zeros(LISTS, dtype=np.int64)
-        for batch in batches:
-            values = batch.column(0)
-            total += np.bincount(_bucket((values.flatten() if pa.types.is_list(values.type) else values).to_numpy()), minlength=LISTS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
-
-    found = rows.select(column).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LONG)
-    hot = np.zeros(LISTS, dtype=bool)
-    hot[found.select("bucket").toArrow().column(0).to_numpy()] = True
-    return np.packbits(hot).tobytes()
-
-
-def _bucket(values: np.ndarray) -> np.ndarray:
-    return (values.astype(np.int64) & (LISTS - 1)).astype(np.int64)
+            empty = pa.ListArray.from_arrays(pa.array(np.zeros(len(ids) + 1, np.int32)), pa.array([], pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(-1 - base), pa.array(np.bincount(doc, minlength=len(ids)), pa.int32()), part.column(3), pa.array(none), pa.array(none), empty], names)
 
+    return arrow(docs, run, LINES)
 
-def _bits(packed: bytes) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
 
+POSTS = "k1 long, k2 long, probe boolean, pos int, d long, l long, n int, sig long"
 
-def pair_keys(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """The list of two prefix words together: negative, so never a single word's."""
-    return (mix((one << 32 | two).astype(U64)) | U64(1 << 63)).view(np.int64)
 
-
-def postings(classes: DataFrame, hot: bytes) -> DataFrame:
-    """(key, pos, d, l, n, sig): a prefix word's own list if it is short. If it is long, the lists of the word with each
-    later word of the prefix and the one after it: two matching lines share two words of those, the first two they have
-    in common."""
-    bound = session_of(classes).sparkContext.broadcast(hot)
+def postings(classes: DataFrame, percent: int) -> DataFrame:
+    """The lists that a line stands in, as one that a longer or equal line may match, and (probe) as one that may match
+    a shorter or equal one: for each word that the other may lack and the next, the word's own list (k2 is 0) if it is rare,
+    else those of the word and each later one up to one more. Matching lines share the list of their first common word, or, if
+    that is frequent, of their first two."""
 
     def run(batches):
-        is_hot = _bits(bound.value)
         for batch in batches:
             column = batch.column(4)
             size = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
-            flat = column.flatten().to_numpy().view(np.uint32).astype(np.int64)
+            flat = column.flatten().to_numpy()
             if not len(flat):
                 continue
+            n = batch.column(2).to_numpy().astype(np.int64)
             row = np.repeat(np.arange(len(size)), size)
             pos = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-            last = pos == size[row] - 1
-            long = is_hot[_bucket(flat)]
-            short = np.flatnonzero(~long & ~last)
-            at, keys = [short], [flat[short]]
-            wide = np.flatnonzero(long & ~last)
-            after = size[row[wide]] - 1 - pos[wide]
-            one = np.repeat(wide, after)
-            two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(after) - after, after)
-            at.append(one)
-            keys.append(pair_keys(flat[one], flat[two]))
+            often = (flat & 1).astype(bool)
+            at, k1, k2, probe = [], [], [], []
+            for asks, lacks in enumerate(misses(n, percent)):
+                lacks = lacks[row]
+                one = np.flatnonzero(~often & (pos <= lacks))
+                wide = np.flatnonzero(often & (pos <= lacks))
+                after = np.minimum(size[row[wide]], lacks[wide] + 2) - 1 - pos[wide]
+                left = np.repeat(wide, after)
+                right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+                at += [one, left]
+                k1 += [flat[one], flat[left]]
+                k2 += [np.zeros(len(one), np.int64), flat[right]]
+                probe.append(np.full(len(one) + len(left), bool(asks)))
             at = np.concatenate(at)
             take = pa.array(row[at])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(pos[at] + 1, pa.int32()), *(batch.column(i).take(take) for i in range(4))], ["key", "pos", "d", "l", "n", "sig"])
+            made = [pa.array(np.concatenate(k1)), pa.array(np.concatenate(k2)), pa.array(np.concatenate(probe)), pa.array(pos[at] + 1, pa.int32()), *(batch.column(i).take(take) for i in range(4))]
+            out = pa.RecordBatch.from_arrays(made, [f.split()[0] for f in POSTS.split(", ")])
+            for i in range(0, out.num_rows, 65_536):
+                yield out.slice(i, 65_536)
 
-    return classes.select("d", "l", "n", "sig", "prefix").mapInArrow(run, "key long, pos int, d long, l int, n int, sig long")
+    return arrow(classes.select("d", "l", "n", "sig", "prefix"), run, POSTS)
 
 
 def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
-    """(xd, xl, yd, yl) of lines, x before y, that share a list and pass the filters of length, of position (what follows
-    the shared word must suffice) and of signature (bits that differ are words that differ)."""
-    x, y = posts.select("key", *(F.col(c).alias(f"x{c}") for c in ("pos", "d", "l", "n", "sig"))), posts.select("key", *(F.col(c).alias(f"y{c}") for c in ("pos", "d", "l", "n", "sig")))
+    """(xd, xl, yd, yl) of lines that share a list, x the shorter or, of equal ones, the earlier, and pass the filters of
+    length, of position (what follows the shared word must suffice) and of signature (bits that differ are words that differ)."""
+    side = lambda k, probe: posts.where(F.col("probe") == probe).select("k1", "k2", *(F.col(c).alias(f"{k}{c}") for c in ("pos", "d", "l", "n", "sig")))
     total = F.col("xn") + F.col("yn")
     need = F.ceil(total * percent / (100.0 + percent) - 1e-6)
-    ahead = (F.col("xd") < F.col("yd")) | ((F.col("xd") == F.col("yd")) & (F.col("xl") < F.col("yl")))
-    fits = (F.col("xn") * 100 >= F.col("yn") * percent) & (F.col("yn") * 100 >= F.col("xn") * percent)
+    ahead = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & ((F.col("xd") < F.col("yd")) | ((F.col("xd") == F.col("yd")) & (F.col("xl") < F.col("yl")))))
+    fits = F.col("xn") * 100 >= F.col("yn") * percent
     rest = F.least(F.col("xn") - F.col("xpos"), F.col("yn") - F.col("ypos")) + 1
     differ = F.bit_count(F.col("xsig").bitwiseXOR(F.col("ysig")))
-    return x.join(y, "key").where(ahead & fits & (rest >= need) & (differ <= total - 2 * need)).select("xd", "xl", "yd", "yl").distinct()
+    return side("x", False).join(side("y", True), ["k1", "k2"]).where(ahead & fits & (rest >= need) & (differ <= total - 2 * need)).select("xd", "xl", "yd", "yl")
 
 
-def fetched(lines_: DataFrame, docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(d, l, words) of the wanted lines (d, l), and maybe of others: their distinct words in the order of rarity."""
-    wanted, order = wanted_rows(lines_), session_of(docs).sparkContext.broadcast(Order(counts))
+def fetched(lines_: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
+    """(d, l, words) of the wanted lines (d, l), and maybe of others: their distinct words in order."""
+    wanted, bound = wanted_rows(lines_), session_of(docs).sparkContext.broadcast(order)
 
     def run(batches):
         for part in pieces(batches, 1 << 20):
             raw, at = text_column(part.column(1))
-            ids = part.column(0).to_numpy(zero_copy_only=False)
+            ids, base = part.column(0).to_numpy(zero_copy_only=False), part.column(2).to_numpy(zero_copy_only=False)
             bounds, doc, number = line_bounds(raw, at)
+            number = number + base[doc]
             use = np.flatnonzero(is_wanted(wanted.value, ids[doc], number))
             if len(use):
                 own = np.concatenate([raw[bounds[i] : bounds[i + 1]] for i in use.tolist()])
                 cut = np.concatenate([[0], np.cumsum(bounds[use + 1] - bounds[use])])
-                row, word = line_sets(own, cut, order.value)
+                row, word = line_sets(own, cut, bound.value)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(use)))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[doc[use]]), pa.array(number[use], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(word.view(np.int64)))], ["d", "l", "words"])
-
-    return docs.mapInArrow(run, "d long, l int, words array<long>").dropDuplicates(["d", "l", "words"])
-
-
-def _first_two(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The two first words that both lines have, as they stand in prefixes (32 bits)."""
-    both = np.intersect1d(x.view(U64), y.view(U64), assume_unique=True)[:2]
-    return both.astype(np.uint32).astype(np.int64)
-
-
-COUNTS = "d long, l int, links long, later int"
-
+                yield pa.RecordBatch.from_arrays([pa.array(ids[doc[use]]), pa.array(number[use]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(word))], ["d", "l", "words"])
 
-def _counted(d: np.ndarray, line: np.ndarray, links: np.ndarray, later: np.ndarray) -> pa.RecordBatch:
-    keep = links > 0
-    return pa.RecordBatch.from_arrays([pa.array(d[keep], pa.int64()), pa.array(line[keep], pa.int32()), pa.array(links[keep], pa.int64()), pa.array(later[keep].astype(np.int32))], ["d", "l", "links", "later"])
+    return arrow(docs, run, "d long, l long, words array<long>")
 
 
-def pair_links(pairs: DataFrame, words_: DataFrame, percent: int, hot: bytes, blocked: bytes) -> DataFrame:
+def pair_links(pairs: DataFrame, words_: DataFrame, blocked: DataFrame, percent: int) -> DataFrame:
     """(d, l, links, later): links of pairs whose whole word sets are similar enough. Pairs whose first two common words
     make a blocked list are counted there, so they are left out here."""
     side = lambda k: words_.select(F.col("d").alias(f"{k}d"), F.col("l").alias(f"{k}l"), F.col("words").alias(f"{k}w"))
-    both = F.size(F.array_intersect("xw", "yw"))
-    joined = pairs.join(side("x"), ["xd", "xl"]).join(side("y"), ["yd", "yl"]).where(100 * both >= percent * (F.size("xw") + F.size("yw") - both)).select("xd", "xl", "yd", "yl", "xw", "yw")
-    bound = session_of(pairs).sparkContext.broadcast((hot, blocked))
+    joined = pairs.join(side("x"), ["xd", "xl"]).join(side("y"), ["yd", "yl"]).withColumn("both", F.array_intersect("xw", "yw"))
+    alike = 100 * F.size("both") >= percent * (F.size("xw") + F.size("yw") - F.size("both"))
+    found = joined.where(alike).select("xd", "xl", "yd", "yl", F.col("both")[0].alias("k1"), F.try_element_at("both", F.lit(2)).alias("k2")).join(blocked.select("k1", "k2"), ["k1", "k2"], "left_anti")
+    ahead = (F.col("xd") < F.col("yd")) | ((F.col("xd") == F.col("yd")) & (F.col("xl") < F.col("yl")))
+    of = lambda d, l, late: F.struct(F.col(d).alias("d"), F.col(l).alias("l"), F.lit(1).cast("long").alias("links"), late.cast("int").alias("later"))  # noqa: E731, E741
+    return found.select(F.explode(F.array(of("xd", "xl", ~ahead), of("yd", "yl", ahead))).alias("c")).select("c.*")
 
-    def run(batches):
-        is_hot, is_blocked = map(_bits, bound.value)
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            xs, ys = ([np.asarray(v, dtype=np.int64) for v in batch.column(c).to_pylist()] for c in (4, 5))
-            first = np.array([np.resize(_first_two(x, y), 2) for x, y in zip(xs, ys, strict=True)])
-            mine = ~(is_hot[_bucket(first[:, 0])] & is_blocked[_bucket(pair_keys(first[:, 0], first[:, 1]))])
-            d = np.concatenate([batch.column(c).to_numpy() for c in (0, 2)])
-            line = np.concatenate([batch.column(c).to_numpy() for c in (1, 3)])
-            yield _counted(d, line, np.tile(mine, 2).astype(np.int64), np.repeat([0, 1], n))
 
-    return joined.mapInArrow(run, COUNTS)
+COUNTS = "d long, l long, links long, later int"
 
 
-def block_links(posts: DataFrame, words_: DataFrame, percent: int) -> DataFrame:
-    """(d, l, links, later) of the lines of long lists of two words: every pair of a list whose first two common words
-    are the list's is compared as a whole.
+def block_links(posts: DataFrame, blocked: DataFrame, words_: DataFrame, percent: int) -> DataFrame:
+    """(d, l, links, later) of the lines of blocked lists: every pair of a list whose first two common words are the
+    list's is compared as a whole.
 
     A list is dealt into chunks of BLOCK lines by hash and each pair of chunks is compared by one task, by matrix products:
     how many words two lines share, and whether they share one that comes before the list's. Only sums by line leave it.
     """
-    sizes = posts.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
-    dealt = posts.select("key", "d", "l", "pos").join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("d", "l"), "chunks").cast("int"))
+    dealt = posts.join(blocked, ["k1", "k2"]).select("k1", "k2", "d", "l", F.pmod(F.xxhash64("d", "l"), "chunks").cast("int").alias("mine"), "chunks").distinct()
     cells = dealt.join(words_, ["d", "l"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    cells = cells.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "d", "l", "pos", "words")
+    cells = cells.select("k1", "k2", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "d", "l", "words")
 
     def compare(key, table):
+        w1, w2, i, j = (k.as_py() for k in key)
         d, line, mine = (table.column(c).to_numpy() for c in ("d", "l", "mine"))
         lists = table.column("words").combine_chunks()
         size = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
-        values, at = np.unique(lists.flatten().to_numpy().view(U64), return_inverse=True)
+        flat = lists.flatten().to_numpy()
+        values, at = np.unique(flat, return_inverse=True)
         row = np.repeat(np.arange(len(d)), size)
-        short = values.astype(np.uint32).astype(np.int64)
-        # The list's two words, among those that the first line holds: the pair whose key it is.
-        own = short[at[: size[0]]]
-        one, two = np.meshgrid(own[: prefix_length(size[:1], percent)[0] + 1], own[: prefix_length(size[:1], percent)[0] + 1], indexing="ij")
-        hit = np.argwhere((pair_keys(one.ravel(), two.ravel()) == key[0].as_py()).reshape(one.shape))[0]
-        w1, w2 = at[: size[0]][hit[0]], at[: size[0]][hit[1]]
+        pos = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        until = np.zeros(len(d), dtype=np.int64)
+        until[row[flat == w2]] = pos[flat == w2]
+        has = np.isin(np.arange(len(d)), row[flat == w1]) & np.isin(np.arange(len(d)), row[flat == w2])
         often = np.bincount(at, minlength=len(values)) > 1
         slot = np.cumsum(often) - 1
         keep = often[at]
-        early = keep & (at < w2) & (at != w1)
-        left, right = np.flatnonzero(mine == key[1].as_py()), np.flatnonzero(mine == key[2].as_py())
+        early = keep & (pos < until[row]) & (flat != w1)
+        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
         shared = overlaps(row[keep], slot[at[keep]], len(d), left, right)
         earlier = overlaps(row[early], slot[at[early]], len(d), left, right)
         total = size[left][:, None] + size[right][None, :]
-        has = np.isin(np.arange(len(d)), row[at == w1]) & np.isin(np.arange(len(d)), row[at == w2])
         ok = (100 * shared >= percent * (total - shared)) & (earlier == 0) & has[left][:, None] & has[right][None, :]
-        order = np.lexsort((line, d))
         place = np.empty(len(d), dtype=np.int64)
-        place[order] = np.arange(len(d))
-        if key[1].as_py() == key[2].as_py():
+        place[np.lexsort((line, d))] = np.arange(len(d))
+        if i == j:
             np.fill_diagonal(ok, False)
-        links, later = np.zeros(len(d), dtype=np.int64), np.zeros(len(d), dtype=np.int64)
+        links, later = np.zeros(len(d), dtype=np.int64), np.zeros(len(d), dtype=np.int32)
         links[left] += ok.sum(axis=1)
         later[left] |= (ok & (place[right][None, :] < place[left][:, None])).any(axis=1)
-        if key[1].as_py() != key[2].as_py():
+        if i != j:
             links[right] += ok.sum(axis=0)
             later[right] |= (ok & (place[left][:, None] < place[right][None, :])).any(axis=0)
-        return pa.Table.from_batches([_counted(d, line, links, later)])
+        some = links > 0
+        return pa.table({"d": pa.array(d[some], pa.int64()), "l": pa.array(line[some], pa.int64()), "links": pa.array(links[some]), "later": pa.array(later[some])})
 
-    return cells.groupBy("key", "i", "j").applyInArrow(compare, COUNTS)
+    return cells.groupBy("k1", "k2", "i", "j").applyInArrow(compare, COUNTS)
 
 
-def links_of(classes: DataFrame, docs: DataFrame, counts: np.ndarray, percent: int, scratch: Scratch) -> DataFrame:
+def links_of(classes: DataFrame, docs: DataFrame, order: Order, percent: int, scratch: Scratch) -> DataFrame:
     """(d, l, links, later) of the classes' first lines: how many classes match, and whether one of them comes before.
 
-    Short lists give pairs, which the filters leave few of. Long lists of two words are compared in blocks, as a family of
-    thousands of variants of a line would give the square of that in pairs.
+    Lists of one rare word hold RARE lines at most, lists of two words mostly few: both give pairs, which the filters leave
+    few of. Long lists of two words are compared in blocks, as a family of thousands of variants of a line would give the
+    square of that in pairs. Whether a list is long is counted exactly, and no pair depends on it.
     """
-    hot = long_lists(classes, "prefix")
-    posts = scratch.keep(postings(classes, hot))
-    blocked = long_lists(posts.where("key < 0"), "key")
-    bound = session_of(classes).sparkContext.broadcast(blocked)
-
-    def flagged(batches):
-        is_blocked = _bits(bound.value)
-        for batch in batches:
-            key = batch.column(0).to_numpy()
-            yield batch.append_column("long", pa.array((key < 0) & is_blocked[_bucket(key)]))
-
-    marked = posts.mapInArrow(flagged, "key long, pos int, d long, l int, n int, sig long, long boolean")
-    pairs = scratch.keep(candidate_pairs(marked.where("NOT long").drop("long"), percent))
-    dense = scratch.keep(marked.where("long").select("key", "pos", "d", "l"))
-    wanted = pairs.select("xd", "xl").union(pairs.select("yd", "yl")).union(dense.select("d", "l")).select(F.col("xd").alias("d"), F.col("xl").cast("long").alias("l"))
-    words_ = scratch.keep(fetched(wanted, docs, counts))
-    found = pair_links(pairs, words_, percent, hot, blocked).union(block_links(dense, words_, percent))
-    return found.groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later"))
+    posts = scratch.keep(postings(classes, percent))
+    double = posts.where("k2 <> 0")
+    blocked = scratch.keep(double.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")))
+    pairs = scratch.keep(candidate_pairs(posts.where("k2 = 0"), percent).union(candidate_pairs(double.join(blocked, ["k1", "k2"], "left_anti"), percent)).distinct())
+    dense = double.join(blocked, ["k1", "k2"], "left_semi").select("d", "l")
+    wanted = pairs.select(F.col("xd").alias("d"), F.col("xl").alias("l")).union(pairs.select("yd", "yl")).union(dense)
+    words_ = scratch.keep(fetched(wanted, docs, order))
+    found = scratch.keep(pair_links(pairs, words_, blocked, percent).union(block_links(double, blocked, words_, percent)).groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later")))
+    scratch.drop(posts, blocked, pairs, words_)
+    return found
+
+
+def numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, text, base, key): exactly repeated rows once; rows that share an id but not the text have bases of their own,
+    which set their lines' numbers apart."""
+    row = lambda d, base: d.select("doc_id", "text", base.cast("long").alias("base"), text_key().alias("key"))
+    many = scratch.keep(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if many.isEmpty():
+        return row(docs, F.lit(0))
+    again = docs.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy(text_key(), F.length("text"))) - 1
+    return scratch.keep(row(docs.join(many, "doc_id", "left_anti"), F.lit(0)).union(row(again, place * F.lit(APART))))
+
+
+def text_key(text_col: str = "text"):
+    """What tells rows of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def match_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, least: int = LEAST) -> DataFrame:
-    """One row per document id: doc_id, n_lines, removed (array of line numbers from 0), n_links, class_id.
+    """One row per different (document id, text): doc_id, text_key, n_lines, removed (array of line numbers from 0), n_links,
+    class_id.
 
     Lines with equal word sets (A-Z in lower case; words by white space) are one class, whose first line is that with the
     smallest (doc_id, number). Classes whose sets have a Jaccard similarity of at least percent / 100 are linked, all of
     them, exactly. A line is removed if its class or a linked one has an earlier first line. n_links counts the links of
     the classes of the document's lines; class_id is the smallest document with an equal line, itself included. Lines of fewer
     than `least` different words stay. A null text is empty. Documents with a null id take no part and give one row
-    each, without removals; rows with the same id count as one document.
+    each, without removals. Exactly repeated rows count once; rows with the same id and other texts are documents of their
+    own, in the order of their texts' hashes.
     """
     scratch = Scratch(session_of(docs), "lines")
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    known = docs.where(F.col("doc_id").isNotNull())
-    counts = word_counts(known)
-    every = scratch.keep(lines(known, counts, percent, least))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    known = numbered(docs.where(F.col("doc_id").isNotNull()), scratch)
+    order = word_order(known, scratch)
+    every = scratch.keep(lines(known, order, percent, least))
     own = every.where("line_no >= 0")
     classes = scratch.keep(own.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")).select("n", "d1", "d2", F.col("f.doc_id").alias("d"), F.col("f.line_no").alias("l"), "sig", "prefix"))
-    searched = classes.where(F.size("prefix") > 0)
-    per_line = scratch.keep(links_of(searched, known, counts, percent, scratch))
+    per_line = links_of(classes.where(F.size("prefix") > 0), known, order, percent, scratch)
     decided = classes.select("n", "d1", "d2", "d", "l").join(per_line, ["d", "l"], "left").select("n", "d1", "d2", "d", "l", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("later", F.lit(0)).alias("later"))
     flagged = own.select("doc_id", "line_no", "n", "d1", "d2").join(decided, ["n", "d1", "d2"])
     gone = (F.col("later") == 1) | (F.col("doc_id") != F.col("d")) | (F.col("line_no") != F.col("l"))
-    rows = flagged.select("doc_id", F.when(gone, F.col("line_no")).alias("gone"), "links", F.col("d").alias("first"), F.lit(0).alias("lines"))
-    rows = rows.union(every.where("line_no < 0").select("doc_id", F.lit(None).cast("int"), F.lit(0).cast("long"), F.col("doc_id"), "n"))
-    found = rows.groupBy("doc_id").agg(F.sum("lines").alias("n_lines"), F.array_sort(F.collect_set("gone")).alias("removed"), F.sum("links").alias("n_links"), F.min("first").alias("class_id"))
+    base = F.shiftright("line_no", 40)
     none = F.lit(None).cast("long")
-    lost = docs.where(F.col("doc_id").isNull()).select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"), F.array().cast("array<int>").alias("removed"), F.lit(0).cast("long").alias("n_links"), none.alias("class_id"))
+    rows = flagged.select("doc_id", base.alias("base"), none.alias("key"), F.when(gone, F.col("line_no").bitwiseAND(APART - 1)).cast("int").alias("gone"), "links", F.col("d").alias("first"), F.lit(0).alias("lines"))
+    rows = rows.union(every.where("line_no < 0").select("doc_id", F.shiftright(-1 - F.col("line_no"), 40), "d1", F.lit(None).cast("int"), F.lit(0).cast("long"), F.col("doc_id"), "n"))
+    found = rows.groupBy("doc_id", "base").agg(F.max("key").alias("text_key"), F.sum("lines").alias("n_lines"), F.array_sort(F.collect_set("gone")).alias("removed"), F.sum("links").alias("n_links"), F.min("first").alias("class_id")).drop("base")
+    lost = docs.where(F.col("doc_id").isNull()).select("doc_id", text_key().alias("text_key"), F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.array().cast("array<int>").alias("removed"), F.lit(0).cast("long").alias("n_links"), none.alias("class_id"))
     return found.unionByName(lost)
 
 
 def remove_lines(docs: DataFrame, matched: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the lines that match_lines removes. Documents that lose a line and keep no word are left out."""
-    gone = matched.where(F.size("removed") > 0).select(F.col("doc_id").alias("_id"), F.col("removed").alias("_gone"))
-    joined = docs.join(gone, docs[id_col] == F.col("_id"), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)
-    return joined.withColumn(text_col, text).where(F.col("_gone").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
+    """docs without the lines that match_lines removes, row by row: rows of one id lose their own lines only, exactly repeated
+    rows the same ones. Documents that lose a line and keep no word are left out. Any other columns stay, whatever their names."""
+    id_, key, removed = fresh(docs, "id", "key", "gone")
+    gone = matched.where(F.size("removed") > 0).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("removed").alias(removed))
+    joined = docs.join(gone, (docs[id_col] == F.col(id_)) & (text_key(text_col) == F.col(key)), "left")
+    every = F.split(F.col(text_col), "\n")
+    kept = let(every, lambda x: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(removed)), lambda i: F.element_at(x, i + 1)), "\n"))
+    text = F.when(F.col(removed).isNull(), F.col(text_col)).otherwise(kept)
+    return joined.withColumn(text_col, text).where(F.col(removed).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
