@@ -108,6 +108,11 @@ def fold(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def hash_bound(wanted: int, rows: int) -> int:
+    """About `wanted` of so many rows have an xxhash64 up to this."""
+    return min((1 << 63) - 1, -(1 << 63) + wanted * (1 << 64) // max(1, rows))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (two multiply-xorshift rounds) of an array of uint64."""
     with np.errstate(over="ignore"):
@@ -267,13 +272,13 @@ def overlaps(row: np.ndarray, column: np.ndarray, rows: int, left: np.ndarray, r
     return out
 
 
-def pieces(batches, limit: int = 4 << 20, rows: int = 1 << 20):
-    """Arrow batches cut into runs of about `limit` bytes of text (column `text`) and at most `rows` rows, so that memory
+def pieces(batches, limit: int = 4 << 20, rows: int = 1 << 20, text_at: int | str = "text"):
+    """Arrow batches cut into runs of about `limit` bytes of text (the column of that place or name) and at most `rows` rows, so that memory
     is bounded by the longest text, not by the batch."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, at = text_column(batch.column(batch.schema.get_field_index("text")))
+        _, at = text_column(batch.column(text_at))
         i = 0
         while i < batch.num_rows:
             j = min(i + rows, max(i + 1, int(np.searchsorted(at, at[i] + limit, side="right")) - 1))

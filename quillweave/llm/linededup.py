@@ -16,8 +16,9 @@ from quillweave.llm.common import U64, Scratch, arrow, fresh, is_wanted, key_cou
 PERCENT, LEAST, EVERY = 90, 4, 1
 #: A word that occurs more often than RARE has no list of its own, but lists with each later word of a prefix. At most
 #: FREQUENT words are told apart so, the most frequent ones; their counts are broadcast (9 bytes each).
-RARE, FREQUENT = 64, 1 << 22
-#: A list of two words of more lines than LONG is compared in blocks of BLOCK x BLOCK lines.
+RARE, FREQUENT = 128, 1 << 22
+#: A list of two words of more lines than LONG (as many as a rare word's list may hold) is compared in blocks of BLOCK x
+#: BLOCK lines.
 LONG, BLOCK = 128, 2048
 
 LINES = "doc_id long, line_no long, n int, d1 long, d2 long, sig long, prefix array<long>"
@@ -283,13 +284,15 @@ def links_of(classes: DataFrame, docs: DataFrame, order: Order, percent: int, sc
     """
     posts = scratch.keep(postings(classes, percent))
     double = posts.where("k2 <> 0")
-    blocked = scratch.keep(double.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")))
-    pairs = scratch.keep(candidate_pairs(posts.where("k2 = 0"), percent).union(candidate_pairs(double.join(blocked, ["k1", "k2"], "left_anti"), percent)).distinct())
+    lists = scratch.keep(double.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("probe").alias("asked"), F.min("probe").alias("only")).where("asked AND NOT only").select("k1", "k2", "n"))
+    blocked = lists.where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
+    short = double.join(lists.where(F.col("n") <= LONG), ["k1", "k2"], "left_semi")
+    pairs = scratch.keep(candidate_pairs(posts.where("k2 = 0"), percent).union(candidate_pairs(short, percent)).distinct())
     dense = double.join(blocked, ["k1", "k2"], "left_semi").select("d", "l")
     wanted = pairs.select(F.col("xd").alias("d"), F.col("xl").alias("l")).union(pairs.select("yd", "yl")).union(dense)
     words_ = scratch.keep(fetched(wanted, docs, order))
     found = scratch.keep(pair_links(pairs, words_, blocked, percent).union(block_links(double, blocked, words_, percent)).groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later")))
-    scratch.drop(posts, blocked, pairs, words_)
+    scratch.drop(posts, lists, pairs, words_)
     return found
 
 

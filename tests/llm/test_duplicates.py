@@ -112,6 +112,7 @@ def lines(seed, n=160):
 
 
 def test_lines_are_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "RARE", 6)
     monkeypatch.setattr(linededup, "LONG", 15)
     monkeypatch.setattr(linededup, "BLOCK", 48)
     rows = lines(3)
@@ -142,3 +143,12 @@ def test_short_lines_take_part(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r.doc_id: r.text for r in pipeline.line_dedup(spark, docs, "").collect()}
     assert kept[0] == rows[0][1] and kept[3] == "this line is only in text 3\n" and 8 not in kept and kept[10] == "\n"
+
+
+def test_rows_of_one_id_keep_their_own_lines(spark):
+    rows = [(1, "a b c d e\nfirst"), (2, "p q r s t\nkeep this line too"), (2, "a b c d e\nother words stand here"), (3, "x y z\nx y z"), (3, "x y z\nx y z")]
+    docs = spark.createDataFrame([(i, t, 7, 8, 9) for i, t in rows], "doc_id long, text string, _gone int, _id int, _key int")
+    matched = linededup.match_lines(docs, least=linededup.EVERY)
+    assert sorted((r.doc_id, r.n_lines, len(r.removed)) for r in matched.collect()) == [(1, 2, 0), (2, 2, 0), (2, 2, 1), (3, 2, 1)]
+    kept = sorted((r.doc_id, r.text, r._gone, r._id) for r in linededup.remove_lines(docs, matched).collect())
+    assert kept == [(1, rows[0][1], 7, 8), (2, "other words stand here", 7, 8), (2, rows[1][1], 7, 8), (3, "x y z", 7, 8), (3, "x y z", 7, 8)]
