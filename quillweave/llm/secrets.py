@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import Scratch, session_of
+from quillweave.llm.common import Scratch, fresh, session_of
 
 #: The kinds in their order, each with its pattern and the least length of its value.
 KINDS = (
@@ -17,8 +17,8 @@ ASSIGN_VALUE = 8
 #: The method's own candidates: unbroken runs of key characters, with digits and both cases and many different letters.
 BLOB = ("blob", r"[A-Za-z0-9+/_-]{20,}")
 BLOB_MOST, BLOB_DISTINCT = 256, 12
-#: A value that more owners than this have is a widely copied example.
-MAX_OWNERS = 2
+#: A value that more owners or more documents than this have is a widely copied example.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 20
 MARK = "\x01"
 STEP = 256
 
@@ -80,19 +80,19 @@ def _text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """Per row of docs: doc_id, key, base (spans), added (spans of the method), live (values' spans that are
     owner-specific), n_live and n_example.
 
-    Base spans: the three kinds of KINDS; those of a value that at most max_owners owners hold count as live, others as
-    widely copied examples. Added spans: live blobs that no base span overlaps. A null text is empty, a null owner is an
+    Base spans: the three kinds of KINDS; those of a value that at most max_owners owners and max_repositories documents hold
+    count as live, others as widely copied examples (also where one owner alone has copied it). Added spans: live blobs that no base span overlaps. A null text is empty, a null owner is an
     owner of its own, a null id a repository of its own; repeated rows give repeated results and count once as a repository.
     """
     scratch = Scratch(session_of(docs), "secrets")
     found = scratch.keep(candidates(docs, id_col, text_col, owner_col))
-    owners = ownership(found)
+    owners = ownership(found).where((F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)).select("value")
     each = found.where(F.size(F.concat("base", "blob")) > 0).select("key", F.explode(F.concat("base", "blob")).alias("s")).select("key", F.col("s.value").alias("value")).distinct()
-    live = each.join(owners, "value").where(F.col("n_owners") <= max_owners).groupBy("key").agg(F.collect_set("value").alias("live"))
+    live = each.join(owners, "value", "left_semi").groupBy("key").agg(F.collect_set("value").alias("live"))
     joined = found.join(live, "key", "left").withColumn("live", F.coalesce("live", F.array().cast("array<bigint>")))
     is_live = lambda s: F.array_contains(F.col("live"), s["value"])
     clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
@@ -109,17 +109,19 @@ def digest(scanned: DataFrame) -> DataFrame:
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", placeholder: str = "<SECRET>") -> DataFrame:
     """docs with every live span of their texts replaced by the placeholder; widely copied examples stay. A null text
     stays null; overlapping spans are masked as one."""
-    scanned = scan(docs, id_col, text_col, owner_col).where(F.size("live") > 0).groupBy("key").agg(F.first("live").alias("live"))
-    key = F.struct(F.xxhash64(F.col(id_col), F.col(owner_col).cast("string"), F.coalesce(F.col(text_col), F.lit(""))).alias("a"), F.hash(F.coalesce(F.col(text_col), F.lit("")), F.col(id_col)).alias("b"))
-    joined = docs.withColumn("_key", key).join(scanned.withColumnRenamed("key", "_key").withColumnRenamed("live", "_live"), "_key", "left")
+    key_, live_ = fresh(docs, "key", "live")
+    scanned = scan(docs, id_col, text_col, owner_col).where(F.size("live") > 0).groupBy("key").agg(F.first("live").alias(live_)).withColumnRenamed("key", key_)
+    whole = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = F.struct(F.xxhash64(F.col(id_col), F.col(owner_col).cast("string"), whole).alias("a"), F.hash(whole, F.col(id_col)).alias("b"))
+    joined = docs.withColumn(key_, key).join(scanned, key_, "left")
     text = F.col(text_col)
     piece = lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
         F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(placeholder)))).otherwise(acc["out"]).alias("out"),
     )
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    masked = F.aggregate("_live", start, piece, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    return joined.withColumn(text_col, F.when(F.col("_live").isNotNull(), masked).otherwise(text)).select(*docs.columns)
+    masked = F.aggregate(live_, start, piece, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    return joined.withColumn(text_col, F.when(F.col(live_).isNotNull(), masked).otherwise(text)).select(*docs.columns)
 
 
 def oracle() -> str:
@@ -139,8 +141,8 @@ def oracle() -> str:
                        WHEN 'blob' THEN length(value) <= {BLOB_MOST} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]')
                             AND regexp_matches(value, '[A-Z]') AND len(list_distinct(string_split(value, ''))) >= {BLOB_DISTINCT}
                        ELSE true END),
-             o AS (SELECT value, count(DISTINCT source) AS owners FROM w GROUP BY value),
-             x AS (SELECT w.*, owners <= {MAX_OWNERS} AS live FROM w JOIN o USING (value)),
+             o AS (SELECT value, count(DISTINCT source) AS owners, count(DISTINCT doc_id) AS repositories FROM w GROUP BY value),
+             x AS (SELECT w.*, owners <= {MAX_OWNERS} AND repositories <= {MAX_REPOSITORIES} AS live FROM w JOIN o USING (value)),
              y AS (SELECT * FROM x WHERE kind <> 'blob' OR live AND NOT EXISTS (
                        SELECT 1 FROM x b WHERE b.doc_id = x.doc_id AND b.kind <> 'blob' AND b.start < x.stop AND x.start < b.stop)),
              g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
