@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import session_of
+from quillweave.llm.common import arrow, hash_bound, session_of
 
 #: Vectors that the partitions and the classifier are fitted on (those whose ids hash lowest); all rows are indexed.
 SAMPLE = 8192
@@ -23,29 +23,38 @@ TARGET = 0.97
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(id, v): rows with an id and a vector whose components are all there and finite, not all zero. Of rows with the
-    same id one takes part, that with the smallest vector. Missing components (unequal lengths) count as 0."""
+    """(id, v): rows with an id and a vector whose components are all there and finite, not all zero. Exactly
+    repeated rows count once; other rows with the same id all take part. Missing components (unequal lengths) count as 0."""
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("v", lambda x: x != 0)
-    return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(fine).groupBy("id").agg(F.min("v").alias("v"))
+    return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(fine).distinct()
 
 
 def matrix(column, dims: int | None = None) -> np.ndarray:
-    """An Arrow column of lists as rows, cut or padded with 0 to dims, each divided by its largest magnitude (which no
-    cosine changes)."""
+    """An Arrow column of lists as rows, cut or padded with 0 to dims, each divided by the power of two at its largest
+    magnitude, which changes no digit of a cosine."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     size = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     out = np.zeros((len(size), max(int(size.max(initial=0)), dims or 1)))
     out[np.repeat(np.arange(len(size)), size), np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
     top = np.abs(out).max(axis=1, keepdims=True)
-    return (out / np.where(top > 0, top, 1))[:, : dims or out.shape[1]]
+    return np.ldexp(out, -np.frexp(top)[1])[:, : dims or out.shape[1]]
 
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
+def dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The product of each row of x with that of y (or with y alone), summed in the order of the components, so that equal
+    vectors have equal products whatever block they stand in."""
+    total = np.zeros(len(x))
+    for i in range(x.shape[1]):
+        total += x[:, i] * y[..., i]
+    return total
+
+
 def neighbour_graph(x: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
     """The k nearest other rows of each row of unit vectors."""
     k = min(k, len(x) - 1)
@@ -161,7 +170,8 @@ def train(x: np.ndarray, graph: np.ndarray, part: np.ndarray, parts: int, seed:
 
 def fit(vectors: DataFrame, count: int, sample: int = SAMPLE) -> Router:
     """The router, fitted on the driver on a bounded sample of the vectors (id, v)."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
+    # Twice the sample by expectation passes the bound, so few rows meet in the task that ranks them.
+    rows = vectors.where(F.xxhash64("id") <= hash_bound(2 * sample, count)).orderBy(F.xxhash64("id"), "id", "v").limit(sample).select("v").toArrow()
     x = unit(matrix(rows.column("v")))
     parts = 1
     while parts < MOST_PARTITIONS and parts * PARTITION_ROWS < count and parts * 64 <= len(x):
@@ -188,7 +198,7 @@ def assign(vectors: DataFrame, router: Router, probe: bool) -> DataFrame:
                 take = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(np.concatenate(found), pa.int32())], ["id", "v", "part"])
 
-    return vectors.select("id", "v").mapInArrow(run, ROUTED)
+    return arrow(vectors.select("id", "v"), run, ROUTED)
 
 
 def packed(key: tuple, table: pa.Table) -> pa.Table:
@@ -226,18 +236,21 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, sample: int = SAM
                 qi, ri = np.frombuffer(r["query_ids"], np.int64), np.frombuffer(r["ids"], np.int64)
                 q, x = np.frombuffer(r["queries"]).reshape(len(qi), -1), np.frombuffer(r["x"]).reshape(len(ri), -1)
                 d = min(q.shape[1], x.shape[1])
-                s = (q[:, :d] @ x[:, :d].T) / np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
+                norm = np.sqrt(dots(x, x))
+                s = (q[:, :d] @ x[:, :d].T) / np.outer(np.sqrt(dots(q, q)), norm)
                 s[qi[:, None] == ri[None, :]] = -np.inf
                 out: tuple[list, list, list] = ([], [], [])
                 for i in range(len(qi)):
                     floor = np.partition(s[i], len(ri) - k)[len(ri) - k] if len(ri) > k else -np.inf
-                    best = np.flatnonzero((s[i] >= floor) & (s[i] > -np.inf))
-                    best = best[np.lexsort((ri[best], -s[i][best]))][:k]
+                    # Matrix products differ in their last digits with the block's shape: what comes near is scored again.
+                    near = np.flatnonzero((s[i] >= floor - 1e-9) & (s[i] > -np.inf))
+                    score = dots(x[near, :d], q[i, :d]) / (np.sqrt(dots(q[i : i + 1], q[i : i + 1])) * norm[near])
+                    best = np.lexsort((ri[near], -score))[:k]
                     out[0].extend([int(qi[i])] * len(best))
-                    out[1].extend(ri[best].tolist())
-                    out[2].extend(s[i][best].tolist())
+                    out[1].extend(ri[near[best]].tolist())
+                    out[2].extend(score[best].tolist())
                 yield pa.RecordBatch.from_pydict({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
-    found = index.join(asking, ["part", "block"]).mapInArrow(run, "query_id long, vec_id long, score double")
+    found = arrow(index.join(asking, ["part", "block"]), run, "query_id long, vec_id long, score double")
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

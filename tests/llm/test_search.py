@@ -32,10 +32,13 @@ def test_exact_top_k_is_brute_force(spark, rows):
 
 
 def test_few_and_no_vectors(spark):
-    v = topk.quantise(frame(spark, [(0, [1.0], "", ""), (1, [-2.0], "", ""), (50, [1e30], "", "")]))
+    v = topk.quantise(frame(spark, [(0, [1.0], "", ""), (1, [-2.0], "", ""), (50, [float(1 << 30)], "", "")]))
     got = sorted(tuple(r) for r in topk.exact_top_k(v, v.where("id % 50 = 0")).collect())
-    big = 1 << 28
+    big = 256 << 30
     assert got == [(0, 1, 50, 256 * big), (0, 2, 1, -512 * 256), (50, 1, 0, 256 * big), (50, 2, 1, -512 * big)]
+    v = topk.quantise(frame(spark, [(0, [1e30], "", ""), (1, [-1e30], "", ""), (2, [1e30], "", "")]))
+    most = (1 << 63) - 1
+    assert sorted(tuple(r) for r in topk.exact_top_k(v, v.where("id % 50 = 0")).collect()) == [(0, 1, 2, most), (0, 2, 1, -most - 1)]
     none = topk.quantise(frame(spark, []))
     assert topk.exact_top_k(none, none).count() == 0
     none = ann.usable(frame(spark, []))
@@ -72,3 +75,27 @@ def test_partition_is_balanced():
     x = ann.unit(rng.normal(size=(600, 8)))
     part = ann.balanced_partition(x, ann.neighbour_graph(x), 8)
     assert np.bincount(part, minlength=8).max() <= np.ceil(1.1 * 600 / 8)
+
+
+def test_ids_that_repeat(spark):
+    rows = [(50, [1.0, 0.0], "", ""), (50, [0.0, 1.0], "", ""), (7, [0.0, 2.0], "", ""), (7, [3.0, 0.0], "", ""), (7, [3.0, 0.0], "", ""), (8, [0.5, 0.5], "", "")]
+    v = topk.quantise(frame(spark, rows))
+    got = sorted(tuple(r) for r in topk.exact_top_k(v, v.where("id = 50")).collect())
+    assert got[:2] == [(50, 1, 7, 768 * 256), (50, 2, 7, 512 * 256)] and {r[2] for r in got} == {7, 8}
+    w = ann.usable(frame(spark, rows))
+    found = sorted(tuple(r) for r in ann.search(w, w.where("id = 50")).collect())
+    assert [r[2:] for r in found[:2]] == [(7, 1.0), (7, 1.0)] and {r[2] for r in found} == {7, 8}
+
+
+def test_equal_vectors_are_ranked_by_id_in_any_block(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 37)
+    rng = np.random.default_rng(4)
+    same = rng.normal(size=64)
+    rows = [(i, [float(c) for c in (same if i % 3 else rng.normal(size=64))], "", "") for i in range(600)]
+    rows += [(1000 + i, [float(c) * 2.0**i for c in same], "", "") for i in range(9)]
+    v = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>, id string, score string"))
+    got = ann.search(v, v.where("id % 50 = 0")).collect()
+    for q in range(50, 600, 50):
+        if q % 3:
+            mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+            assert [m[1] for m in mine] == [1, 2, 4, 5, 7] and len({m[2] for m in mine}) == 1
