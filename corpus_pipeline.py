@@ -22,7 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     model = langid.fit(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
     found = langid.predict(docs, model, carry=True).where(~F.col("rejected"))
-    return found.select("doc.doc_id", "doc.text", F.coalesce("doc.lang", "lang_pred").alias("lang"), "doc.source", "doc.n_chars")
+    return found.select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id."""
-    docs = docs.select(*COLUMNS)
-    gone = neardup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return neardup.without_duplicates(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

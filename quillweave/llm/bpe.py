@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import pieces, range_hashes, text_column
+from quillweave.llm.common import arrow, pieces, range_hashes, text_column
 
 #: Bytes of unsplit text that are encoded at once; longer text is halved.
 LEAF = 4096
 #: Entries of the cache of encoded words of a worker.
-CACHE = 400_000
+CACHE = 200_000
 CHUNK = 1 << 20
 OTHER, LETTER, NUMBER, SPACE, RARE = range(5)
 
@@ -242,7 +242,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for doc, ids, at, _ in encoded(batches, path):
             yield pa.RecordBatch.from_arrays([doc, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))], ["doc_id", "ids"])
 
-    return selected(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return arrow(selected(docs, id_col, text_col), run, "doc_id long, ids array<int>")
 
 
 def decode(encodings: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -254,7 +254,7 @@ def decode(encodings: DataFrame, path: str, id_col: str = "doc_id", ids_col: str
             texts = [tool.decode(np.array(x or [], dtype=np.uint32)).tobytes().decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encodings.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, text string")
+    return arrow(encodings.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")), run, "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -274,4 +274,4 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return selected(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow(selected(docs, id_col, text_col), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import Scratch, lower_bytes, pieces, session_of, text_column
+from quillweave.llm.common import Scratch, arrow, hash_bound, lower_bytes, pieces, session_of, text_column
 
 UNKNOWN = "und"
 #: Dimensions of the hashed n-grams (two and three bytes).
@@ -23,6 +23,9 @@ ROUNDS = 8
 #: fewer with any centroid, so its bar is lower by the root of their number.
 REJECT, ENOUGH, FULL = 0.6, 100, 400
 
+#: Rows that are turned into vectors at once (4096 dimensions each), however short they are.
+ROWS = 256
+
 _LETTER = np.array([i >= 128 or chr(i).isalpha() for i in range(256)])
 
 
@@ -112,29 +115,34 @@ def bars(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
     """Learn from (id, text, lang) rows with text and lang. Of each language at most `sample` rows count, those whose
-    ids hash lowest; the rest of the fit is on the executors, one task a language, and only centroids reach the driver.
+    ids hash lowest (their ids are broadcast, so no text but theirs is shuffled; of rows of one id the first by text counts).
+    The rest of the fit is on the executors, one task a language, and only centroids reach the driver.
     Without rows the model knows no language and calls every text unknown."""
     spark = session_of(train)
     scratch = Scratch(spark, "langid")
-    ids = train.select("lang", "id").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).distinct()
-    first = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample).drop("n")
-    rows = scratch.keep(train.where(F.col("lang").isNotNull()).join(chosen, ["lang", "id"], "left_semi").select("lang", "text"))
+    usable = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "id", F.xxhash64("id").alias("h"))
+    size = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # Twice the sample by expectation lies below this bound; so only a few rows a language are ranked, by their ids alone.
+    bound = F.create_map(*(F.lit(x) for lang, n in size.items() for x in (lang, hash_bound(2 * sample, n)))) if size else F.create_map().cast("map<string,bigint>")
+    low = usable.where(F.col("h") <= F.element_at(bound, F.col("lang"))).groupBy("lang", "id").agg(F.first("h").alias("h"))
+    chosen = low.withColumn("n", F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))).where(F.col("n") <= sample).select("lang", "id")
+    rows = train.join(F.broadcast(chosen), ["lang", "id"]).where(F.col("text").rlike(r"\p{L}"))
+    rows = scratch.keep(rows.groupBy("lang", "id").agg(F.min("text").alias("text")).select("lang", "text"))
 
     def frequencies(batches):
         total, n = np.zeros(DIMS, dtype=np.int64), 0
-        for part in pieces(batches, 1 << 20):
+        for part in pieces(batches, 1 << 20, ROWS):
             c = counts(*text_column(part.column(1)))
             total, n = total + (c > 0).sum(axis=0), n + len(c)
         yield pa.RecordBatch.from_pydict({"n": [n], "df": [total.tobytes()]})
 
-    seen = rows.mapInArrow(frequencies, "n long, df binary").collect()
+    seen = arrow(rows, frequencies, "n long, df binary").collect()
     total, n = sum((np.frombuffer(r["df"], dtype=np.int64) for r in seen), np.zeros(DIMS, dtype=np.int64)), sum(r["n"] for r in seen)
     idf = np.log((1 + n) / (1 + total)).astype(np.float32) + np.float32(1)
     base = Model([], np.zeros(0, np.int64), np.zeros((0, DIMS), np.float32), idf, np.zeros(0))
 
     def centres(key, table):
-        x = np.concatenate([base.vectors(*text_column(p.column(1))) for p in pieces(table.to_batches(), 1 << 20)])
+        x = np.concatenate([base.vectors(*text_column(p.column(1))) for p in pieces(table.to_batches(), 1 << 20, ROWS)])
         c = cluster(x, centroids)
         return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "centroids": [c.astype(np.float32).tobytes()], "least": [bars(x, c).astype(np.float64).tobytes()]})
 
@@ -145,29 +153,36 @@ def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> M
     return Model([r["lang"] for r in found], owner.astype(np.int64), np.concatenate([base.centroids, *blocks]), idf, np.concatenate([base.least, *(np.frombuffer(r["least"]) for r in found)]))
 
 
+FOUND = ("lang_pred", "string"), ("score", "double"), ("rejected", "boolean")
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
-    """Per row: id, lang_pred, score (cosine of the nearest centroid) and rejected (less near than the
-    nearest centroid asks of a text of that length);
-    with `carry` also `doc`, a struct of the row itself.
+    """Per row: id, lang_pred, score (cosine of the nearest centroid) and rejected (less near than the nearest centroid asks
+    of a text of that length). With `carry` the row's own columns stand in place of id, but for those named as the results.
 
     A null text, or one without a letter, is `und` with score 0 and rejected. A null id stays null, repeated rows give
     repeated results; very long texts are read whole, in constant memory but for their letters.
     """
     bound = session_of(docs).sparkContext.broadcast(model)
-    row = [F.struct("*").alias("doc")] if carry else []
+    names = [c for c in docs.columns if c.lower() not in dict(FOUND)] if carry else ["id"]
     text = F.col(text_col).cast("string")
-    df = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), *row)
+    own = [(text if c == text_col else F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(names)] if carry else [F.col(id_col).cast("long").alias("c0")]
+    if text_col not in names or not carry:
+        own.append(text.alias("text"))
+    df = docs.select(*own, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    at = names.index(text_col) if carry and text_col in names else len(names)
 
     def run(batches):
         m = bound.value
-        for part in pieces(batches, 1 << 20):
-            letters = part.column(2).to_numpy(zero_copy_only=False).astype(bool) & bool(m.langs)
+        for part in pieces(batches, 1 << 20, ROWS, at):
+            letters = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool) & bool(m.langs)
             if m.langs:
-                lang, score, near = m.nearest(*text_column(part.column(1)))
+                lang, score, near = m.nearest(*text_column(part.column(at)))
             else:
                 lang, score, near = np.zeros(len(letters), np.int64), np.zeros(len(letters)), letters
-            names = [m.langs[i] if ok else UNKNOWN for i, ok in zip(lang, letters, strict=True)]
+            found = [m.langs[i] if ok else UNKNOWN for i, ok in zip(lang, letters, strict=True)]
             score = np.where(letters, score, 0.0)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(~(letters & near)), *part.columns[3:]], ["id", "lang_pred", "score", "rejected", "doc"][: 4 + carry])
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(found, pa.string()), pa.array(score), pa.array(~(letters & near))], [*(f"c{i}" for i in range(len(names))), *dict(FOUND)])
 
-    return df.mapInArrow(run, "id long, lang_pred string, score double, rejected boolean" + (f", doc {docs.schema.simpleString()}" if carry else ""))
+    kinds = ", ".join(f"c{i} {df.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(names)))
+    return arrow(df, run, f"{kinds}, " + ", ".join(f"{n} {t}" for n, t in FOUND)).toDF(*names, *dict(FOUND))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
+from quillweave.llm.common import U64, Scratch, arrow, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
 
 #: Classes, slots of a class, and how many of all slots are buckets of rare words; the others are single frequent words.
 CLASSES, MEMBERS, RARE = 32, 64, 512
@@ -65,7 +65,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if keys:
             yield out(*merged(keys, counts))
 
-    return docs.select("text").mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    return arrow(docs.select("text"), run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -212,7 +212,7 @@ def learnt(docs: DataFrame, model: Model) -> Model:
         np.add.at(total, at, move)
         return pa.table({"kind": pa.array([key[0].as_py()] * len(u), pa.int32()), "row": pa.array(u, pa.int32()), "move": pa.array([x.tobytes() for x in (total / n[:, None]).astype(np.float32)], pa.binary())})
 
-    moves = docs.select("text").mapInArrow(run, "kind int, row int, hits long, move binary").withColumn("block", F.shiftright("row", 4)).groupBy("kind", "block").applyInArrow(summed, "kind int, row int, move binary").toArrow()
+    moves = arrow(docs.select("text"), run, "kind int, row int, hits long, move binary").withColumn("block", F.shiftright("row", 4)).groupBy("kind", "block").applyInArrow(summed, "kind int, row int, move binary").toArrow()
     tables = [model.class_rows.copy(), model.member_rows.copy()]
     for kind, row, move in zip(*(moves.column(c).to_pylist() for c in ("kind", "row", "move")), strict=True):
         tables[kind][row] += np.frombuffer(move, dtype=np.float32)
@@ -239,7 +239,7 @@ def start(counts: DataFrame) -> Model:
             rare_v += np.bincount(at, minlength=RARE)
         yield pa.RecordBatch.from_pydict({"b": pa.array(np.arange(RARE), pa.int32()), "n": rare_n, "v": rare_v})
 
-    found = counts.select("w", "c").mapInArrow(buckets, "b int, n long, v long").groupBy("b").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow()
+    found = arrow(counts.select("w", "c"), buckets, "b int, n long, v long").groupBy("b").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow()
     rare_n, rare_v = np.zeros(RARE, np.int64), np.zeros(RARE, np.int64)
     rare_n[found.column("b").to_numpy()], rare_v[found.column("b").to_numpy()] = found.column("n").to_numpy(), found.column("v").to_numpy()
     weight = np.full(SLOTS, 0.1)
@@ -288,7 +288,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             )
             n_row += n
 
-    return docs.select("doc_id", "text").mapInArrow(run, PARTS)
+    return arrow(docs.select("doc_id", "text"), run, PARTS)
 
 
 def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:

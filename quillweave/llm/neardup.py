@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, is_wanted, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
+from quillweave.llm.common import U64, Scratch, arrow, fresh, is_wanted, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
 from quillweave.llm.components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -67,10 +67,13 @@ def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return row[keep], key[keep]
 
 
-def sketches(docs: DataFrame, size: int = SKETCH) -> DataFrame:
-    """doc_id, n (distinct shingles), d1 and d2 (digests of the set), sketch (its lowest hashes in order)."""
+def sketches(docs: DataFrame, size: int = SKETCH, wanted=None) -> DataFrame:
+    """doc_id, n (distinct shingles), d1 and d2 (digests of the set), sketch (its lowest hashes in order); only of wanted
+    documents, if a map of those (common.wanted_rows) is given."""
 
     def run(batches):
+        if wanted is not None:
+            batches = (b.filter(pa.array(is_wanted(wanted.value, b.column(0).to_numpy()))) for b in batches)
         for part in pieces(batches, 1 << 20):
             row, key = shingles(*text_column(part.column(1)))
             n = np.bincount(row, minlength=part.num_rows)
@@ -84,7 +87,7 @@ def sketches(docs: DataFrame, size: int = SKETCH) -> DataFrame:
             at = np.concatenate([[0], np.cumsum(np.minimum(n, size))])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), *map(pa.array, digests), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(key[low]))], ["doc_id", "n", "d1", "d2", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sketch array<long>")
+    return arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id long, n long, d1 long, d2 long, sketch array<long>")
 
 
 def long_lists(classes: DataFrame) -> bytes:
@@ -97,7 +100,7 @@ def long_lists(classes: DataFrame) -> bytes:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
 
-    found = classes.select("sketch").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LONG)
+    found = arrow(classes.select("sketch"), count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LONG)
     hot = np.zeros(BUCKETS, dtype=bool)
     hot[found.select("bucket").toArrow().column(0).to_numpy()] = True
     return np.packbits(hot).tobytes()
@@ -129,7 +132,7 @@ def listed(classes: DataFrame, hot: bytes) -> DataFrame:
                 out.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat[keep])))
             yield pa.RecordBatch.from_arrays([*batch.columns, *out], ["rep", "n", "m", "sketch", "rare", "common"])
 
-    return classes.select("rep", "n", "m", "sketch").mapInArrow(run, "rep long, n long, m long, sketch array<long>, rare array<long>, common array<long>")
+    return arrow(classes.select("rep", "n", "m", "sketch"), run, "rep long, n long, m long, sketch array<long>, rare array<long>, common array<long>")
 
 
 def _alike(x: str, y: str) -> Column:
@@ -182,7 +185,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(is_wanted(wanted.value, batch.column(0).to_numpy())))
 
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "text").mapInArrow(fetch, "id long, text string")
+    texts = arrow(docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "text"), fetch, "id long, text string")
     joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("at")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("bt")), "b").select("a", "b", "at", "bt")
 
     def run(batches):
@@ -200,7 +203,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
                     keep.append(bool(shared) and 100 * shared >= PERCENT * (len(p) + len(q) - shared))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, "a long, b long").distinct()
+    return arrow(joined, run, "a long, b long").distinct()
 
 
 def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -214,13 +217,7 @@ def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Sc
     open_ = posts.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("value", F.ceil(F.col("c") / BLOCK).alias("chunks"))
     posts = scratch.keep(posts.join(open_, "value"))
     wanted = wanted_rows(posts.select("rep").distinct())
-
-    def fetch(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(is_wanted(wanted.value, batch.column(0).to_numpy())))
-
-    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(fetch, "doc_id long, text string")
-    wide = scratch.keep(sketches(texts, WIDE).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep", "n", "sketch"]))
+    wide = scratch.keep(sketches(docs.where(F.col("doc_id").isNotNull()), WIDE, wanted).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep", "n", "sketch"]))
     dealt = posts.join(wide, ["rep", "n"]).withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)))
     cells = dealt.select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "sketch")
@@ -281,3 +278,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = base.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs whose document is its group's smallest; of exactly repeated rows (id and text) one. Rows that share an id
+    but not the text stay or go together; rows with a null id stay."""
+    gone, many = (fresh(docs, k)[0] for k in ("gone", "many"))
+    dropped = near_duplicates(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct()
+    left = docs.join(dropped, docs[id_col] == F.col(gone), "left_anti")
+    again = Scratch(session_of(docs), "repeated").keep(docs.groupBy(F.col(id_col).alias(many)).agg(F.count("*").alias("n")).where("n > 1").select(many))
+    if again.isEmpty():
+        return left
+    here = F.col(id_col) == F.col(many)
+    return left.join(again, here, "left_anti").union(left.join(again, here, "left_semi").dropDuplicates([id_col, text_col]))

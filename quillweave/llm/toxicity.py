@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import ALNUM, U64, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
+from quillweave.llm.common import ALNUM, U64, arrow, hash_bound, lower_bytes, mix, pieces, range_hashes, session_of, text_column, words
 
 #: Hashed coordinates. Weights are zero but for those that L1 leaves, so what is broadcast is at most 8 MB, mostly far less.
 DIMS = 1 << 20
@@ -81,8 +81,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     time. Without labels every weight is zero and every score one half.
     """
     known = labels.where(F.col("id").isNotNull() & F.col("label").isNotNull()).groupBy("id").agg(F.max("label").cast("int").alias("label"))
-    chosen = known.withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(sample)
-    rows = docs.join(F.broadcast(chosen), "id").select("h", "id", "label", "text").repartition(1).sortWithinPartitions("h", "id")
+    # Twice the sample by expectation passes the bound, so few rows meet in the task that ranks them.
+    chosen = known.withColumn("h", F.xxhash64("id")).where(F.col("h") <= hash_bound(2 * sample, known.count())).orderBy("h", "id").limit(sample)
+    rows = docs.join(F.broadcast(chosen), "id").select("h", "id", "label", "text").repartition(1).sortWithinPartitions("h", "id", "text")
 
     def run(batches):
         learner, seen = Learner(), []
@@ -100,7 +101,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
         at, w = learner.sparse()
         yield pa.RecordBatch.from_pydict({"at": [at.tobytes()], "w": [w.tobytes()]})
 
-    found = rows.mapInArrow(run, "at binary, w binary").collect()
+    found = arrow(rows, run, "at binary, w binary").collect()
     return (np.frombuffer(found[0]["at"], np.int32), np.frombuffer(found[0]["w"], np.float32)) if found else (np.zeros(0, np.int32), np.zeros(0, np.float32))
 
 
@@ -120,4 +121,4 @@ def score(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray], id_col: str =
             margin = np.bincount(row, weights=dense[key].astype(np.float64), minlength=part.num_rows) + float(dense[DIMS])
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1 / (1 + np.exp(-np.clip(margin, -35, 35))))], ["id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, score double")
+    return arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), run, "id long, score double")
