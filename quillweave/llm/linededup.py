@@ -70,9 +70,11 @@ def hashed(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return (range_hashes(low, start, end) & ~U64(1)).view(np.int64) if len(start) else np.zeros(0, np.int64)
 
 
-def word_order(docs: DataFrame, scratch: Scratch) -> Order:
-    """By exact counts of all words of all texts. The driver gets the frequent ones only, FREQUENT at most."""
-    common = scratch.keep(key_counts(docs.select("text"), hashed).where(F.col("c") > RARE))
+def word_order(docs: DataFrame, scratch: Scratch):
+    """The order, by exact counts of all words of all texts, and a broadcast map of the words that occur more than once (the
+    lists of others hold one line). The driver gets the frequent words only, FREQUENT at most, and a map of fixed size."""
+    several = scratch.keep(key_counts(docs.select("text"), hashed).where("c > 1"))
+    shared, common = wanted_rows(several.select("w")), several.where(F.col("c") > RARE)
     by_level = {r["k"]: r["n"] for r in common.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect()}
     least, n = max(by_level, default=0) + 1, 0
     for k in sorted(by_level, reverse=True):
@@ -81,8 +83,8 @@ def word_order(docs: DataFrame, scratch: Scratch) -> Order:
             break
         least = k
     found = common.where(F.col("c") >= 2**least).toArrow()
-    scratch.drop(common)
-    return Order(*(found.column(c).to_numpy() for c in ("w", "c")))
+    scratch.drop(several)
+    return Order(*(found.column(c).to_numpy() for c in ("w", "c"))), shared
 
 
 def line_sets(raw: np.ndarray, bounds: np.ndarray, order: Order) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +141,7 @@ def lines(docs: DataFrame, order: Order, percent: int, least: int) -> DataFrame:
 POSTS = "k1 long, k2 long, probe boolean, pos int, d long, l long, n int, sig long"
 
 
-def postings(classes: DataFrame, percent: int) -> DataFrame:
+def postings(classes: DataFrame, shared, percent: int) -> DataFrame:
     """The lists that a line stands in, as one that a longer or equal line may match, and (probe) as one that may match
     a shorter or equal one: for each word that the other may lack and the next, the word's own list (k2 is 0) if it is rare,
     else those of the word and each later one up to one more. Matching lines share the list of their first common word, or, if
@@ -156,10 +158,11 @@ def postings(classes: DataFrame, percent: int) -> DataFrame:
             row = np.repeat(np.arange(len(size)), size)
             pos = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
             often = (flat & 1).astype(bool)
+            single = ~often & is_wanted(shared.value, flat & ~1)
             at, k1, k2, probe = [], [], [], []
             for asks, lacks in enumerate(misses(n, percent)):
                 lacks = lacks[row]
-                one = np.flatnonzero(~often & (pos <= lacks))
+                one = np.flatnonzero(single & (pos <= lacks))
                 wide = np.flatnonzero(often & (pos <= lacks))
                 after = np.minimum(size[row[wide]], lacks[wide] + 2) - 1 - pos[wide]
                 left = np.repeat(wide, after)
@@ -275,14 +278,14 @@ def block_links(posts: DataFrame, blocked: DataFrame, words_: DataFrame, percent
     return cells.groupBy("k1", "k2", "i", "j").applyInArrow(compare, COUNTS)
 
 
-def links_of(classes: DataFrame, docs: DataFrame, order: Order, percent: int, scratch: Scratch) -> DataFrame:
+def links_of(classes: DataFrame, docs: DataFrame, order: Order, shared, percent: int, scratch: Scratch) -> DataFrame:
     """(d, l, links, later) of the classes' first lines: how many classes match, and whether one of them comes before.
 
     Lists of one rare word hold RARE lines at most, lists of two words mostly few: both give pairs, which the filters leave
     few of. Long lists of two words are compared in blocks, as a family of thousands of variants of a line would give the
     square of that in pairs. Whether a list is long is counted exactly, and no pair depends on it.
     """
-    posts = scratch.keep(postings(classes, percent))
+    posts = scratch.keep(postings(classes, shared, percent))
     double = posts.where("k2 <> 0")
     lists = scratch.keep(double.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("probe").alias("asked"), F.min("probe").alias("only")).where("asked AND NOT only").select("k1", "k2", "n"))
     blocked = lists.where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
@@ -328,11 +331,11 @@ def match_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scratch = Scratch(session_of(docs), "lines")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     known = numbered(docs.where(F.col("doc_id").isNotNull()), scratch)
-    order = word_order(known, scratch)
+    order, shared = word_order(known, scratch)
     every = scratch.keep(lines(known, order, percent, least))
     own = every.where("line_no >= 0")
     classes = scratch.keep(own.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")).select("n", "d1", "d2", F.col("f.doc_id").alias("d"), F.col("f.line_no").alias("l"), "sig", "prefix"))
-    per_line = links_of(classes.where(F.size("prefix") > 0), known, order, percent, scratch)
+    per_line = links_of(classes.where(F.size("prefix") > 0), known, order, shared, percent, scratch)
     decided = classes.select("n", "d1", "d2", "d", "l").join(per_line, ["d", "l"], "left").select("n", "d1", "d2", "d", "l", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("later", F.lit(0)).alias("later"))
     flagged = own.select("doc_id", "line_no", "n", "d1", "d2").join(decided, ["n", "d1", "d2"])
     gone = (F.col("later") == 1) | (F.col("doc_id") != F.col("d")) | (F.col("line_no") != F.col("l"))
@@ -341,6 +344,8 @@ def match_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = flagged.select("doc_id", base.alias("base"), none.alias("key"), F.when(gone, F.col("line_no").bitwiseAND(APART - 1)).cast("int").alias("gone"), "links", F.col("d").alias("first"), F.lit(0).alias("lines"))
     rows = rows.union(every.where("line_no < 0").select("doc_id", F.shiftright(-1 - F.col("line_no"), 40), "d1", F.lit(None).cast("int"), F.lit(0).cast("long"), F.col("doc_id"), "n"))
     found = rows.groupBy("doc_id", "base").agg(F.max("key").alias("text_key"), F.sum("lines").alias("n_lines"), F.array_sort(F.collect_set("gone")).alias("removed"), F.sum("links").alias("n_links"), F.min("first").alias("class_id")).drop("base")
+    found = scratch.keep(found)
+    scratch.drop(every, classes, per_line)
     lost = docs.where(F.col("doc_id").isNull()).select("doc_id", text_key().alias("text_key"), F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.array().cast("array<int>").alias("removed"), F.lit(0).cast("long").alias("n_links"), none.alias("class_id"))
     return found.unionByName(lost)
 
