@@ -18,8 +18,8 @@ SKETCH, LISTED = 64, 16
 #: Retained values for comparisons within long lists, what must be shared of them (0.75 less four and a half standard
 #: deviations), and the long lists of a class.
 WIDE, WIDE_ESTIMATE, LISTED_LONG = 256, 0.63, 10
-#: Inverted lists are told long by counts of retained values in a fixed table of buckets (a count is never too low).
-BUCKETS, LONG = 1 << 20, 64
+#: An inverted list of more classes than LONG is a long one. The map of those has SPARE bits a value, 2 ** MOST_BITS at most.
+LONG, SPARE, MOST_BITS = 64, 16, 30
 #: Documents with more than this share of values of long lists are also compared over those lists.
 SHARED = 1 / 3
 #: The union sketch's estimate must reach this: 0.75 less four and a half standard deviations.
@@ -90,35 +90,36 @@ def sketches(docs: DataFrame, size: int = SKETCH, wanted=None) -> DataFrame:
     return arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id long, n long, d1 long, d2 long, sketch array<long>")
 
 
-def long_lists(classes: DataFrame) -> bytes:
-    """A bitmap of the buckets whose retained values occur in more than LONG classes."""
+def long_lists(classes: DataFrame, scratch: Scratch):
+    """A broadcast bitmap of the retained values that more than LONG classes hold, counted exactly. It has at least SPARE bits a
+    value, so hardly any other value looks like one; such a list would be treated as a long one, and lose no pair."""
+    found = scratch.keep(classes.select(F.explode("sketch").alias("v")).groupBy("v").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("v"))
+    size = 1 << min(MOST_BITS, max(10, (SPARE * found.count()).bit_length()))
 
-    def count(batches):
-        total = np.zeros(BUCKETS, dtype=np.int64)
+    def slots_(batches):
         for batch in batches:
-            total += np.bincount(batch.column(0).flatten().to_numpy() & (BUCKETS - 1), minlength=BUCKETS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], ["bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(batch.column(0).to_numpy() & (size - 1)))], ["slot"])
 
-    found = arrow(classes.select("sketch"), count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > LONG)
-    hot = np.zeros(BUCKETS, dtype=bool)
-    hot[found.select("bucket").toArrow().column(0).to_numpy()] = True
-    return np.packbits(hot).tobytes()
+    bits = np.zeros(size, dtype=bool)
+    bits[arrow(found, slots_, "slot long").toArrow().column(0).to_numpy()] = True
+    scratch.drop(found)
+    return session_of(classes).sparkContext.broadcast(np.packbits(bits).tobytes())
 
 
-def listed(classes: DataFrame, hot: bytes) -> DataFrame:
+def listed(classes: DataFrame, hot) -> DataFrame:
     """rep, n, m, sketch, rare (lowest values of short lists) and common (lowest of long lists, only of classes with a
     large share of such values)."""
-    bound = session_of(classes).sparkContext.broadcast(hot)
 
     def run(batches):
-        is_hot = np.unpackbits(np.frombuffer(bound.value, np.uint8)).astype(bool)
+        bits = np.frombuffer(hot.value, np.uint8)
+        slot = len(bits) * 8 - 1
         for batch in batches:
             column = batch.column(3)
             size = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
             flat = column.flatten().to_numpy()
             row = np.repeat(np.arange(len(size)), size)
-            common = is_hot[flat & (BUCKETS - 1)]
+            at = flat & slot
+            common = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
             out = []
             for mine in (~common, common):
                 if mine is not common:
@@ -257,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     base = scratch.keep(sketches(docs))
     classes = scratch.keep(base.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("m"), F.first("sketch").alias("sketch")))
-    lists = scratch.keep(listed(classes, long_lists(classes)))
+    lists = scratch.keep(listed(classes, long_lists(classes, scratch)))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return scratch.keep(verified(pairs, docs, scratch))
@@ -277,7 +278,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of_class = classes.select("n", "d1", "d2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = base.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    found = scratch.keep(out)
+    scratch.drop(base, classes, lists)
+    return found
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
