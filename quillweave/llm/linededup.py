@@ -181,6 +181,18 @@ def postings(classes: DataFrame, shared, percent: int) -> DataFrame:
     return arrow(classes.select("d", "l", "n", "sig", "prefix"), run, POSTS)
 
 
+def in_lists(posts: DataFrame, wanted) -> DataFrame:
+    """The postings of the wanted lists, and maybe of others, without a shuffle."""
+
+    def run(batches):
+        for batch in batches:
+            keep = is_wanted(wanted.value, batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    return arrow(posts, run, POSTS)
+
+
 def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
     """(xd, xl, yd, yl) of lines that share a list, x the shorter or, of equal ones, the earlier, and pass the filters of
     length, of position (what follows the shared word must suffice) and of signature (bits that differ are words that differ)."""
@@ -288,14 +300,14 @@ def links_of(classes: DataFrame, docs: DataFrame, order: Order, shared, percent:
     posts = scratch.keep(postings(classes, shared, percent))
     double = posts.where("k2 <> 0")
     lists = scratch.keep(double.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("probe").alias("asked"), F.min("probe").alias("only")).where("asked AND NOT only").select("k1", "k2", "n"))
-    blocked = lists.where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
-    short = double.join(lists.where(F.col("n") <= LONG), ["k1", "k2"], "left_semi")
+    blocked = scratch.keep(lists.where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")))
+    short = in_lists(double, wanted_rows(lists.where(F.col("n") <= LONG).select("k1", "k2"))).join(blocked, ["k1", "k2"], "left_anti")
     pairs = scratch.keep(candidate_pairs(posts.where("k2 = 0"), percent).union(candidate_pairs(short, percent)).distinct())
     dense = double.join(blocked, ["k1", "k2"], "left_semi").select("d", "l")
     wanted = pairs.select(F.col("xd").alias("d"), F.col("xl").alias("l")).union(pairs.select("yd", "yl")).union(dense)
     words_ = scratch.keep(fetched(wanted, docs, order))
     found = scratch.keep(pair_links(pairs, words_, blocked, percent).union(block_links(double, blocked, words_, percent)).groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later")))
-    scratch.drop(posts, lists, pairs, words_)
+    scratch.drop(posts, lists, blocked, pairs, words_)
     return found
 
 
