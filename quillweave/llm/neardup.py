@@ -24,8 +24,8 @@ LONG, SPARE, MOST_BITS = 64, 16, 30
 SHARED = 1 / 3
 #: The union sketch's estimate must reach this: 0.75 less four and a half standard deviations.
 ESTIMATE = 0.5
-#: Stars over long lists: rounds at most, pivots of a list in a round, lists of a class, shared ones that a pair needs.
-ROUNDS, PIVOTS, STARRED, STAR = 4, 4, 6, 2
+#: Stars over long lists: rounds at most, pivots of a list in a round, lists of a class.
+ROUNDS, PIVOTS, STARRED = 4, 4, 6
 #: Rows of a side of a compared block.
 BLOCK = 1024
 
@@ -156,15 +156,17 @@ def _placed(lists: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def star_pairs(lists: DataFrame, found: DataFrame | None, turn: int) -> DataFrame:
-    """(a, b) of each class with pivots of long lists that both are in, unless they are linked already: a few pairs per
-    entry, however long the list. Pivots are the class with most copies and, other ones each turn, those of lowest hash."""
+    """(a, b) of each class with a pivot of each of its long lists, unless they are linked already: one pair per entry, however
+    long the list. Pivots are the class with most copies and, other ones each turn, those of lowest hash."""
     posts = _placed(lists, found).select("rep", "n", "m", "component", F.explode(F.slice("common", 1, STARRED)).alias("value"))
     order = [-F.col("m") if turn == i == 0 else F.xxhash64("rep", F.lit(turn * PIVOTS + i)) for i in range(PIVOTS)]
     pick = [F.min(F.struct(o.alias("o"), F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"))) for o in order]
     pivots = posts.groupBy("value").agg(F.array(*pick).alias("p"), F.count("*").alias("c")).where("c > 1").select("value", "p")
-    pairs = posts.join(pivots, "value").select(F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), F.explode(F.array_distinct(F.transform("p", lambda p: p.dropFields("o")))).alias("p")).select("x", "xn", "xc", "p.*")
+    # Each entry of a list meets one of the list's pivots; its other lists lead it to other ones.
+    mine = F.get("p", F.pmod(F.xxhash64("rep", "value", F.lit(turn)), F.size("p")).cast("int"))
+    pairs = posts.join(pivots, "value").select(F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), mine.alias("p")).select("x", "xn", "xc", "p.y", "p.yn", "p.yc")
     pairs = pairs.where((F.col("x") != F.col("y")) & (F.col("xc") != F.col("yc")) & _alike("xn", "yn"))
-    return pairs.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("s")).where(F.col("s") >= STAR).select("a", "b")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -212,16 +214,16 @@ def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Sc
     Those are made of the texts anew, for the classes of open lists only.
 
     A list is dealt into chunks of BLOCK classes by hash, each pair of chunks is compared as a whole by one task: only
-    pairs whose sketches agree leave it, and no pair is written down before.
+    pairs whose sketches agree leave it, each from the lowest list that both stand in, and no pair is written down before.
     """
-    posts = _placed(lists, found).select(F.explode("common").alias("value"), "rep", "component", "n")
+    posts = _placed(lists, found).select(F.explode("common").alias("value"), "rep", "component", "n", "common")
     open_ = posts.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("value", F.ceil(F.col("c") / BLOCK).alias("chunks"))
     posts = scratch.keep(posts.join(open_, "value"))
     wanted = wanted_rows(posts.select("rep").distinct())
     wide = scratch.keep(sketches(docs.where(F.col("doc_id").isNotNull()), WIDE, wanted).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep", "n", "sketch"]))
     dealt = posts.join(wide, ["rep", "n"]).withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)))
-    cells = dealt.select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "sketch")
+    cells = dealt.select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "common", "sketch")
 
     def compare(key, table):
         rep, comp, n, mine = (table.column(c).to_numpy() for c in ("rep", "component", "n", "mine"))
@@ -234,10 +236,15 @@ def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Sc
         left = np.flatnonzero(mine == key[1].as_py())
         right = np.flatnonzero(mine == key[2].as_py())
         shared = overlaps(row[often[at]], slot[at[often[at]]], len(rep), left, right)
+        lists_ = table.column("common").combine_chunks()
+        size = np.asarray(lists_.value_lengths().to_numpy(zero_copy_only=False))
+        values, at = np.unique(lists_.flatten().to_numpy(), return_inverse=True)
+        row, low = np.repeat(np.arange(len(rep)), size), values[at] < key[0].as_py()
+        before = overlaps(row[low], at[low], len(rep), left, right)
         small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
         need = np.where(large <= WIDE, PERCENT / (100 + PERCENT) * (small + large), WIDE_ESTIMATE * np.minimum(WIDE, small))
-        ok = (shared >= need - 1e-3) & (comp[left][:, None] != comp[right][None, :]) & (100 * small >= PERCENT * large)
-        x, y = np.nonzero(ok)
+        ok = (shared >= need - 1e-3) & (before == 0) & (comp[left][:, None] != comp[right][None, :]) & (100 * small >= PERCENT * large)
+        x, y = np.nonzero(np.triu(ok) if key[1] == key[2] else ok)
         a, b = rep[left[x]], rep[right[y]]
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
