@@ -32,7 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--per-year", type=int, default=ingest.PER_YEAR)
     p.add_argument("--non-english", type=int, default=ingest.NON_ENGLISH_PER_YEAR)
     p.add_argument("--topic", action="append", choices=sorted(ingest.TOPICS))
-    p.add_argument("--cache", required=True)
+    p.add_argument("--cache", required=True, help="file of the answers")
     p = add("extract")
     p.add_argument("--terms", required=True, help="JSON object of terms and their types")
     p.add_argument("--lexicons", required=True, help="folder of the vocabularies")
@@ -82,7 +82,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     if args.command == "ingest":
         chosen = {k: v for k, v in ingest.TOPICS.items() if not args.topic or k in args.topic}
         plan = ingest.plan_queries(ingest.topics(spark, chosen), args.start, args.end, args.per_year, args.non_english)
-        documents, counts = ingest.run_ingest(spark, entrez.Client(entrez.Cache(args.cache)), plan)
+        documents, counts = ingest.run_ingest(spark, entrez.Service(entrez.Answers(args.cache)), plan)
         store.upsert(documents)
         store.append("search_counts", counts)
         return [f"{store.count('documents')} documents"]

@@ -55,10 +55,10 @@ def search_counts(results: DataFrame) -> DataFrame:
 
 
 def run_ingest(spark, client, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Search every row of a plan and fetch what was found: (documents with query_label, search counts). The client's calls
+    """Search every row of a plan and fetch what was found: (documents with query_label, search counts). The service's calls
     are rate limited, so they run one after another on the driver; a plan has a few hundred rows."""
     found = [(r.ordinal, r.label, r.year, r.kind, *client.search(r.term, r.retmax)) for r in plan.orderBy("ordinal").collect()]
     results = spark.createDataFrame(found, "ordinal long, label string, year int, kind string, ids array<string>, total int")
     labels = first_labels(results.select("ordinal", "label", F.explode("ids").alias("pmid")))
-    documents = client.fetch(spark, list(dict.fromkeys(i for r in found for i in r[4])))
+    documents = client.articles(spark, list(dict.fromkeys(i for r in found for i in r[4])))
     return documents.join(labels, "pmid", "left").withColumn("query_label", F.coalesce("query_label", F.lit(""))), search_counts(results)

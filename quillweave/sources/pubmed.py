@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-import xml.etree.ElementTree as ET
 import xml.parsers.expat
+from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +17,20 @@ from quillweave import schemas as S
 YEAR = r"(1[89]\d\d|20\d\d)"
 UNDETERMINED = "und"
 
+#: What is read of a record, by path below it.
+_CITATION = "PubmedArticle/MedlineCitation/"
+_ARTICLE = _CITATION + "Article/"
+FIELDS = {
+    _CITATION + "PMID": "pmid", _ARTICLE + "ArticleTitle": "title", _ARTICLE + "Abstract/AbstractText": "abstract", _ARTICLE + "Language": "language",
+    _ARTICLE + "Journal/Title": "journal", _ARTICLE + "Journal/JournalIssue/PubDate/Year": "issued", _ARTICLE + "Journal/JournalIssue/PubDate/MedlineDate": "season",
+    _ARTICLE + "ArticleDate/Year": "dated", _ARTICLE + "VernacularTitle": "vernacular", _CITATION + "OtherAbstract/AbstractText": "other",
+}
+ROWS = 2000
+_SCHEMA = pa.schema(
+    [("pmid", pa.string()), ("title", pa.string()), ("abstract", pa.string()), ("year", pa.int32()), ("languages", pa.list_(pa.string())), ("journal", pa.string()), ("vernacular_title", pa.string()),
+     ("other_abstracts", pa.list_(pa.struct([("language", pa.string()), ("text", pa.string())])))]
+)
+
 
 class RecordError(ValueError):
     """The file is no well-formed XML, or declares entities of its own."""
@@ -27,78 +41,94 @@ def parse_year(date: Column) -> Column:
     return F.nullif(F.regexp_extract(date, YEAR, 1), F.lit("")).cast("int")
 
 
-def flat(node: ET.Element | None) -> str:
-    """All text below a node, white space as single blanks; '' for no node."""
-    return "" if node is None else " ".join("".join(node.itertext()).split())
-
-
-def unwrap_title(title: str) -> str:
-    """A translated title stands in brackets; they go, and it ends with one full stop."""
-    bare = title.strip()
-    if bare[:1] == "[" and bare.endswith(("]", "].")):
-        return bare[1:].rstrip(".").rstrip("]") + "."
-    return bare
-
-
-def _year(text: str) -> int | None:
-    found = re.search(YEAR, text)
-    return int(found[0]) if found else None
-
-
-def _abstract(node: ET.Element | None) -> str:
-    """The labelled parts of an abstract in a row; empty ones are skipped."""
-    parts = [] if node is None else [(p.get("Label"), flat(p)) for p in node.findall("AbstractText")]
-    return " ".join(f"{label}: {body}" if label else body for label, body in parts if body)
-
-
-def _first_year(article: ET.Element) -> int | None:
-    """The earliest of the issue's year (else its free date) and the electronic dates."""
-    issue = article.find("Journal/JournalIssue/PubDate")
-    years = [] if issue is None else [_year(flat(issue.find("Year"))) or _year(flat(issue.find("MedlineDate")))]
-    years += [_year(flat(y)) for y in article.findall("ArticleDate/Year")]
-    return min(filter(None, years), default=None)
-
-
-def records(xml_text: str) -> Iterator[dict]:
-    """The articles of a file. A record without citation, number or article, or whose number isn't digits, is left out."""
-    guard = xml.parsers.expat.ParserCreate()
+class Reader:
+    """Takes the events of one parse. While an element of FIELDS is open, all text goes to it, that of elements inside too;
+    when it closes, its text (white space as single blanks) and label join the record's values of that field."""
+
+    def __init__(self) -> None:
+        self.rows: list[dict] = []
+        self.path, self.depth = [], 0
+        self.found: defaultdict[str, list] = defaultdict(list)
+        self.field, self.text, self.label, self.tongue, self.nth = None, [], None, UNDETERMINED, 0
+
+    def opened(self, tag: str, given: dict[str, str]) -> None:
+        if tag == "PubmedArticle":
+            self.path, self.found = [], defaultdict(list)
+        self.path.append(tag)
+        place = "/".join(self.path)
+        if place == _ARTICLE[:-1]:
+            self.found["article"].append(True)
+        if tag == "OtherAbstract":
+            self.tongue, self.nth = given.get("Language", UNDETERMINED), self.nth + 1
+        if self.field is None and place in FIELDS:
+            self.field, self.depth, self.text, self.label = FIELDS[place], len(self.path), [], given.get("Label")
+
+    def said(self, text: str) -> None:
+        if self.field is not None:
+            self.text.append(text)
+
+    def closed(self, tag: str) -> None:
+        if self.field is not None and len(self.path) == self.depth:
+            body = " ".join("".join(self.text).split())
+            labelled = f"{self.label}: {body}" if self.label and body else body
+            self.found[self.field].append((self.nth, self.tongue, labelled) if self.field == "other" else labelled if self.field == "abstract" else body)
+            self.field = None
+        if self.path:
+            self.path.pop()
+        if tag == "PubmedArticle":
+            self.record()
+
+    def record(self) -> None:
+        """A record without citation, number or article, or whose number isn't digits, is left out."""
+        first = {k: v[0] for k, v in self.found.items()}
+        if not first.get("article") or not first.get("pmid", "").isdigit():
+            return
+        year_in = lambda text: next((int(y) for y in re.findall(YEAR, text or "")), None)
+        years = [year_in(first.get("issued")) or year_in(first.get("season")), *map(year_in, self.found["dated"])]
+        others: dict[int, dict[str, str]] = {}
+        for nth, tongue, part in self.found["other"]:
+            if part:
+                others.setdefault(nth, {"language": tongue, "text": ""})["text"] += f" {part}"
+        bracketed = re.fullmatch(r"\[(.*?)\]+\.?", first.get("title", ""), re.S)  # a translated title stands in brackets
+        self.rows.append({
+            "pmid": first["pmid"], "title": f"{bracketed[1]}." if bracketed else first.get("title", ""), "abstract": " ".join(filter(None, self.found["abstract"])),
+            "year": min(filter(None, years), default=None), "languages": [x for x in self.found["language"] if x] or [UNDETERMINED], "journal": first.get("journal", ""),
+            "vernacular_title": first.get("vernacular", ""), "other_abstracts": [o | {"text": o["text"].strip()} for o in others.values()],
+        })
+
+
+def records(xml_text: str) -> list[dict]:
+    """The articles of a file, in one pass."""
 
     def refuse(*_):
         raise RecordError("entity declarations are not allowed")
 
-    guard.EntityDeclHandler = refuse
+    reader, parser = Reader(), xml.parsers.expat.ParserCreate("utf-8")
+    parser.buffer_text = True
+    parser.EntityDeclHandler, parser.StartElementHandler, parser.CharacterDataHandler, parser.EndElementHandler = refuse, reader.opened, reader.said, reader.closed
     try:
-        guard.Parse(xml_text.encode("utf-8") if not xml_text.lstrip().startswith("<?xml") else re.sub(r"^\s*<\?xml[^>]*\?>", "", xml_text).encode("utf-8"), True)
-        root = ET.fromstring(re.sub(r"^\s*<\?xml[^>]*\?>", "", xml_text))  # noqa: S314 - entities were refused above
-    except (ET.ParseError, xml.parsers.expat.ExpatError) as e:
+        parser.Parse(xml_text.lstrip().encode("utf-8"), True)
+    except xml.parsers.expat.ExpatError as e:
         raise RecordError(f"not well-formed: {e}") from e
-    for node in root.iter("PubmedArticle"):
-        citation = node.find("MedlineCitation")
-        article = None if citation is None else citation.find("Article")
-        pmid = "" if citation is None else flat(citation.find("PMID"))
-        if article is None or not pmid.isdigit():
-            continue
-        languages = [t for t in map(flat, article.findall("Language")) if t]
-        others = [(n.get("Language", UNDETERMINED), _abstract(n)) for n in citation.findall("OtherAbstract")]
-        yield {
-            "pmid": pmid, "title": unwrap_title(flat(article.find("ArticleTitle"))), "abstract": _abstract(article.find("Abstract")), "year": _first_year(article),
-            "languages": languages or [UNDETERMINED], "journal": flat(article.find("Journal/Title")), "vernacular_title": flat(article.find("VernacularTitle")),
-            "other_abstracts": [{"language": lang, "text": body} for lang, body in others if body],
-        }
+    return reader.rows
 
 
 def parse(files: DataFrame) -> DataFrame:
     """Articles (schemas.ARTICLES) of files (value), one file a row; a broken file is an error. The XML source of the
     engine loses the order of mixed content, so the standard library parses, a file at a time, within the executors."""
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch["value"]:
-                rows = list(records(text or ""))
-                if rows:
-                    yield pd.DataFrame(rows)
-
-    return files.select("value").mapInPandas(run, S.ARTICLES)
+            rows: list[dict] = []
+            for text in batch.column(0).to_pylist():
+                rows += records(text or "")
+                if len(rows) >= ROWS:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+
+    return files.select("value").mapInArrow(run, S.ARTICLES)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

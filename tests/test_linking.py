@@ -18,7 +18,7 @@ XML = """<?xml version="1.0"?><PubmedArticleSet>
 <PubmedArticle><MedlineCitation><PMID>x9</PMID><Article/></MedlineCitation></PubmedArticle>
 <PubmedArticle><MedlineCitation><PMID>12</PMID><Article><ArticleTitle>Plain</ArticleTitle></Article></MedlineCitation></PubmedArticle></PubmedArticleSet>"""
 
-BLOCK = "7|t|APOE and AD\n7|a|APOE binds tau.\n7\t0\t4\tAPOE\tGeneOrGeneProduct\t348\n7\t9\t11\tAD\tDiseaseOrPhenotypicFeature\tD000544,-\n7\t12\t16\tAPOE\tSpecies\t9606\n7\tBind\t348\tD000544\tNovel\n7\tOdd\t348\tD000544\tNo\n7\tAssociation\t348\t999\tNo\n"
+BLOCK = "7|t|NOD2 and CD\n7|a|NOD2 binds tau.\n7\t0\t4\tNOD2\tGeneOrGeneProduct\t348\n7\t9\t11\tCD\tDiseaseOrPhenotypicFeature\tD000544,-\n7\t12\t16\tNOD2\tSpecies\t9606\n7\tBind\t348\tD000544\tNovel\n7\tOdd\t348\tD000544\tNo\n7\tAssociation\t348\t999\tNo\n"
 
 
 def lex(spark, *rows):
@@ -26,27 +26,27 @@ def lex(spark, *rows):
 
 
 def test_lexicon_index(spark):
-    rows = lex(spark, ("Gene", "APOE", "G1", "APOE", 2), ("Gene", "apoe", "G2", "Apoe", 0), ("Gene", "Apoe", "G3", "x", 0), ("Gene", "tangles", "G4", "tangles", 0), ("Gene", "tangle", "G5", "tangle", 2), ("Disease", "apoe", "D1", "d", 0))
+    rows = lex(spark, ("Gene", "NOD2", "G1", "NOD2", 2), ("Gene", "nod2", "G2", "Nod2", 0), ("Gene", "Nod2", "G3", "x", 0), ("Gene", "tangles", "G4", "tangles", 0), ("Gene", "tangle", "G5", "tangle", 2), ("Disease", "nod2", "D1", "d", 0))
     got = {(r.type, r.key): r.entity_id for r in linking.lexicon_index(rows).collect()}
-    assert got == {("Gene", "apoe"): "G2", ("Gene", "tangles"): "G4", ("Gene", "tangle"): "G5", ("Disease", "apoe"): "D1"}
-    wanted = spark.createDataFrame([("Gene", "apoe"), ("Gene", "zzz")], "type string, key string")
-    assert [r.key for r in linking.lexicon_index(rows, wanted).collect()] == ["apoe"]
+    assert got == {("Gene", "nod2"): "G2", ("Gene", "tangles"): "G4", ("Gene", "tangle"): "G5", ("Disease", "nod2"): "D1"}
+    wanted = spark.createDataFrame([("Gene", "nod2"), ("Gene", "zzz")], "type string, key string")
+    assert [r.key for r in linking.lexicon_index(rows, wanted).collect()] == ["nod2"]
 
 
 def test_resolve(spark):
-    vocabulary = lex(spark, ("Disease", "Alzheimer disease", "MESH:D1", "Alzheimer Disease", 0), ("Gene", "APOE", "NCBIGene:348", "APOE", 0))
-    men = spark.createDataFrame([("1", "AD", "Disease"), ("1", "APOE (apolipoprotein)", "Gene"), ("1", "foo 1", "Gene"), ("1", "APOE", "Disease"), ("2", "AD", "Disease"), ("2", "--", "Gene")], "pmid string, surface string, type string")
-    own = spark.createDataFrame([("1", "AD", "Alzheimer's disease")], "pmid string, short string, long string")
+    vocabulary = lex(spark, ("Disease", "Crohn disease", "MESH:D1", "Crohn Disease", 0), ("Gene", "NOD2", "NCBIGene:348", "NOD2", 0))
+    men = spark.createDataFrame([("1", "CD", "Disease"), ("1", "NOD2 (receptor)", "Gene"), ("1", "foo 1", "Gene"), ("1", "NOD2", "Disease"), ("2", "CD", "Disease"), ("2", "--", "Gene")], "pmid string, surface string, type string")
+    own = spark.createDataFrame([("1", "CD", "Crohn's disease")], "pmid string, short string, long string")
     got = lambda corpus: {(r.pmid, r.surface, r.type): (r.entity_id, r.matched) for r in linking.resolve_mentions(linking.with_long_form(men, own, corpus), vocabulary, ["pmid", "surface", "type"]).collect()}
     one = got(None)
-    assert one == {("1", "AD", "Disease"): ("MESH:D1", True), ("1", "APOE (apolipoprotein)", "Gene"): ("NCBIGene:348", True), ("1", "foo 1", "Gene"): ("gene-text:1 foo", False), ("1", "APOE", "Disease"): ("disease-text:apoe", False), ("2", "AD", "Disease"): ("disease-text:ad", False), ("2", "--", "Gene"): ("gene-text:--", False)}
-    assert got(spark.createDataFrame([("AD", "Alzheimer disease")], "short string, long string"))[("2", "AD", "Disease")] == ("MESH:D1", True)
+    assert one == {("1", "CD", "Disease"): ("MESH:D1", True), ("1", "NOD2 (receptor)", "Gene"): ("NCBIGene:348", True), ("1", "foo 1", "Gene"): ("gene-text:1 foo", False), ("1", "NOD2", "Disease"): ("disease-text:nod2", False), ("2", "CD", "Disease"): ("disease-text:cd", False), ("2", "--", "Gene"): ("gene-text:--", False)}
+    assert got(spark.createDataFrame([("CD", "Crohn disease")], "short string, long string"))[("2", "CD", "Disease")] == ("MESH:D1", True)
 
 
 def test_corpus_abbreviations(spark):
-    rows = [("1", "AD", "atopic dermatitis"), ("2", "AD", "Alzheimer disease"), ("3", "AD", "Alzheimer's disease"), ("2", "PD", "b one"), ("1", "PD", "a one")]
+    rows = [("1", "CD", "atopic dermatitis"), ("2", "CD", "Crohn disease"), ("3", "CD", "Crohn's disease"), ("2", "PD", "b one"), ("1", "PD", "a one")]
     got = linking.corpus_abbreviations(spark.createDataFrame(rows, "pmid string, short string, long string")).collect()
-    assert {r.short: r.long for r in got} == {"AD": "Alzheimer disease", "PD": "a one"}
+    assert {r.short: r.long for r in got} == {"CD": "Crohn disease", "PD": "a one"}
 
 
 def test_articles(spark):
@@ -63,13 +63,13 @@ def test_articles(spark):
 def test_corpus(spark):
     corpus = pubtator.parse(spark.createDataFrame([(BLOCK + "\n \n8|t|T\n8|a|\n",)], "value string"))
     assert sorted(r.pmid for r in corpus.documents.collect()) == ["7", "8"]
-    assert sorted((r.start, r.text, r.label, tuple(r.ids)) for r in corpus.entities.collect()) == [(0, "APOE", "Gene", ("348",)), (9, "AD", "Disease", ("D000544",))]
+    assert sorted((r.start, r.text, r.label, tuple(r.ids)) for r in corpus.entities.collect()) == [(0, "NOD2", "Gene", ("348",)), (9, "CD", "Disease", ("D000544",))]
     assert [(r.id1, r.id2, r.label) for r in corpus.relations.collect()] == [("348", "D000544", "Association")]
     assert pubtator.as_documents(corpus).first().year is None
     ner = {(r.pmid, r["index"]): [(s.start, s.label) for s in r.spans] for r in extract.ner_examples(corpus.documents, corpus.entities).collect()}
     assert ner == {("7", 0): [(0, "Gene"), (9, "Disease")], ("7", 1): [], ("8", 0): []}
     rel = extract.relation_examples(corpus.documents, corpus.entities, corpus.relations).collect()
-    assert [(r.text, r.head_key, r.tail_key, r.label) for r in rel] == [("[E1] APOE [/E1] and [E2] AD [/E2]", "348", "D000544", "Association")]
+    assert [(r.text, r.head_key, r.tail_key, r.label) for r in rel] == [("[E1] NOD2 [/E1] and [E2] CD [/E2]", "348", "D000544", "Association")]
     for bad in (BLOCK.replace("7\t0\t4", "7\t1\t4"), "7|x|a\n7|a|b\n", BLOCK + "7\tonly\n"):
         with pytest.raises(Exception):  # noqa: B017
             broken = pubtator.parse(spark.createDataFrame([(bad,)], "value string"))
@@ -79,14 +79,14 @@ def test_corpus(spark):
 
 
 def test_vocabularies(spark, tmp_path):
-    (tmp_path / lexicon.GENE_FILE).write_text("hgnc_id\tsymbol\tname\talias_symbol\talias_name\tprev_symbol\tprev_name\tentrez_id\nHGNC:1\tAPOE\tapolipoprotein E\t\"AD2|LDLCQ5\"\t\tOLD\t\t348\nHGNC:2\tX1\tx one\n")
+    (tmp_path / lexicon.GENE_FILE).write_text("hgnc_id\tsymbol\tname\talias_symbol\talias_name\tprev_symbol\tprev_name\tentrez_id\nHGNC:1\tNOD2\treceptor two\t\"CARD15|IBD1\"\t\tOLD\t\t348\nHGNC:2\tX1\tx one\n")
     with gzip.open(tmp_path / lexicon.DISEASE_FILE, "wt") as f:
-        f.write("# hi\n# Fields:\n# DiseaseName\tDiseaseID\tAltDiseaseIDs\tSynonyms\n#\nAlzheimer Disease\tMESH:D000544\t\tAD|Alzheimer's\n")
+        f.write("# hi\n# Fields:\n# DiseaseName\tDiseaseID\tAltDiseaseIDs\tSynonyms\n#\nCrohn Disease\tMESH:D000544\t\tCD|Crohn's\n")
     with gzip.open(tmp_path / lexicon.CHEMICAL_FILE, "wt") as f:
-        f.write("# Fields:\n# ChemicalName\tChemicalID\tMESHSynonyms\tCTDCuratedSynonyms\nDonepezil\tMESH:C1\tE2020\tAricept\n")
+        f.write("# Fields:\n# ChemicalName\tChemicalID\tMESHSynonyms\tCTDCuratedSynonyms\nBiotin\tMESH:C1\tE2020\tVitamin H\n")
     rows = lexicon.read_all(spark, str(tmp_path)).orderBy("type", "ordinal").collect()
-    assert [(r.surface, r.entity_id, r.priority) for r in rows if r.type == "Gene"] == [("APOE", "NCBIGene:348", 0), ("apolipoprotein E", "NCBIGene:348", 0), ("OLD", "NCBIGene:348", 1), ("AD2", "NCBIGene:348", 2), ("LDLCQ5", "NCBIGene:348", 2), ("X1", "HGNC:2", 0), ("x one", "HGNC:2", 0)]
-    assert [r.surface for r in rows if r.type == "Chemical"] == ["Donepezil", "E2020", "Aricept"] and [r.surface for r in rows if r.type == "Disease"] == ["Alzheimer Disease", "AD", "Alzheimer's"]
+    assert [(r.surface, r.entity_id, r.priority) for r in rows if r.type == "Gene"] == [("NOD2", "NCBIGene:348", 0), ("receptor two", "NCBIGene:348", 0), ("OLD", "NCBIGene:348", 1), ("CARD15", "NCBIGene:348", 2), ("IBD1", "NCBIGene:348", 2), ("X1", "HGNC:2", 0), ("x one", "HGNC:2", 0)]
+    assert [r.surface for r in rows if r.type == "Chemical"] == ["Biotin", "E2020", "Vitamin H"] and [r.surface for r in rows if r.type == "Disease"] == ["Crohn Disease", "CD", "Crohn's"]
     (tmp_path / "bad.txt").write_text("a\tb\n")
     with pytest.raises(lexicon.LexiconError):
         lexicon.read_genes(spark, str(tmp_path / "bad.txt"))
@@ -95,7 +95,7 @@ def test_vocabularies(spark, tmp_path):
 
 
 def test_plan_and_ingest(spark, tmp_path):
-    plan = ingest.plan_queries(ingest.topics(spark, {"pd": "Parkinson", "ad": "Alzheimer"}), 2010, 2011, 5, 2).orderBy("ordinal").collect()
+    plan = ingest.plan_queries(ingest.topics(spark, {"pd": "Parkinson", "ad": "Asthma"}), 2010, 2011, 5, 2).orderBy("ordinal").collect()
     assert [(r.label, r.year, r.kind, r.retmax) for r in plan[:3]] == [("pd", 2010, "yearly", 5), ("pd", 2010, "non_english", 2), ("pd", 2011, "yearly", 5)] and len(plan) == 8
     assert plan[1].term == "Parkinson AND hasabstract AND 2010[dp] NOT english[Language]"
     for bad in ({"start": 2012, "stop": 2010}, {"per_year": 0}, {"non_english": -1}):
@@ -113,43 +113,45 @@ def test_plan_and_ingest(spark, tmp_path):
             return 200, json.dumps({"esearchresult": {"idlist": ["11", "12"] if form["term"].startswith("P") else ["12"], "count": "9"}})
         return 200, XML
 
-    client = entrez.Client(entrez.Cache(tmp_path / "c"), send, key="secret", clock=lambda: 0.0, sleep=slept.append)
-    small = ingest.plan_queries(ingest.topics(spark, {"pd": "Parkinson", "ad": "Alzheimer"}), 2010, 2010, 5, 0)
+    client = entrez.Service(entrez.Answers(tmp_path / "c"), send, {"api_key": "secret", "tool": "x"}, lambda: 0.0, slept.append)
+    small = ingest.plan_queries(ingest.topics(spark, {"pd": "Parkinson", "ad": "Asthma"}), 2010, 2010, 5, 0)
     docs, counts = ingest.run_ingest(spark, client, small)
     assert {r.pmid: r.query_label for r in docs.collect()} == {"11": "pd", "12": "pd"}
     assert sorted(tuple(r) for r in counts.collect()) == [("ad", 2010, "yearly", 9, 1), ("pd", 2010, "yearly", 9, 2)]
     assert slept and 1.0 in slept and calls[0][1]["api_key"] == "secret"
     n = len(calls)
     client.search("Parkinson AND hasabstract AND 2010[dp]", 5)
-    assert len(calls) == n and client.cache.key("e", {"a": "1", "email": "x"}) == client.cache.key("e", {"a": "1"})
-    for bad in (lambda: client.search(" ", 5), lambda: client.search("x", 0), lambda: client.fetch(spark, ["a"])):
+    assert len(calls) == n == len(client.asked) and client.asked[0] == ("esearch", 503)
+    other = entrez.Service(entrez.Answers(tmp_path / "c"), lambda *_: pytest.fail("asked again"), {"email": "e"})
+    assert other.search("Parkinson AND hasabstract AND 2010[dp]", 5) == (["11", "12"], 9)
+    for bad in (lambda: client.search(" ", 5), lambda: client.search("x", 0), lambda: client.articles(spark, ["a"])):
         with pytest.raises(ValueError):
             bad()
     with pytest.raises(entrez.ServiceError):
-        entrez.Client(entrez.Cache(tmp_path / "d"), lambda *_: (404, ""), sleep=slept.append).search("x", 1)
+        entrez.Service(entrez.Answers(tmp_path / "d"), lambda *_: (404, ""), sleep=slept.append).search("x", 1)
 
 
 def test_store_and_stream(spark, tmp_path):
     store = Store(spark, str(tmp_path / "db"))
-    text = "Alzheimer's disease (AD) is linked with APOE in many patients and in the controls of this study. APOE raises AD risk."
-    article = lambda p, t: (p, "APOE and AD", t, 2010 + int(p), ["eng"], "J", "", [], "first")
+    text = "Crohn's disease (CD) is linked with NOD2 in many patients and in the controls of this study. NOD2 raises CD risk."
+    article = lambda p, t: (p, "NOD2 and CD", t, 2010 + int(p), ["eng"], "J", "", [], "first")
     rows = spark.createDataFrame([article("1", text), article("2", text)], S.ARTICLES + ", query_label string")
     store.upsert(rows)
     store.upsert(rows.withColumns({"title": F.lit("New"), "query_label": F.lit("second")}).where("pmid = '2'"))
     got = {r.pmid: (r.title, r.query_label, r.extracted) for r in store.documents().collect()}
-    assert got == {"1": ("APOE and AD", "first", False), "2": ("New", "first", False)}
+    assert got == {"1": ("NOD2 and CD", "first", False), "2": ("New", "first", False)}
     assert [r.pmid for r in store.documents(True, 1).collect()] == ["1"]
-    vocabulary = lex(spark, ("Disease", "Alzheimer disease", "MESH:D1", "Alzheimer Disease", 0), ("Gene", "APOE", "NCBIGene:348", "APOE", 0))
-    tagger, classifier = extract.dictionary_tagger({"APOE": "Gene", "AD": "Disease"}), extract.constant_classifier("Association", 0.9)
+    vocabulary = lex(spark, ("Disease", "Crohn disease", "MESH:D1", "Crohn Disease", 0), ("Gene", "NOD2", "NCBIGene:348", "NOD2", 0))
+    tagger, classifier = extract.dictionary_tagger({"NOD2": "Gene", "CD": "Disease"}), extract.constant_classifier("Association", 0.9)
     source = tmp_path / "in"
     rows.coalesce(1).write.json(str(source))
     for _ in range(2):
         incremental.stream(spark, str(source), store, str(tmp_path / "chk"), tagger, classifier, vocabulary).awaitTermination()
     men = store.table("mentions").where("pmid = '1'").collect()
-    full = "APOE and AD " + text
+    full = "NOD2 and CD " + text
     assert men and all(full[m.start_char : m.end_char] == m.surface for m in men) and {m.entity_id for m in men} == {"MESH:D1", "NCBIGene:348"}
     rel = store.table("relations").where("pmid = '1'").collect()
-    assert {(r.head_id, r.tail_id, r.label, r.confidence) for r in rel} == {("NCBIGene:348", "MESH:D1", "Association", 0.9)} and "[E1] APOE [/E1]" in rel[-1].sentence
+    assert {(r.head_id, r.tail_id, r.label, r.confidence) for r in rel} == {("NCBIGene:348", "MESH:D1", "Association", 0.9)} and "[E1] NOD2 [/E1]" in rel[-1].sentence
     n = store.count("mentions")
     batch = incremental.into_store(store, tagger, classifier, vocabulary)
     batch(rows.select("pmid", "title", "abstract", "year", "languages", "journal", "vernacular_title", "other_abstracts", "query_label"), 1)
@@ -169,17 +171,17 @@ def test_pipeline_and_command_line(spark, tmp_path):
     from quillweave.plans import pipeline
 
     corpus = pubtator.parse(spark.createDataFrame([(BLOCK,)], "value string"))
-    vocabulary = lex(spark, ("Gene", "APOE", "NCBIGene:348", "APOE", 0), ("Disease", "AD", "MESH:D000544", "AD", 0))
-    tagger, classifier = extract.dictionary_tagger({"APOE": "Gene", "AD": "Disease"}), extract.constant_classifier("Association", 0.9)
+    vocabulary = lex(spark, ("Gene", "NOD2", "NCBIGene:348", "NOD2", 0), ("Disease", "CD", "MESH:D000544", "CD", 0))
+    tagger, classifier = extract.dictionary_tagger({"NOD2": "Gene", "CD": "Disease"}), extract.constant_classifier("Association", 0.9)
     got = pipeline.scores(pipeline.evaluate_pipeline(corpus, tagger, classifier, vocabulary))
     assert {r["type"]: r["accuracy"] for r in got["normalization"]} == {None: 1.0, "Gene": 1.0, "Disease": 1.0}
     assert {r["measure"]: (r["tp"], r["fp"], r["fn"]) for r in got["relations"]} == {"model": (1, 0, 0), "cooccurrence": (1, 0, 0)}
     store = Store(spark, str(tmp_path / "db"))
-    store.upsert(spark.createDataFrame([("1", "APOE and AD", "", 2012, ["eng"], "", "", [], "x")], S.ARTICLES + ", query_label string"))
+    store.upsert(spark.createDataFrame([("1", "NOD2 and CD", "", 2012, ["eng"], "", "", [], "x")], S.ARTICLES + ", query_label string"))
     assert pipeline.extract_pending(store, tagger, classifier, vocabulary) == 1 and pipeline.extract_pending(store, tagger, classifier, vocabulary) == 0
     run = lambda *a: cli.run(spark, cli.parser().parse_args(["--db", str(tmp_path / "db"), *a]))
     assert "edges: 1" in run("build-graph")
-    assert run("query", "--entity", "apoe", "--evidence", "1")[1].startswith("AD") and len(run("top")) == 2 and len(run("trends", "--entity", "ad", "--min-docs", "1")) == 2
+    assert run("query", "--entity", "nod2", "--evidence", "1")[1].startswith("CD") and len(run("top")) == 2 and len(run("trends", "--entity", "cd", "--min-docs", "1")) == 2
     assert run("export", "--format", "json", "--out", str(tmp_path / "g.json")) == [f"wrote 2 nodes / 1 edges to {tmp_path}/g.json"] and "documents: 1" in run("stats")
     with pytest.raises(SystemExit):
         run("query", "--entity", "nothing")

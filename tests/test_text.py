@@ -87,10 +87,11 @@ def test_ascii_keys_agree_with_the_general_form(spark, texts):
 
 
 def test_abbreviations():
-    text = "Alzheimer's disease (AD) and amyotrophic lateral sclerosis (ALS) with apolipoprotein E (APOE) (n = 20) and L-3,4-dihydroxyphenylalanine (L-DOPA). Later antibody (AD)."
+    text = "Crohn's disease (CD) and restless legs syndrome (RLS) with tumour necrosis factor alpha (TNFA) (n = 20) and L-3,4-dihydroxyphenylalanine (L-DOPA). Later control diet (CD)."
     found = definitions(text)
-    assert found["AD"] == "Alzheimer's disease" and found["ALS"] == "amyotrophic lateral sclerosis" and found["APOE"] == "apolipoprotein E"
+    assert found["CD"] == "Crohn's disease" and found["RLS"] == "restless legs syndrome" and found["TNFA"] == "tumour necrosis factor alpha"
     assert "n = 20" not in found and definitions("Nothing here fits (XYZ).") == {}
+    assert definitions("the non-small cell lung (SCL) and heat shock unit ( HSU ) or HSU (HSU)") == {"SCL": "non-small cell lung", "HSU": "heat shock unit"}
 
 
 def spans_of(rows):
