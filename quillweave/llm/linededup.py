@@ -20,6 +20,8 @@ RARE, FREQUENT = 128, 1 << 22
 #: A list of two words of more lines than LONG (as many as a rare word's list may hold) is compared in blocks of BLOCK x
 #: BLOCK lines.
 LONG, BLOCK = 128, 2048
+#: Bits of the signature that candidate pairs are filtered by before their words are joined.
+WIDE_BITS = 256
 
 LINES = "doc_id long, line_no long, n int, d1 long, d2 long, sig long, prefix array<long>"
 #: The lines of rows that share an id are numbered apart by this much.
@@ -206,8 +208,25 @@ def candidate_pairs(posts: DataFrame, percent: int) -> DataFrame:
     return side("x", False).join(side("y", True), ["k1", "k2"]).where(ahead & fits & (rest >= need) & (differ <= total - 2 * need)).select("xd", "xl", "yd", "yl")
 
 
+WORDS = "d long, l long, n int, s0 long, s1 long, s2 long, s3 long, words array<long>"
+
+
+def wide_signatures(row: np.ndarray, word: np.ndarray, count: int) -> list[np.ndarray]:
+    """The four longs of each line's signature: a bit for each of its words, WIDE_BITS of them."""
+    bit = (mix(word.view(U64)) & U64(WIDE_BITS - 1)).astype(np.int64)
+    out = np.zeros((count, WIDE_BITS // 64), np.int64)
+    for low in range(0, count, 8192):
+        high = min(low + 8192, count)
+        i, j = np.searchsorted(row, (low, high))
+        flags = np.zeros((high - low, WIDE_BITS), dtype=bool)
+        flags[row[i:j] - low, bit[i:j]] = True
+        out[low:high] = np.packbits(flags, axis=1).view(np.int64)
+    return [np.ascontiguousarray(out[:, c]) for c in range(out.shape[1])]
+
+
 def fetched(lines_: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
-    """(d, l, words) of the wanted lines (d, l), and maybe of others: their distinct words in order."""
+    """(d, l, n, s0 to s3, words) of the wanted lines (d, l), and maybe of others: how many distinct words they have, a
+    signature of WIDE_BITS bits, and those words in order."""
     wanted, bound = wanted_rows(lines_), session_of(docs).sparkContext.broadcast(order)
 
     def run(batches):
@@ -221,10 +240,23 @@ def fetched(lines_: DataFrame, docs: DataFrame, order: Order) -> DataFrame:
                 own = np.concatenate([raw[bounds[i] : bounds[i + 1]] for i in use.tolist()])
                 cut = np.concatenate([[0], np.cumsum(bounds[use + 1] - bounds[use])])
                 row, word = line_sets(own, cut, bound.value)
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(use)))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[doc[use]]), pa.array(number[use]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(word))], ["d", "l", "words"])
+                size = np.bincount(row, minlength=len(use))
+                offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                signs = wide_signatures(row, word, len(use))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[doc[use]]), pa.array(number[use]), pa.array(size, pa.int32()), *map(pa.array, signs), pa.ListArray.from_arrays(pa.array(offsets), pa.array(word))], [f.split()[0] for f in WORDS.split(", ")])
 
-    return arrow(docs, run, "d long, l long, words array<long>")
+    return arrow(docs, run, WORDS)
+
+
+def within(pairs: DataFrame, words_: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide signatures don't differ in more bits than similar enough sets differ in words: no link is lost,
+    and few of the other pairs are joined to their words."""
+    signs = [f"s{i}" for i in range(WIDE_BITS // 64)]
+    side = lambda k: words_.select(*(F.col(c).alias(k + c) for c in ("d", "l", "n", *signs)))
+    joined = pairs.join(side("x"), ["xd", "xl"]).join(side("y"), ["yd", "yl"])
+    total = F.col("xn") + F.col("yn")
+    differ = sum((F.bit_count(F.col("x" + s).bitwiseXOR(F.col("y" + s))) for s in signs), F.lit(0))
+    return joined.where(differ <= total - 2 * F.ceil(total * percent / (100.0 + percent) - 1e-6)).select("xd", "xl", "yd", "yl")
 
 
 def pair_links(pairs: DataFrame, words_: DataFrame, blocked: DataFrame, percent: int) -> DataFrame:
@@ -306,8 +338,9 @@ def links_of(classes: DataFrame, docs: DataFrame, order: Order, shared, percent:
     dense = double.join(blocked, ["k1", "k2"], "left_semi").select("d", "l")
     wanted = pairs.select(F.col("xd").alias("d"), F.col("xl").alias("l")).union(pairs.select("yd", "yl")).union(dense)
     words_ = scratch.keep(fetched(wanted, docs, order))
-    found = scratch.keep(pair_links(pairs, words_, blocked, percent).union(block_links(double, blocked, words_, percent)).groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later")))
-    scratch.drop(posts, lists, blocked, pairs, words_)
+    near = scratch.keep(within(pairs, words_, percent))
+    found = scratch.keep(pair_links(near, words_, blocked, percent).union(block_links(double, blocked, words_, percent)).groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later")))
+    scratch.drop(posts, lists, blocked, pairs, near, words_)
     return found
 
 
