@@ -15,17 +15,17 @@ SHINGLE, PERCENT = 5, 75
 #: Retained values of a document, and how many of them (lowest first) are looked up in inverted lists. A pair of
 #: similarity 0.75 shares none of 16 with a probability of 0.25 ** 16.
 SKETCH, LISTED = 64, 16
-#: Retained values for comparisons within long lists, what must be shared of them (0.75 less four and a half standard
-#: deviations), and the long lists of a class.
-WIDE, WIDE_ESTIMATE, LISTED_LONG = 256, 0.63, 10
+#: Retained values for comparisons within long lists, by how many standard deviations fewer than expected may be shared, and
+#: the long lists of a class.
+WIDE, DEVIATIONS, LISTED_LONG = 256, 5, 10
 #: An inverted list of more classes than LONG is a long one. The map of those has SPARE bits a value, 2 ** MOST_BITS at most.
 LONG, SPARE, MOST_BITS = 64, 16, 30
 #: Documents with more than this share of values of long lists are also compared over those lists.
 SHARED = 1 / 3
 #: The union sketch's estimate must reach this: 0.75 less four and a half standard deviations.
 ESTIMATE = 0.5
-#: Stars over long lists: rounds at most, pivots of a list in a round, lists of a class.
-ROUNDS, PIVOTS, STARRED = 4, 4, 6
+#: Stars over long lists: pivots of a list, lists of a class.
+PIVOTS, STARRED = 4, 6
 #: Rows of a side of a compared block.
 BLOCK = 1024
 
@@ -147,25 +147,17 @@ def rare_pairs(lists: DataFrame) -> DataFrame:
     return posts.select("value", F.col("rep").alias("a"), F.col("n").alias("an")).join(posts.select("value", F.col("rep").alias("b"), F.col("n").alias("bn")), "value").where((F.col("a") < F.col("b")) & _alike("an", "bn")).select("a", "b").distinct()
 
 
-def _placed(lists: DataFrame, found: DataFrame | None) -> DataFrame:
-    """Classes of long lists with their component so far."""
-    own = lists.where(F.size("common") > 0)
-    if found is None:
-        return own.withColumn("component", F.col("rep"))
-    return own.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-
-
-def star_pairs(lists: DataFrame, found: DataFrame | None, turn: int) -> DataFrame:
-    """(a, b) of each class with a pivot of each of its long lists, unless they are linked already: one pair per entry, however
-    long the list. Pivots are the class with most copies and, other ones each turn, those of lowest hash."""
-    posts = _placed(lists, found).select("rep", "n", "m", "component", F.explode(F.slice("common", 1, STARRED)).alias("value"))
-    order = [-F.col("m") if turn == i == 0 else F.xxhash64("rep", F.lit(turn * PIVOTS + i)) for i in range(PIVOTS)]
-    pick = [F.min(F.struct(o.alias("o"), F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("component").alias("yc"))) for o in order]
+def star_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b) of each class with a pivot of each of its long lists: one pair per entry, however long the list. Pivots are the class
+    with most copies and those of lowest hash."""
+    posts = lists.where(F.size("common") > 0).select("rep", "n", "m", F.explode(F.slice("common", 1, STARRED)).alias("value"))
+    order = [-F.col("m") if i == 0 else F.xxhash64("rep", F.lit(i)) for i in range(PIVOTS)]
+    pick = [F.min(F.struct(o.alias("o"), F.col("rep").alias("y"), F.col("n").alias("yn"))) for o in order]
     pivots = posts.groupBy("value").agg(F.array(*pick).alias("p"), F.count("*").alias("c")).where("c > 1").select("value", "p")
     # Each entry of a list meets one of the list's pivots; its other lists lead it to other ones.
-    mine = F.get("p", F.pmod(F.xxhash64("rep", "value", F.lit(turn)), F.size("p")).cast("int"))
-    pairs = posts.join(pivots, "value").select(F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"), mine.alias("p")).select("x", "xn", "xc", "p.y", "p.yn", "p.yc")
-    pairs = pairs.where((F.col("x") != F.col("y")) & (F.col("xc") != F.col("yc")) & _alike("xn", "yn"))
+    mine = F.get("p", F.pmod(F.xxhash64("rep", "value"), F.size("p")).cast("int"))
+    pairs = posts.join(pivots, "value").select(F.col("rep").alias("x"), F.col("n").alias("xn"), mine.alias("p")).select("x", "xn", "p.y", "p.yn")
+    pairs = pairs.where((F.col("x") != F.col("y")) & _alike("xn", "yn"))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -213,16 +205,24 @@ def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Sc
     """(a, b) of classes of different components so far that share a value of a long list and whose wide sketches agree.
     Those are made of the texts anew, for the classes of open lists only.
 
-    A list is dealt into chunks of BLOCK classes by hash, each pair of chunks is compared as a whole by one task: only
-    pairs whose sketches agree leave it, each from the lowest list that both stand in, and no pair is written down before.
+    In a list, the classes of its largest component are linked already, so they are compared with the others only: with s
+    others among n classes the work is s * n, not n * n. Both parts are dealt into chunks of BLOCK classes by hash (those of
+    the largest component have negative numbers); each pair of chunks is compared as a whole by one task: only pairs whose
+    sketches agree leave it, each from the lowest list that both stand in, and no pair is written down before.
     """
-    posts = _placed(lists, found).select(F.explode("common").alias("value"), "rep", "component", "n", "common")
-    open_ = posts.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("value", F.ceil(F.col("c") / BLOCK).alias("chunks"))
+    placed = lists.where(F.size("common") > 0).join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    posts = placed.select(F.explode("common").alias("value"), "rep", "component", "n", "common")
+    parts = posts.groupBy("value", "component").agg(F.count("*").alias("c"))
+    open_ = parts.groupBy("value").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("all"), F.count("*").alias("k")).where("k > 1")
+    chunks = lambda n: F.ceil(n / BLOCK).cast("int")
+    open_ = open_.select("value", F.col("main.component").alias("main"), chunks(F.col("main.c")).alias("mains"), chunks(F.col("all") - F.col("main.c")).alias("others"))
     posts = scratch.keep(posts.join(open_, "value"))
     wanted = wanted_rows(posts.select("rep").distinct())
     wide = scratch.keep(sketches(docs.where(F.col("doc_id").isNotNull()), WIDE, wanted).select(F.col("doc_id").alias("rep"), "n", "sketch").dropDuplicates(["rep", "n", "sketch"]))
-    dealt = posts.join(wide, ["rep", "n"]).withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)))
+    in_main = F.col("component") == F.col("main")
+    place = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    dealt = posts.join(wide, ["rep", "n"]).withColumn("mine", F.when(in_main, -1 - place(F.col("mains"))).otherwise(place(F.col("others"))))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.when(in_main, F.lit(0)).otherwise(-F.col("mains")), F.col("others") - 1)))
     cells = dealt.select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "common", "sketch")
 
     def compare(key, table):
@@ -242,7 +242,11 @@ def block_pairs(lists: DataFrame, found: DataFrame, docs: DataFrame, scratch: Sc
         row, low = np.repeat(np.arange(len(rep)), size), values[at] < key[0].as_py()
         before = overlaps(row[low], at[low], len(rep), left, right)
         small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
-        need = np.where(large <= WIDE, PERCENT / (100 + PERCENT) * (small + large), WIDE_ESTIMATE * np.minimum(WIDE, small))
+        # Of a whole set that many values are shared, of its lowest WIDE that part of them, less the allowance: whichever sketch
+        # ends first, the other set lacks no more of its values than a draw of WIDE from the larger set would.
+        whole = PERCENT / (100 + PERCENT) * (small + large)
+        part = whole / np.maximum(large, 1)
+        need = np.where(large <= WIDE, whole, WIDE * part - DEVIATIONS * np.sqrt(WIDE * part * np.maximum(1 - part, 0)))
         ok = (shared >= need - 1e-3) & (before == 0) & (comp[left][:, None] != comp[right][None, :]) & (100 * small >= PERCENT * large)
         x, y = np.nonzero(np.triu(ok) if key[1] == key[2] else ok)
         a, b = rep[left[x]], rep[right[y]]
@@ -270,18 +274,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def confirmed(pairs: DataFrame) -> DataFrame:
         return scratch.keep(verified(pairs, docs, scratch))
 
-    def with_links(linked: DataFrame, new: DataFrame) -> DataFrame:
-        return components(new.union(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), scratch)
-
-    linked = components(confirmed(estimated(rare_pairs(lists).union(star_pairs(lists, None, 0)).distinct(), lists)), scratch)
-    for turn in range(1, ROUNDS + 1):
-        new = confirmed(estimated(star_pairs(lists, linked, turn), lists))
-        if new.isEmpty():
-            break
-        linked = with_links(linked, new)
+    linked = components(confirmed(estimated(rare_pairs(lists).union(star_pairs(lists)).distinct(), lists)), scratch)
     new = confirmed(block_pairs(lists, linked, docs, scratch))
     if not new.isEmpty():
-        linked = with_links(linked, new)
+        linked = components(new.union(linked.select(F.col("node").alias("a"), F.col("component").alias("b"))), scratch)
     of_class = classes.select("n", "d1", "d2", "rep").join(linked.withColumnRenamed("node", "rep"), "rep", "left").select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     out = base.select("doc_id", "n", "d1", "d2").join(of_class, ["n", "d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
