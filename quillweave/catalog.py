@@ -39,14 +39,6 @@ def _nation(g) -> str:
 
 
 def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of even keys are stored; those divisible by three arrive, two years later."""
-    docs = adapters.documents(spark, sf_dir).withColumn("query_label", F.lit("first"))
-    n = F.col("pmid").cast("long")
-    arriving = docs.where(n % 3 == 0).withColumns({"year": F.col("year") + 2, "query_label": F.lit("second"), "extracted": F.lit(False)})
-    return rounded(store.upsert_documents(docs.where(n % 2 == 0), arriving)).select("pmid", "year", "query_label", "nlp_scope", "extracted")
-
-
-def _upsert_every(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders up to 1999 are stored; those from 1998 on or without a date arrive, two years later. Together they are all."""
     docs = adapters.documents(spark, sf_dir).withColumn("query_label", F.lit("first"))
     arriving = docs.where(F.coalesce(F.col("year") >= 1998, F.lit(True))).withColumns({"year": F.col("year") + 2, "query_label": F.lit("second"), "extracted": F.lit(False)})
@@ -157,13 +149,6 @@ _G: dict[str, tuple[Callable, str]] = {
     "stats_tables": (_graph(lambda g: g.table_counts()), "SELECT 'documents' AS \"table\", count(*) AS n FROM gd UNION ALL SELECT 'entities', count(*) FROM ge UNION ALL SELECT 'relations', count(*) FROM gr UNION ALL SELECT 'edges', count(*) FROM ed"),
     "upsert_documents": (
         _upsert,
-        """SELECT pmid, CAST(CASE WHEN CAST(pmid AS BIGINT) % 3 = 0 THEN year + 2 ELSE year END AS BIGINT) AS year,
-            CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN 'first' ELSE 'second' END AS query_label,
-            CASE WHEN CAST(pmid AS BIGINT) % 2 = 0 THEN nlp_scope END AS nlp_scope, CAST(pmid AS BIGINT) % 2 = 0 AS extracted
-            FROM gd WHERE CAST(pmid AS BIGINT) % 2 = 0 OR CAST(pmid AS BIGINT) % 3 = 0""",
-    ),
-    "upsert_every": (
-        _upsert_every,
         """SELECT pmid, CAST(CASE WHEN coalesce(year >= 1998, true) THEN year + 2 ELSE year END AS BIGINT) AS year,
             CASE WHEN s THEN 'first' ELSE 'second' END AS query_label, CASE WHEN s THEN nlp_scope END AS nlp_scope, s AS extracted
             FROM (SELECT *, coalesce(year <= 1999, false) AS s FROM gd)""",

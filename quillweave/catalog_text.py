@@ -59,12 +59,6 @@ def lookup_keys_query(spark, sf_dir):
 
 
 def word_keys(spark, sf_dir):
-    """Keys of the documents' accented words."""
-    words = _docs(spark, sf_dir).where(F.col("lang") == "fr").select(F.explode(F.regexp_extract_all("text", F.lit(r"[a-zéèêà]+"), F.lit(0))).alias("word")).distinct()
-    return words.select("word", normalize_key(F.col("word")).alias("key"))
-
-
-def word_keys_every(spark, sf_dir):
     """Keys of all words of all documents: runs of letters, with their marks, of any script and case."""
     words = _docs(spark, sf_dir).select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}]+"), F.lit(0))).alias("word")).distinct()
     return words.select("word", normalize_key(F.col("word")).alias("key"))
@@ -268,8 +262,7 @@ _Q: dict[str, tuple[Callable, str | None]] = {
         f"WITH t AS (SELECT p_partkey, {_KEY.format(_BODIES)} AS k FROM part), "
         f"u AS (SELECT p_partkey, array_to_string(k, ' ') AS a, array_to_string(list_sort(list_transform(k, lambda x: {_ONE})), ' ') AS b FROM t) SELECT p_partkey, CASE WHEN a = b THEN a ELSE a || '|' || b END AS keys FROM u",
     ),
-    "word_keys": (word_keys, "SELECT DISTINCT word, strip_accents(word) AS key FROM (SELECT unnest(regexp_extract_all(text, '[a-zéèêà]+')) AS word FROM documents WHERE lang = 'fr')"),
-    "word_keys_every": (word_keys_every, None),
+    "word_keys": (word_keys, None),
     "lexicon_index": (lexicon_index, f"WITH {_LEX} SELECT * FROM ix"),
     "resolve_mentions": (
         resolve_mentions,

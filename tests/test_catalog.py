@@ -44,7 +44,7 @@ def test_query(spark, duck, name):
 
 
 def test_every_order_is_upserted(spark):
-    got = catalog.QUERIES["upsert_every"](spark, DATA)
+    got = catalog.QUERIES["upsert_documents"](spark, DATA)
     orders = spark.read.parquet(f"{DATA}/orders.parquet")
     assert sorted(r[0] for r in got.select("pmid").collect()) == sorted(str(r[0]) for r in orders.select("o_orderkey").collect())
     assert {(r.query_label, r.extracted) for r in got.select("query_label", "extracted").distinct().collect()} == {("first", True), ("second", False)}
@@ -55,7 +55,7 @@ def test_every_order_is_upserted(spark):
 def test_every_word_has_its_key(spark, tmp_path):
     rows = [(1, "Größe NIÑO; niño's über", "de"), (2, "The café, CAFÉ 42 caf\u0065\u0301", "en"), (3, None, "fr"), (4, "α-Żółw l'été", None), (5, "12 !", "es")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.word: r.key for r in catalog.QUERIES["word_keys_every"](spark, str(tmp_path)).collect()}
+    got = {r.word: r.key for r in catalog.QUERIES["word_keys"](spark, str(tmp_path)).collect()}
     assert got == {
         "Größe": "e gro", "NIÑO": "nino", "niño": "nino", "s": "s", "über": "uber", "The": "the", "café": "cafe", "CAFÉ": "cafe", "caf\u0065\u0301": "cafe",
         "α": "alpha", "Żółw": "w zo", "l": "l", "été": "ete",
