@@ -14,13 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import arrow, pieces, range_hashes, text_column
+from quillweave.llm.common import arrow, lean, pieces, range_hashes, text_column
 
 #: Bytes of unsplit text that are encoded at once; longer text is halved.
 LEAF = 4096
-#: Entries of the cache of encoded words of a worker.
+#: Entries of the cache of encoded words of a task.
 CACHE = 200_000
-CHUNK = 1 << 20
+#: Bytes of text that are encoded at once: some forty times as many are held meanwhile.
+CHUNK = 1 << 18
 OTHER, LETTER, NUMBER, SPACE, RARE = range(5)
 
 
@@ -225,10 +226,15 @@ def codec(path: str) -> Codec:
 
 
 def encoded(batches, path: str):
-    """(doc_ids, ids, offsets, codec) of each piece of the Arrow batches (doc_id, text)."""
+    """(doc_ids, ids, offsets, codec) of each piece of the Arrow batches (doc_id, text). The words found are forgotten in the
+    end, as the worker lives on."""
+    lean()
     tool = codec(path)
-    for part in pieces(batches, CHUNK):
-        yield part.column(0), *tool.encode(*text_column(part.column(1))), tool
+    try:
+        for part in pieces(batches, CHUNK):
+            yield part.column(0), *tool.encode(*text_column(part.column(1))), tool
+    finally:
+        tool.clear()
 
 
 def selected(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

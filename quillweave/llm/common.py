@@ -88,6 +88,7 @@ def tidy(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
+            POWERS.clear()
             trim()
 
     return ran
@@ -103,6 +104,21 @@ def trim() -> None:
         pass
 
 
+#: Bytes from which on memory goes back to the system as soon as it is freed, see `lean`.
+FREED = 1 << 19
+
+
+def lean() -> None:
+    """From now on this worker gives back large arrays when they are freed, where the C library can be told so; by itself
+    it comes to keep up to 32 MB of each for later ones."""
+    import ctypes
+
+    try:
+        ctypes.CDLL(None).mallopt(-3, FREED)  # M_MMAP_THRESHOLD
+    except (AttributeError, OSError):
+        pass
+
+
 def fold(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
@@ -127,12 +143,15 @@ class _Powers:
     """Powers of the base and of its inverse modulo 2**64, grown on demand."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=U64)
         self.inverse = U64(pow(int(_BASE), -1, 1 << 64))
+        self.clear()
+
+    def clear(self) -> None:
+        self.up = self.down = np.ones(1, dtype=U64)
 
     def to(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
+            n = max(n + n // 8, 4096)
             with np.errstate(over="ignore"):
                 self.up = np.cumprod(np.concatenate([np.ones(1, U64), np.full(n, _BASE)]))
                 self.down = np.cumprod(np.concatenate([np.ones(1, U64), np.full(n, self.inverse)]))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import Scratch, arrow, hash_bound, lower_bytes, pieces, session_of, text_column
+from quillweave.llm.common import Scratch, arrow, hash_bound, lean, lower_bytes, pieces, session_of, text_column
 
 UNKNOWN = "und"
 #: Dimensions of the hashed n-grams (two and three bytes).
@@ -24,7 +24,9 @@ ROUNDS = 8
 REJECT, ENOUGH, FULL = 0.6, 100, 400
 
 #: Rows that are turned into vectors at once (4096 dimensions each), however short they are.
-ROWS = 256
+ROWS = 128
+#: Bytes of text that are turned into vectors at once.
+CHUNK = 1 << 18
 
 _LETTER = np.array([i >= 128 or chr(i).isalpha() for i in range(256)])
 
@@ -130,8 +132,9 @@ def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> M
     rows = scratch.keep(rows.groupBy("lang", "id").agg(F.min("text").alias("text")).select("lang", "text"))
 
     def frequencies(batches):
+        lean()
         total, n = np.zeros(DIMS, dtype=np.int64), 0
-        for part in pieces(batches, 1 << 20, ROWS):
+        for part in pieces(batches, CHUNK, ROWS):
             c = counts(*text_column(part.column(1)))
             total, n = total + (c > 0).sum(axis=0), n + len(c)
         yield pa.RecordBatch.from_pydict({"n": [n], "df": [total.tobytes()]})
@@ -142,7 +145,8 @@ def fit(train: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> M
     base = Model([], np.zeros(0, np.int64), np.zeros((0, DIMS), np.float32), idf, np.zeros(0))
 
     def centres(key, table):
-        x = np.concatenate([base.vectors(*text_column(p.column(1))) for p in pieces(table.to_batches(), 1 << 20, ROWS)])
+        lean()
+        x = np.concatenate([base.vectors(*text_column(p.column(1))) for p in pieces(table.to_batches(), CHUNK, ROWS)])
         c = cluster(x, centroids)
         return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "centroids": [c.astype(np.float32).tobytes()], "least": [bars(x, c).astype(np.float64).tobytes()]})
 
@@ -173,8 +177,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     at = names.index(text_col) if carry and text_col in names else len(names)
 
     def run(batches):
+        lean()
         m = bound.value
-        for part in pieces(batches, 1 << 20, ROWS, at):
+        for part in pieces(batches, CHUNK, ROWS, at):
             letters = part.column(part.num_columns - 1).to_numpy(zero_copy_only=False).astype(bool) & bool(m.langs)
             if m.langs:
                 lang, score, near = m.nearest(*text_column(part.column(at)))

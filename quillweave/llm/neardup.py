@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillweave.llm.common import U64, Scratch, arrow, fresh, is_wanted, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
+from quillweave.llm.common import U64, Scratch, arrow, fresh, is_wanted, lean, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
 from quillweave.llm.components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -72,6 +72,7 @@ def sketches(docs: DataFrame, size: int = SKETCH, wanted=None) -> DataFrame:
     documents, if a map of those (common.wanted_rows) is given."""
 
     def run(batches):
+        lean()
         if wanted is not None:
             batches = (b.filter(pa.array(is_wanted(wanted.value, b.column(0).to_numpy()))) for b in batches)
         for part in pieces(batches, 1 << 20):

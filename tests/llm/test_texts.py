@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillweave.llm import bpe, langid, lm, packing, secrets, toxicity
+from quillweave.llm import bpe, common, langid, lm, packing, secrets, toxicity
 from quillweave.llm.common import fold, text_column
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,6 +77,21 @@ def check_packing(rows, ids, limit=1024):
     return sequences
 
 
+def test_workers_hold_little():
+    rng = random.Random(6)
+    texts = [" ".join(f"{rng.choice('abcdefgh')}{rng.randrange(30_000)}" for _ in range(400)) for _ in range(1600)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1600)), "text": texts})
+    tool = bpe.codec(PATH)
+    tool.clear()
+    bpe.classes()
+    tracemalloc.start()
+    for _ in common.tidy(lambda batches: (ids for _, ids, _, _ in bpe.encoded(batches, PATH)))([batch]):
+        pass
+    left, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 30e6 and left < 2e6 and not tool.slot and len(common.POWERS.up) == 1
+
+
 def test_packing(spark, library):
     rng = random.Random(2)
     texts = [" ".join(rng.choice(["the", "tokens", "xq", "9"]) for _ in range(rng.choice([0, 1, 3, 40, 900, 2500]))) for _ in range(150)] + ODD
