@@ -183,6 +183,13 @@ def postings(classes: DataFrame, shared, percent: int) -> DataFrame:
     return arrow(classes.select("d", "l", "n", "sig", "prefix"), run, POSTS)
 
 
+def shared_lists(posts: DataFrame) -> DataFrame:
+    """(k1, k2, n) of the lists that may hold a pair: two lines at least, one of them as the shorter. A line that stands in a list as
+    the shorter one does so as the longer one too (the latter may lack more), so the probes are the list's lines."""
+    found = posts.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.sum(F.col("probe").cast("long")).alias("lines"))
+    return found.where("lines > 1 AND n > lines").select("k1", "k2", "n")
+
+
 def in_lists(posts: DataFrame, wanted) -> DataFrame:
     """The postings of the wanted lists, and maybe of others, without a shuffle."""
 
@@ -331,7 +338,7 @@ def links_of(classes: DataFrame, docs: DataFrame, order: Order, shared, percent:
     """
     posts = scratch.keep(postings(classes, shared, percent))
     double = posts.where("k2 <> 0")
-    lists = scratch.keep(double.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("probe").alias("asked"), F.min("probe").alias("only")).where("asked AND NOT only").select("k1", "k2", "n"))
+    lists = scratch.keep(shared_lists(double))
     blocked = scratch.keep(lists.where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")))
     short = in_lists(double, wanted_rows(lists.where(F.col("n") <= LONG).select("k1", "k2"))).join(blocked, ["k1", "k2"], "left_anti")
     pairs = scratch.keep(candidate_pairs(posts.where("k2 = 0"), percent).union(candidate_pairs(short, percent)).distinct())

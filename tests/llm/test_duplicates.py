@@ -126,6 +126,25 @@ def test_lines_are_brute_force(spark, monkeypatch):
     assert kept[904] == "my own words are here now" and 903 not in kept and kept[902] == "short line\n\nshort line" and kept[901] == "" and kept[None] == "a\nb"
 
 
+def test_lists_of_one_line_pass_nothing(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "RARE", 1)
+    grid = [[f"w{i}x{j}" for j in range(12)] for i in range(12)]
+    rows = [(i, " ".join(w)) for i, w in enumerate([*grid, *zip(*grid, strict=True)])]
+    alike = [f"v{i}" for i in range(20)]
+    rows += [(100, " ".join(alike)), (101, " ".join(["other", *alike[1:]])), (102, " ".join(["more", "v0", *alike[2:]]))]
+    real, seen = linededup.in_lists, []
+
+    def in_lists(posts, wanted):
+        found = real(posts, wanted)
+        seen.extend(found.select("d").collect())
+        return found
+
+    monkeypatch.setattr(linededup, "in_lists", in_lists)
+    got = {r.doc_id: (r.removed, r.n_links) for r in linededup.match_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == matches(rows) and got[101] == ([0], 1)
+    assert seen and {r.d for r in seen} <= {100, 101, 102}
+
+
 def test_lines_of_nothing(spark):
     assert linededup.match_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = linededup.match_lines(spark.createDataFrame([(1, "\n".join("a b c d e" for _ in range(3000)))], "doc_id long, text string")).first()
