@@ -20,7 +20,11 @@ CLASS_ROWS, MEMBER_ROWS = 4096, 8192
 #: Rounds of training (each document is learnt from in one of them), tokens of an update, step.
 ROUNDS, BATCH, RATE = 3, 4096, 0.08
 #: Uses of a weight row in a batch up to which its gradients are summed along with other rows'.
-PASSES = 12
+PASSES = 24
+#: Tokens, or weight rows, that are worked on at once, so that their arrays stay in a core's cache.
+STRIP = 512
+#: Up to this size of all logits their softmax needs no shift by each token's largest one: no sum of exponentials leaves float32.
+PLAIN = 80
 #: Frequent words whose counts are sent to all tasks (at most 4 MB); the counts of the others are joined.
 FREQUENT = 1 << 18
 #: Distinct words that a task holds before it passes their counts on.
@@ -121,20 +125,28 @@ def rows_of(context: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (context % U64(CLASS_ROWS)).astype(np.uint16), (inner % U64(MEMBER_ROWS)).astype(np.uint16)
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
+def _softmax(z: np.ndarray) -> None:
+    """In place."""
+    if z.max(initial=0) > PLAIN or z.min(initial=0) < -PLAIN:
+        z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+    z /= (z @ np.ones(z.shape[1], np.float32))[:, None]
 
 
 def forward(m: Model, outer: np.ndarray, inner: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities of all classes, and of all slots of the token's class."""
-    a, b = np.repeat(m.class_bias[None], len(slot), axis=0), m.member_bias[slot // MEMBERS]
-    for x, table, rows in ((a, m.class_rows, outer), (b, m.member_rows, inner)):
-        for i in range(rows.shape[1]):
-            x += table.take(rows[:, i], axis=0)
-    return _softmax(a), _softmax(b)
+    of = slot // MEMBERS
+    a, b = np.empty((len(slot), CLASSES), np.float32), np.empty((len(slot), MEMBERS), np.float32)
+    spaces = [np.empty((min(len(slot), STRIP), x.shape[1]), np.float32) for x in (a, b)]
+    for i in range(0, len(slot), STRIP):
+        j = min(i + STRIP, len(slot))
+        a[i:j] = m.class_bias
+        m.member_bias.take(of[i:j], axis=0, out=b[i:j], mode="clip")
+        for x, table, rows, space in ((a[i:j], m.class_rows, outer[i:j], spaces[0][: j - i]), (b[i:j], m.member_rows, inner[i:j], spaces[1][: j - i])):
+            for k in range(rows.shape[1]):
+                x += table.take(rows[:, k], axis=0, out=space, mode="clip")
+            _softmax(x)
+    return a, b
 
 
 def log_slots(m: Model, row: np.ndarray, slot: np.ndarray) -> np.ndarray:
@@ -150,18 +162,21 @@ def log_slots(m: Model, row: np.ndarray, slot: np.ndarray) -> np.ndarray:
 
 
 def _sums(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows that occur, how often, the sum of x over the tokens of each); rows: tokens x features. Rows that occur up to
-    PASSES times are summed for all at once, an occurrence at a time; the others one by one."""
+    """(rows that occur, how often, the sum of x over the tokens of each), most used rows first; rows: tokens x features. Rows
+    that occur up to PASSES times are summed for all at once, an occurrence at a time; the others one by one."""
     flat = rows.ravel()
     order = np.argsort(flat, kind="stable")
     at, token = flat[order], order // rows.shape[1]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     n = np.diff(np.append(first, len(at)))
+    by = np.argsort(-n, kind="stable")
+    first, n = first[by], n[by]
     out = x.take(token[first], axis=0)
+    more = np.searchsorted(-n, -np.arange(PASSES + 1))  # how many rows occur more than 0, 1, 2, ... times
+    often = int(more[PASSES])
     for j in range(1, PASSES):
-        more = np.flatnonzero((n > j) & (n <= PASSES))
-        out[more] += x.take(token[first[more] + j], axis=0)
-    for i in np.flatnonzero(n > PASSES).tolist():
+        out[often : more[j]] += x.take(token[first[often : more[j]] + j], axis=0)
+    for i in range(often):
         x.take(token[first[i] : first[i] + n[i]], axis=0).sum(axis=0, out=out[i])
     return at[first], n, out
 
@@ -169,9 +184,16 @@ def _sums(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 def _descend(weights: np.ndarray, squares: np.ndarray, hits: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
     """One update by the summed gradients of a batch; each weight has its own rate."""
     u, n, g = _sums(gradient, rows)
-    squares[u] += g * g
-    weights[u] -= RATE * g / np.sqrt(squares[u] + 1e-3)
     hits[u] += n
+    for i in range(0, len(u), STRIP):
+        v, x = u[i : i + STRIP], g[i : i + STRIP]
+        s = squares.take(v, axis=0)
+        s += x * x
+        squares[v] = s
+        s += 1e-3
+        x *= RATE
+        x /= np.sqrt(s, out=s)
+        weights[v] -= x
 
 
 def learnt(docs: DataFrame, model: Model) -> Model:

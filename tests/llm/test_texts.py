@@ -282,6 +282,42 @@ def test_gradient_sums():
     assert n.tolist() == np.bincount(rows.ravel(), minlength=500)[u].tolist() and np.abs(got - want[u]).max() < 1e-3
 
 
+def test_steps_in_strips_are_the_plain_ones(monkeypatch):
+    monkeypatch.setattr(lm, "STRIP", 37)
+    monkeypatch.setattr(lm, "PASSES", 5)
+    rng = np.random.default_rng(8)
+    n, normal = 300, lambda *shape: rng.normal(size=shape).astype(np.float32)
+    m = lm.Model(1, 1, (np.zeros(0, np.int64),) * 2, (np.zeros(0, np.int64),) * 2, np.zeros(lm.RARE, np.int64), np.zeros(lm.RARE, np.int64), normal(lm.CLASSES), normal(lm.CLASSES, lm.MEMBERS), normal(lm.CLASS_ROWS, lm.CLASSES), normal(lm.MEMBER_ROWS, lm.MEMBERS))
+    m.class_rows[5], m.member_rows[7, 3] = 500, -500
+    slot = rng.integers(0, lm.SLOTS, n)
+    outer, inner = ((rng.zipf(1.5, (n, 4)) % k).astype(np.uint16) for k in (lm.CLASS_ROWS, lm.MEMBER_ROWS))
+    outer[0], inner[40:42] = 5, 7
+    a, b = lm.forward(m, outer, inner, slot)
+    for got, z in ((a, m.class_bias + m.class_rows[outer].sum(axis=1)), (b, m.member_bias[slot // lm.MEMBERS] + m.member_rows[inner].sum(axis=1))):
+        want = np.exp(z - z.max(axis=1, keepdims=True, initial=-np.inf).astype(np.float64))
+        assert np.abs(got - want / want.sum(axis=1, keepdims=True)).max() < 1e-3
+    assert all(len(lm.forward(m, outer[:0], inner[:0], slot[:0])[i]) == 0 for i in (0, 1))
+    weights, squares, hits = m.member_rows.copy(), np.zeros_like(m.member_rows), np.zeros(lm.MEMBER_ROWS, np.int64)
+    g = np.zeros(weights.shape)
+    np.add.at(g, inner.ravel(), np.repeat(b, 4, axis=0))
+    lm._descend(weights, squares, hits, inner, b)
+    assert hits.tolist() == np.bincount(inner.ravel(), minlength=lm.MEMBER_ROWS).tolist()
+    assert np.allclose(squares, g * g, rtol=1e-4) and np.allclose(weights, m.member_rows - lm.RATE * g / np.sqrt(g * g + 1e-3), atol=1e-4)
+
+
+def test_tokens_of_usual_size_need_no_shift():
+    class Logits(np.ndarray):
+        def max(self, axis=None, **more):
+            assert axis is None
+            return np.asarray(self).max(**more)
+
+    z = np.random.default_rng(2).normal(size=(50, 64)).astype(np.float32)
+    want = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    got = z.view(Logits)
+    lm._softmax(got)
+    assert np.abs(np.asarray(got) - want).max() < 1e-6
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="no tables")
 def test_unlearned_languages_and_noise_are_rejected(spark):
     rng = random.Random(5)
