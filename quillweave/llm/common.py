@@ -165,7 +165,14 @@ def range_hashes(units: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     POWERS.to(len(units) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(units) + 1, dtype=U64)
-        np.cumsum((units.astype(U64) + U64(1)) * POWERS.up[: len(units)], out=total[1:])
+        space = np.empty(min(len(units), 1 << 14), dtype=U64)  # short runs need no arrays of the text's length in between
+        for i in range(0, len(units), 1 << 14):
+            run = space[: len(units) - i]
+            run[:] = units[i : i + (1 << 14)]
+            run += U64(1)
+            run *= POWERS.up[i : i + len(run)]
+            run[0] += total[i]
+            np.cumsum(run, out=total[i + 1 : i + 1 + len(run)])
         return mix(((total[end] - total[start]) * POWERS.down[start]) ^ ((end - start).astype(U64) << U64(48)))
 
 
@@ -199,13 +206,9 @@ def is_wanted(bits: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-
 def lower_bytes(raw: np.ndarray) -> np.ndarray:
     """A-Z to a-z, byte by byte."""
-    return _LOWER[raw]
+    return raw + ((raw - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
 
 
 def text_column(column) -> tuple[np.ndarray, np.ndarray]:
@@ -232,25 +235,44 @@ ALNUM = np.array([chr(i).isalnum() if i < 128 else True for i in range(256)])
 def words(raw: np.ndarray, offsets: np.ndarray, of: np.ndarray = NOT_WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word (a run of the bytes that `of` marks; by default all but 0x20 and 0x09-0x0D) of
     the rows that offsets mark in raw."""
-    solid = of[raw]
+    solid = of.take(raw)
     first = solid.copy()
-    first[1:] &= ~solid[:-1]
+    np.greater(solid[1:], solid[:-1], out=first[1:])
     inner = offsets[(offsets > 0) & (offsets < len(raw))]
     first[inner] = solid[inner]
     last = solid.copy()
-    last[:-1] &= ~solid[1:]
+    np.greater(solid[:-1], solid[1:], out=last[:-1])
     last[inner - 1] = solid[inner - 1]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
-#: Distinct keys that a task holds before it passes their counts on.
-HELD = 1_000_000
+#: Rows that a task holds before it passes them on, and how many groups they are dealt into by a key.
+HELD, BUCKETS = 1_000_000, 1024
 
 
-def key_counts(docs: DataFrame, keys: Callable, text_at: int = 0) -> DataFrame:
-    """(w, c): how often each int64 key occurs that keys(raw, offsets) finds in the texts of a column. Summed in each task
-    before they are shuffled."""
+def bucketed(key: np.ndarray, *columns: np.ndarray):
+    """One Arrow row for each bucket of the int64 keys that occurs: its number, and the bytes of each column. Numbers by the million
+    so pass a shuffle as a few rows; unpacked() reads them in a group's function."""
+    import pyarrow as pa
+
+    bucket = (mix(key.view(U64)) >> U64(54)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    count = np.bincount(bucket, minlength=BUCKETS)
+    used = np.flatnonzero(count)
+    ends = np.concatenate([[0], np.cumsum(count[used])])
+    packed = [pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer((ends * c.itemsize).astype(np.int32)), pa.py_buffer(c.take(order))]) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *packed], ["bucket", *(f"c{i}" for i in range(len(packed)))])
+
+
+def unpacked(table, *kinds: type) -> list[np.ndarray]:
+    """The numbers of a group of bucketed()'s rows, column by column."""
+    return [np.frombuffer(b"".join(table.column(f"c{i}").to_pylist()), dtype=k) for i, k in enumerate(kinds)]
+
+
+def key_counts(docs: DataFrame, keys: Callable, text_at: int = 0, least: int = 1) -> DataFrame:
+    """(w, c): how often each int64 key occurs that keys(raw, offsets) finds in the texts of a column, if `least` times or more.
+    Summed in each task before they are shuffled."""
     import pyarrow as pa
 
     def merged(found, counts):
@@ -259,7 +281,6 @@ def key_counts(docs: DataFrame, keys: Callable, text_at: int = 0) -> DataFrame:
 
     def run(batches):
         found, counts, held = [], [], 0
-        out = lambda k, c: pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["w", "c"])
         for part in pieces(batches, 1 << 20):
             k, c = np.unique(keys(*text_column(part.column(text_at))), return_counts=True)
             found.append(k)
@@ -269,12 +290,18 @@ def key_counts(docs: DataFrame, keys: Callable, text_at: int = 0) -> DataFrame:
                 k, c = merged(found, counts)
                 found, counts, held = [k], [c], len(k)
                 if held > HELD // 2:
-                    yield out(k, c)
+                    yield bucketed(k, k, c)
                     found, counts, held = [], [], 0
         if found:
-            yield out(*merged(found, counts))
+            k, c = merged(found, counts)
+            yield bucketed(k, k, c)
+
+    def summed(table):
+        k, c = merged(*([x] for x in unpacked(table, np.int64, np.int64)))
+        keep = c >= least
+        return pa.table({"w": k[keep], "c": c[keep]})
 
-    return arrow(docs, run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    return arrow(docs, run, "bucket int, c0 binary, c1 binary").groupBy("bucket").applyInArrow(summed, "w long, c long")
 
 
 def overlaps(row: np.ndarray, column: np.ndarray, rows: int, left: np.ndarray, right: np.ndarray, step: int = 4096) -> np.ndarray:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillweave.functions.arrays import let
-from quillweave.llm.common import U64, Scratch, arrow, fresh, is_wanted, key_counts, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, wanted_rows, words
+from quillweave.llm.common import U64, Scratch, arrow, bucketed, fresh, is_wanted, key_counts, lower_bytes, mix, overlaps, pieces, range_hashes, session_of, text_column, unpacked, wanted_rows, words
 
 #: Lines match at 100 * shared words >= PERCENT * words of either. Lines of fewer than LEAST different words stay, unless
 #: the caller asks for another least: with EVERY, as the query and the pipeline do, all lines with a word take part.
@@ -20,6 +20,8 @@ RARE, FREQUENT = 128, 1 << 22
 #: A list of two words of more lines than LONG (as many as a rare word's list may hold) is compared in blocks of BLOCK x
 #: BLOCK lines.
 LONG, BLOCK = 128, 2048
+#: Postings of rare words that a task holds before it passes them on; pairs of them that are compared at once.
+HELD, AT_ONCE = 1_000_000, 1 << 19
 #: Bits of the signature that candidate pairs are filtered by before their words are joined.
 WIDE_BITS = 256
 
@@ -75,7 +77,7 @@ def hashed(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def word_order(docs: DataFrame, scratch: Scratch):
     """The order, by exact counts of all words of all texts, and a broadcast map of the words that occur more than once (the
     lists of others hold one line). The driver gets the frequent words only, FREQUENT at most, and a map of fixed size."""
-    several = scratch.keep(key_counts(docs.select("text"), hashed).where("c > 1"))
+    several = scratch.keep(key_counts(docs.select("text"), hashed, least=2))
     shared, common = wanted_rows(several.select("w")), several.where(F.col("c") > RARE)
     by_level = {r["k"]: r["n"] for r in common.groupBy(F.floor(F.log2("c")).alias("k")).agg(F.count("*").alias("n")).collect()}
     least, n = max(by_level, default=0) + 1, 0
@@ -140,42 +142,139 @@ def lines(docs: DataFrame, order: Order, percent: int, least: int) -> DataFrame:
     return arrow(docs, run, LINES)
 
 
+def placed(batch, percent: int) -> tuple[np.ndarray, ...]:
+    """Of a batch of classes: the words of all prefixes, the line of each and its place in it, each line's number of them, and each
+    word's line's misses()."""
+    column = batch.column(4)
+    size = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+    flat = column.flatten().to_numpy()
+    row = np.repeat(np.arange(len(size)), size)
+    pos = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+    return flat, row, pos, size, *(m[row] for m in misses(batch.column(2).to_numpy().astype(np.int64), percent))
+
+
+def single_pairs(classes: DataFrame, shared, percent: int) -> DataFrame:
+    """(xd, xl, yd, yl) of lines that share the list of a rare word, as candidate_pairs() has them, maybe more than once. A line
+    stands in the list of each rare word that a shorter or equal line may lack; only those that a longer or equal one may lack,
+    which come first, make it a pair's shorter line."""
+
+    def dealt(held):
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        return bucketed(columns[0], *columns)
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            flat, row, pos, _, shorter, longer = placed(batch, percent)
+            at = np.flatnonzero((flat & 1 == 0) & (pos <= longer))
+            at = at[is_wanted(shared.value, flat[at])]
+            d, line, size, sign = (batch.column(i).to_numpy()[row[at]] for i in range(4))
+            # The place in the line, and in the last bit whether it may be the shorter one.
+            held.append((flat[at], d, line, sign, size.astype(np.int32), ((pos[at] + 1) * 2 + (pos[at] <= shorter[at])).astype(np.uint32)))
+            n += len(at)
+            if n > HELD:
+                yield dealt(held)
+                held, n = [], 0
+        if n:
+            yield dealt(held)
+
+    def compare(table):
+        key, d, line, sign, n, place = unpacked(table, *[np.int64] * 3, np.uint64, np.int32, np.uint32)
+        order = np.lexsort((line, d, n, key))
+        key, d, line, sign, n, place = (x[order] for x in (key, d, line, sign, n, place))
+        n, pos = n.astype(np.int64), (place >> 1).astype(np.int64)
+        # A list's lines stand by length, then by id: a line's partners are those behind it that are not too long.
+        both = (np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) << 32) | n
+        most = np.searchsorted(both, both - n + np.minimum(100 * n // percent, (1 << 32) - 1), side="right")
+        count = np.where(place & 1 == 1, most - np.arange(len(key)) - 1, 0)
+        ends, found, i = np.cumsum(count), [], 0
+        while i < len(key):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + AT_ONCE, side="right")))
+            x = np.repeat(np.arange(i, j), count[i:j])
+            y = x + 1 + np.arange(len(x)) - np.repeat(ends[i:j] - count[i:j] - (ends[i - 1] if i else 0), count[i:j])
+            total = n[x] + n[y]
+            need = -(-percent * total // (100 + percent))
+            ok = (np.minimum(n[x] - pos[x], n[y] - pos[y]) + 1 >= need) & (np.bitwise_count(sign[x] ^ sign[y]) <= total - 2 * need)
+            found.append((x[ok], y[ok]))
+            i = j
+        x, y = (np.concatenate(f) for f in zip(*found, strict=True))
+        return pa.table({"xd": d[x], "xl": line[x], "yd": d[y], "yl": line[y]})
+
+    rows = arrow(classes.select("d", "l", "n", "sig", "prefix"), run, "bucket int, " + ", ".join(f"c{i} binary" for i in range(6)))
+    return rows.groupBy("bucket").applyInArrow(compare, "xd long, xl long, yd long, yl long")
+
+
+def doubles(batch, percent: int) -> tuple[np.ndarray, ...]:
+    """(line, k1, k2, probe, place) of the lists of two words that a batch's lines stand in, as one that a longer or equal line may match,
+    and (probe) as one that may match a shorter or equal one: for each frequent word that the other may lack, those of the
+    word and each later one up to one more. Matching lines share the list of their first common word, if that is rare
+    (single_pairs), else of their first two."""
+    flat, row, pos, size, *lacking = placed(batch, percent)
+    at, k2, probe = [], [], []
+    for asks, lacks in enumerate(lacking):
+        wide = np.flatnonzero((flat & 1 == 1) & (pos <= lacks))
+        after = np.minimum(size[row[wide]], lacks[wide] + 2) - 1 - pos[wide]
+        left = np.repeat(wide, after)
+        right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+        at.append(left)
+        k2.append(flat[right])
+        probe.append(np.full(len(left), bool(asks)))
+    at = np.concatenate(at)
+    return row[at], flat[at], np.concatenate(k2), np.concatenate(probe), pos[at]
+
+
+def shared_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """(k1, k2, n) of the lists of two words that may hold a pair: two lines at least, one of them as the shorter. A line that stands
+    in a list as the shorter one does so as the longer one too (the latter may lack more), so the probes are the list's lines.
+    Postings are counted in each task, and only the counts are shuffled."""
+
+    def counted(held):
+        k1, k2, n, lines_ = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((k2, k1))
+        k1, k2 = k1[order], k2[order]
+        first = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
+        return k1[first], k2[first], np.add.reduceat(n[order], first), np.add.reduceat(lines_[order], first)
+
+    def dealt(k1, k2, *counts):
+        return bucketed((mix(k1.view(U64)) ^ k2.view(U64)).view(np.int64), k1, k2, *counts)
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            _, k1, k2, probe, _ = doubles(batch, percent)
+            if len(k1):
+                held.append((k1, k2, np.ones(len(k1), np.int64), probe.astype(np.int64)))
+                n += len(k1)
+            if n > HELD:
+                held = [counted(held)]
+                n = len(held[0][0])
+                if n > HELD // 2:
+                    yield dealt(*held[0])
+                    held, n = [], 0
+        if n:
+            yield dealt(*counted(held))
+
+    def summed(table):
+        k1, k2, n, lines_ = counted([unpacked(table, *[np.int64] * 4)])
+        keep = (lines_ > 1) & (n > lines_)
+        return pa.table({"k1": k1[keep], "k2": k2[keep], "n": n[keep]})
+
+    rows = arrow(classes.select("d", "l", "n", "sig", "prefix"), run, "bucket int, " + ", ".join(f"c{i} binary" for i in range(4)))
+    return rows.groupBy("bucket").applyInArrow(summed, "k1 long, k2 long, n long")
+
+
 POSTS = "k1 long, k2 long, probe boolean, pos int, d long, l long, n int, sig long"
 
 
-def postings(classes: DataFrame, shared, percent: int) -> DataFrame:
-    """The lists that a line stands in, as one that a longer or equal line may match, and (probe) as one that may match
-    a shorter or equal one: for each word that the other may lack and the next, the word's own list (k2 is 0) if it is rare,
-    else those of the word and each later one up to one more. Matching lines share the list of their first common word, or, if
-    that is frequent, of their first two."""
+def postings(classes: DataFrame, wanted, percent: int) -> DataFrame:
+    """A row for each line in each of the wanted lists of two words, and maybe of others, see doubles()."""
 
     def run(batches):
         for batch in batches:
-            column = batch.column(4)
-            size = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
-            flat = column.flatten().to_numpy()
-            if not len(flat):
-                continue
-            n = batch.column(2).to_numpy().astype(np.int64)
-            row = np.repeat(np.arange(len(size)), size)
-            pos = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-            often = (flat & 1).astype(bool)
-            single = ~often & is_wanted(shared.value, flat & ~1)
-            at, k1, k2, probe = [], [], [], []
-            for asks, lacks in enumerate(misses(n, percent)):
-                lacks = lacks[row]
-                one = np.flatnonzero(single & (pos <= lacks))
-                wide = np.flatnonzero(often & (pos <= lacks))
-                after = np.minimum(size[row[wide]], lacks[wide] + 2) - 1 - pos[wide]
-                left = np.repeat(wide, after)
-                right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
-                at += [one, left]
-                k1 += [flat[one], flat[left]]
-                k2 += [np.zeros(len(one), np.int64), flat[right]]
-                probe.append(np.full(len(one) + len(left), bool(asks)))
-            at = np.concatenate(at)
-            take = pa.array(row[at])
-            made = [pa.array(np.concatenate(k1)), pa.array(np.concatenate(k2)), pa.array(np.concatenate(probe)), pa.array(pos[at] + 1, pa.int32()), *(batch.column(i).take(take) for i in range(4))]
+            row, k1, k2, probe, pos = doubles(batch, percent)
+            keep = np.flatnonzero(is_wanted(wanted.value, k1, k2))
+            take = pa.array(row[keep])
+            made = [pa.array(k1[keep]), pa.array(k2[keep]), pa.array(probe[keep]), pa.array(pos[keep] + 1, pa.int32()), *(batch.column(i).take(take) for i in range(4))]
             out = pa.RecordBatch.from_arrays(made, [f.split()[0] for f in POSTS.split(", ")])
             for i in range(0, out.num_rows, 65_536):
                 yield out.slice(i, 65_536)
@@ -183,13 +282,6 @@ def postings(classes: DataFrame, shared, percent: int) -> DataFrame:
     return arrow(classes.select("d", "l", "n", "sig", "prefix"), run, POSTS)
 
 
-def shared_lists(posts: DataFrame) -> DataFrame:
-    """(k1, k2, n) of the lists that may hold a pair: two lines at least, one of them as the shorter. A line that stands in a list as
-    the shorter one does so as the longer one too (the latter may lack more), so the probes are the list's lines."""
-    found = posts.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.sum(F.col("probe").cast("long")).alias("lines"))
-    return found.where("lines > 1 AND n > lines").select("k1", "k2", "n")
-
-
 def in_lists(posts: DataFrame, wanted) -> DataFrame:
     """The postings of the wanted lists, and maybe of others, without a shuffle."""
 
@@ -336,18 +428,17 @@ def links_of(classes: DataFrame, docs: DataFrame, order: Order, shared, percent:
     few of. Long lists of two words are compared in blocks, as a family of thousands of variants of a line would give the
     square of that in pairs. Whether a list is long is counted exactly, and no pair depends on it.
     """
-    posts = scratch.keep(postings(classes, shared, percent))
-    double = posts.where("k2 <> 0")
-    lists = scratch.keep(shared_lists(double))
+    lists = scratch.keep(shared_lists(classes, percent))
+    double = scratch.keep(postings(classes, wanted_rows(lists.select("k1", "k2")), percent))
     blocked = scratch.keep(lists.where(F.col("n") > LONG).select("k1", "k2", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks")))
     short = in_lists(double, wanted_rows(lists.where(F.col("n") <= LONG).select("k1", "k2"))).join(blocked, ["k1", "k2"], "left_anti")
-    pairs = scratch.keep(candidate_pairs(posts.where("k2 = 0"), percent).union(candidate_pairs(short, percent)).distinct())
+    pairs = scratch.keep(single_pairs(classes, shared, percent).union(candidate_pairs(short, percent)).distinct())
     dense = double.join(blocked, ["k1", "k2"], "left_semi").select("d", "l")
     wanted = pairs.select(F.col("xd").alias("d"), F.col("xl").alias("l")).union(pairs.select("yd", "yl")).union(dense)
     words_ = scratch.keep(fetched(wanted, docs, order))
     near = scratch.keep(within(pairs, words_, percent))
     found = scratch.keep(pair_links(near, words_, blocked, percent).union(block_links(double, blocked, words_, percent)).groupBy("d", "l").agg(F.sum("links").alias("links"), F.max("later").alias("later")))
-    scratch.drop(posts, lists, blocked, pairs, near, words_)
+    scratch.drop(double, lists, blocked, pairs, near, words_)
     return found
 
 

@@ -1,8 +1,12 @@
+import collections
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline as pipeline
-from quillweave.llm import linededup, neardup, registry
+from quillweave.llm import common, linededup, neardup, registry
 
 SPACE = re.compile("[\x20\x09-\x0d]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -145,6 +149,56 @@ def test_lists_of_one_line_pass_nothing(spark, monkeypatch):
     assert seen and {r.d for r in seen} <= {100, 101, 102}
 
 
+def test_rare_words_lists_are_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = []
+    for d in range(90):
+        w = [f"{d % 3}x{i}" for i in range(rng.randrange(28, 33))]
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"r{rng.randrange(40)}"
+        rows.append((d - 40, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for held, at_once in ((linededup.HELD, linededup.AT_ONCE), (50, 7)):
+        monkeypatch.setattr(linededup, "HELD", held)
+        monkeypatch.setattr(linededup, "AT_ONCE", at_once)
+        got = {r.doc_id: (r.removed, r.n_links) for r in linededup.match_lines(docs).collect()}
+        assert got == matches(rows) and sum(n for _, n in got.values()) > 100
+
+
+def test_numbers_come_back_from_their_buckets(spark):
+    rng = np.random.default_rng(4)
+    key, place = rng.integers(-40, 40, 5000) * (1 << 57), np.arange(5000, dtype=np.uint32)
+    batch = common.bucketed(key, key, place)
+    assert batch.num_rows <= 80
+    found = [common.unpacked(pa.Table.from_batches([batch.slice(i, 1)]), np.int64, np.uint32) for i in range(batch.num_rows)]
+    assert len({k for ks, _ in found for k in set(ks.tolist())}) == sum(len(set(ks.tolist())) for ks, _ in found)
+    assert sorted(p for _, ps in found for p in ps.tolist()) == place.tolist() and all((key[ps] == ks).all() for ks, ps in found)
+    texts = [" ".join(f"w{min(rng.integers(200), rng.integers(200))}" for _ in range(50)) for _ in range(40)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = sorted(r.c for r in common.key_counts(docs, linededup.hashed, least=20).collect())
+    assert got == sorted(n for n in collections.Counter(w for t in texts for w in words(t)).values() if n >= 20) and got
+
+
+def test_only_lists_of_two_lines_make_rows(spark, monkeypatch):
+    pairs = [(i, " ".join(f"u{i // 2}x{j}" for j in range(30)) + (" more" if i % 2 else "")) for i in range(40)]
+    grid = [[f"w{i}x{j}" for j in range(12)] for i in range(12)]
+    crossed = [(100 + i, " ".join(w)) for i, w in enumerate([*grid, *zip(*grid, strict=True)])]
+    alike = [(200 + i, " ".join([f"own{i}", *(f"v{j}" for j in range(19))])) for i in range(3)]
+    real, seen = linededup.postings, []
+
+    def postings(classes, *more):
+        found = real(classes, *more)
+        seen.extend(found.select("d").collect())
+        return found
+
+    monkeypatch.setattr(linededup, "postings", postings)
+    for rare, rows, want in ((128, pairs + crossed + alike, set()), (1, crossed + alike, {200, 201, 202})):
+        monkeypatch.setattr(linededup, "RARE", rare)
+        seen.clear()
+        got = {r.doc_id: (r.removed, r.n_links) for r in linededup.match_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == matches(rows) and got[201] == ([0], 2) and {r.d for r in seen} == want
+
+
 def test_lines_of_nothing(spark):
     assert linededup.match_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = linededup.match_lines(spark.createDataFrame([(1, "\n".join("a b c d e" for _ in range(3000)))], "doc_id long, text string")).first()
