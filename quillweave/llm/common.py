@@ -281,7 +281,7 @@ def key_counts(docs: DataFrame, keys: Callable, text_at: int = 0, least: int = 1
 
     def run(batches):
         found, counts, held = [], [], 0
-        for part in pieces(batches, 1 << 20):
+        for part in pieces(batches, 1 << 18):
             k, c = np.unique(keys(*text_column(part.column(text_at))), return_counts=True)
             found.append(k)
             counts.append(c)

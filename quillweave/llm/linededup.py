@@ -477,9 +477,10 @@ def match_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order, shared = word_order(known, scratch)
     every = scratch.keep(lines(known, order, percent, least))
     own = every.where("line_no >= 0")
-    classes = scratch.keep(own.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")).select("n", "d1", "d2", F.col("f.doc_id").alias("d"), F.col("f.line_no").alias("l"), "sig", "prefix"))
+    classes = scratch.keep(own.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"), F.count("*").alias("lines")).select("n", "d1", "d2", F.col("f.doc_id").alias("d"), F.col("f.line_no").alias("l"), "sig", "prefix", "lines"))
     per_line = links_of(classes.where(F.size("prefix") > 0), known, order, shared, percent, scratch)
-    decided = classes.select("n", "d1", "d2", "d", "l").join(per_line, ["d", "l"], "left").select("n", "d1", "d2", "d", "l", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("later", F.lit(0)).alias("later"))
+    # A line alone in its class, without links, says nothing that its document's own row doesn't.
+    decided = classes.select("n", "d1", "d2", "d", "l", "lines").join(per_line, ["d", "l"], "left").where("lines > 1 OR links > 0").select("n", "d1", "d2", "d", "l", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("later", F.lit(0)).alias("later"))
     flagged = own.select("doc_id", "line_no", "n", "d1", "d2").join(decided, ["n", "d1", "d2"])
     gone = (F.col("later") == 1) | (F.col("doc_id") != F.col("d")) | (F.col("line_no") != F.col("l"))
     base = F.shiftright("line_no", 40)
