@@ -251,17 +251,21 @@ def words(raw: np.ndarray, offsets: np.ndarray, of: np.ndarray = NOT_WHITE) -> t
 HELD, BUCKETS = 1_000_000, 1024
 
 
-def bucketed(key: np.ndarray, *columns: np.ndarray):
+def bucketed(key: np.ndarray, *columns: np.ndarray, lists: tuple[np.ndarray, np.ndarray] | None = None):
     """One Arrow row for each bucket of the int64 keys that occurs: its number, and the bytes of each column. Numbers by the million
-    so pass a shuffle as a few rows; unpacked() reads them in a group's function."""
+    so pass a shuffle as a few rows; unpacked() reads them in a group's function. lists: the lengths of a column of lists, and the numbers
+    in them, which come last."""
     import pyarrow as pa
 
     bucket = (mix(key.view(U64)) >> U64(54)).astype(np.uint16)
     order = np.argsort(bucket, kind="stable")
     count = np.bincount(bucket, minlength=BUCKETS)
     used = np.flatnonzero(count)
-    ends = np.concatenate([[0], np.cumsum(count[used])])
-    packed = [pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer((ends * c.itemsize).astype(np.int32)), pa.py_buffer(c.take(order))]) for c in columns]
+    binary = lambda n, c: pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer((np.concatenate([[0], np.cumsum(n)]) * c.itemsize).astype(np.int32)), pa.py_buffer(c)])
+    packed = [binary(count[used], c.take(order)) for c in columns]
+    if lists is not None:
+        of = np.repeat(bucket, lists[0])
+        packed.append(binary(np.bincount(of, minlength=BUCKETS)[used], lists[1].take(np.argsort(of, kind="stable"))))
     return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *packed], ["bucket", *(f"c{i}" for i in range(len(packed)))])
 
 

@@ -142,6 +142,54 @@ def lines(docs: DataFrame, order: Order, percent: int, least: int) -> DataFrame:
     return arrow(docs, run, LINES)
 
 
+CLASSES = "n int, d1 long, d2 long, d long, l long, sig long, lines long, prefix array<long>"
+
+
+def classes_of(own: DataFrame) -> DataFrame:
+    """A row for each different set of words: its digests, its first line (d, l), and how many lines have it. Lines are reduced to
+    classes in each task before they are shuffled."""
+    kinds = (np.int32, np.int64, np.int64, np.int64, np.int64, np.int64, np.int64, np.int32, np.int64)
+
+    def reduced(n, d1, d2, d, line, sign, lines_, size, words_):
+        order = np.lexsort((line, d, d2, d1, n))
+        same = np.zeros(len(order), dtype=bool)
+        same[1:] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (n, d1, d2)])
+        first = np.flatnonzero(~same)
+        f = order[first]
+        start = (np.cumsum(size, dtype=np.int64) - size)[f]
+        own_size = size[f].astype(np.int64)
+        at = np.repeat(start - np.cumsum(own_size) + own_size, own_size) + np.arange(own_size.sum())
+        return *(x[f] for x in (n, d1, d2, d, line, sign)), np.add.reduceat(lines_[order], first), size[f], words_[at]
+
+    def dealt(held):
+        *columns, words_ = reduced(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        return bucketed(columns[1], *columns, lists=(columns[-1], words_))
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(6)
+            size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
+            d, line, count, d1, d2, sign = (batch.column(i).to_numpy() for i in range(6))
+            held.append((count, d1, d2, d, line, sign, np.ones(len(d), np.int64), size, column.flatten().to_numpy()))
+            n += len(d)
+            if n > HELD // 5:
+                yield dealt(held)
+                held, n = [], 0
+        if n:
+            yield dealt(held)
+
+    def summed(table):
+        *columns, size, words_ = reduced(*unpacked(table, *kinds))
+        prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(words_))
+        return pa.Table.from_arrays([*map(pa.array, columns), prefix], [f.split()[0] for f in CLASSES.split(", ")])
+
+    rows = arrow(own.select("doc_id", "line_no", "n", "d1", "d2", "sig", "prefix"), run, "bucket int, " + ", ".join(f"c{i} binary" for i in range(len(kinds))))
+    return rows.groupBy("bucket").applyInArrow(summed, CLASSES)
+
+
 def placed(batch, percent: int) -> tuple[np.ndarray, ...]:
     """Of a batch of classes: the words of all prefixes, the line of each and its place in it, each line's number of them, and each
     word's line's misses()."""
@@ -477,7 +525,7 @@ def match_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order, shared = word_order(known, scratch)
     every = scratch.keep(lines(known, order, percent, least))
     own = every.where("line_no >= 0")
-    classes = scratch.keep(own.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"), F.count("*").alias("lines")).select("n", "d1", "d2", F.col("f.doc_id").alias("d"), F.col("f.line_no").alias("l"), "sig", "prefix", "lines"))
+    classes = scratch.keep(classes_of(own))
     per_line = links_of(classes.where(F.size("prefix") > 0), known, order, shared, percent, scratch)
     # A line alone in its class, without links, says nothing that its document's own row doesn't.
     decided = classes.select("n", "d1", "d2", "d", "l", "lines").join(per_line, ["d", "l"], "left").where("lines > 1 OR links > 0").select("n", "d1", "d2", "d", "l", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("later", F.lit(0)).alias("later"))
