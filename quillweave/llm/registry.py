@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quillweave.llm import ann, bpe, common, langid, linededup, lm, neardup, packing, secrets, topk, toxicity
+from quillweave.llm import ann, bpe, collocations, common, conversations, langid, linededup, lm, neardup, packing, quality, secrets, topk, toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -62,7 +62,26 @@ def op10_packing(spark, sf_dir):
     return packing.pack(common.read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(common.read(spark, sf_dir, "documents", "lang", "text"))
+
+
+def op12_quality(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = common.read(spark, sf_dir, "labels", "doc_id", "quality").where(common.fold("doc_id", 5) != 0)
+    model = quality.fit(docs.withColumnRenamed("doc_id", "id"), labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")))
+    found = quality.score(docs, model)
+    return found.select(F.col("id").alias("doc_id"), (common.fold("id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_passages")
+
+
+def op13_conversations(spark, sf_dir):
+    rows = common.read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return conversations.repair(conversations.damage(rows), rows)
+
+
 SQL = {
+    "op11_collocations": collocations.oracle(),
+    "op13_conversations": conversations.oracle(),
     "op4_secrets": secrets.oracle(),
     "op1_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
@@ -76,4 +95,4 @@ SQL = {
         WHERE rank <= 5""",
 }
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_neardup, op3_toxicity, op4_secrets, op5_langid, op6_ann, op7_bpe, op8_lm, op9_linededup, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_neardup, op3_toxicity, op4_secrets, op5_langid, op6_ann, op7_bpe, op8_lm, op9_linededup, op10_packing, op11_collocations, op12_quality, op13_conversations)}
