@@ -6,10 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def in_unit_range(confidence: Column) -> Column:
+    """The confidence; out of [0, 1] is an error."""
+    return F.when(confidence.between(0.0, 1.0) | confidence.isNull(), confidence).otherwise(F.raise_error(F.concat(F.lit("confidence out of range: "), confidence.cast("string"))).cast("double"))
+
+
 def noisy_or(confidence: Column) -> Column:
     """Chance that at least one of independent observations is right; 0.0 for none; out of [0, 1] is an error."""
-    checked = F.when(confidence.between(0.0, 1.0) | confidence.isNull(), confidence).otherwise(F.raise_error(F.concat(F.lit("confidence out of range: "), confidence.cast("string"))).cast("double"))
-    return F.coalesce(1.0 - F.product(1.0 - checked), F.lit(0.0))
+    return F.coalesce(1.0 - F.product(1.0 - in_unit_range(confidence)), F.lit(0.0))
 
 
 def slope(y: Column, x: Column) -> Column:

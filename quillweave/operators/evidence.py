@@ -38,7 +38,7 @@ def edge_years(evidence: DataFrame) -> DataFrame:
     return evidence.where(F.col("year").isNotNull()).groupBy(*EDGE, "year").agg(F.count("*").alias("n_docs"), F.avg("confidence").alias("mean_confidence"))
 
 
-def _dated_mentions(mentions: DataFrame, documents: DataFrame) -> DataFrame:
+def dated_mentions(mentions: DataFrame, documents: DataFrame) -> DataFrame:
     """(entity, document, year) with the number of mentions: summed per document before anything is counted distinct, so
     a hub entity's rows shrink in every task. The join's partitioning by document serves it."""
     return mentions.select("pmid", "entity_id").join(documents.select("pmid", "year"), "pmid").groupBy("pmid", "entity_id").agg(F.count("*").alias("n"), F.min("year").alias("year"))
@@ -46,12 +46,12 @@ def _dated_mentions(mentions: DataFrame, documents: DataFrame) -> DataFrame:
 
 def entity_stats(mentions: DataFrame, documents: DataFrame) -> DataFrame:
     """Documents, mentions, first and last year of each entity. Documents without a year count."""
-    return _dated_mentions(mentions, documents).groupBy("entity_id").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_mentions"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    return dated_mentions(mentions, documents).groupBy("entity_id").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_mentions"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
 
 
 def entity_years(mentions: DataFrame, documents: DataFrame) -> DataFrame:
     """Documents that mention an entity in a year."""
-    return _dated_mentions(mentions, documents).where(F.col("year").isNotNull()).groupBy("entity_id", "year").agg(F.count("*").alias("n_docs"))
+    return dated_mentions(mentions, documents).where(F.col("year").isNotNull()).groupBy("entity_id", "year").agg(F.count("*").alias("n_docs"))
 
 
 def year_docs(documents: DataFrame) -> DataFrame:

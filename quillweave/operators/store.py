@@ -1,14 +1,15 @@
-"""Table updates: upsert, replacement by document, first name wins, and a store of Parquet tables."""
+"""Table updates: upsert, replacement by document, first name wins, and a store of tables that commits or rolls back."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillweave import schemas as S
-from quillweave.operators import evidence
+from quillweave.operators import maintenance
+from quillweave.operators.snapshots import Conflict, Snapshot, SnapshotLog, Transaction
 
 #: What an upsert leaves as it is in a document that is there already.
 STICKY = ("query_label", "nlp_scope", "extracted")
@@ -16,8 +17,12 @@ STICKY = ("query_label", "nlp_scope", "extracted")
 
 def upsert_documents(stored: DataFrame, arriving: DataFrame) -> DataFrame:
     """The stored documents with the arriving ones: text and metadata of a known pmid are replaced, the label of its first
-    search and the state of its extraction stay. A new document is not extracted yet. One full outer join on pmid."""
-    old, new = stored.alias("old"), arriving.dropDuplicates(["pmid"]).alias("new")
+    search and the state of its extraction stay. A new document is not extracted yet. Of several arriving rows of one pmid the
+    largest counts, column by column; rows without pmid are left out. One full outer join on pmid."""
+    arriving = arriving.where(F.col("pmid").isNotNull())
+    rest = [c for c in arriving.columns if c != "pmid"]
+    last = arriving.groupBy("pmid").agg(F.max(F.struct(*rest)).alias("row")).select("pmid", "row.*") if rest else arriving.distinct()
+    old, new = stored.alias("old"), last.alias("new")
     known = F.col("old.pmid").isNotNull()
 
     def column(c: str):
@@ -49,44 +54,58 @@ def first_entities(stored: DataFrame, fresh: DataFrame, order: list[str]) -> Dat
 
 
 class Store:
-    """Tables as Parquet in one folder. A save writes beside the table, then moves into place by one rename, so a reader
-    sees the old table or the new one, and an error leaves the old one."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self.jvm, self.conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-
-    def _path(self, name: str):
-        path = self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path, path.getFileSystem(self.conf)
+    """Tables under one root, in a log of snapshots (operators.snapshots): every call that changes something commits all of it or
+    nothing, whenever it stops, and a reader sees one version. Calls that work from what is stored are worked out again if another writer
+    changed that first.
+
+    Tables with keys are dealt into `buckets` when they are first made; choose it so that a bucket has a few hundred MB. An update rewrites the
+    buckets that its rows fall into.
+    """
+
+    KEYS = {"documents": ["pmid"], "mentions": ["pmid"], "relations": ["pmid"], "entities": ["entity_id"], **maintenance.KEYS}
+    ATTEMPTS = 5
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, step: Callable[[str], None] = lambda name: None):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.log = SnapshotLog(spark, root, step)
+
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        return self.log.snapshot(version)
+
+    def transact(self, work: Callable[[Transaction], object], attempts: int = ATTEMPTS):
+        """Run work on a transaction and commit it; what work returned. After a conflict, it is run again on the newest version. An
+        error leaves the store as it was."""
+        for attempt in range(attempts):
+            tx = Transaction(self.log, self.KEYS, self.buckets)
+            try:
+                out = work(tx)
+                if tx.changes or tx.meta:
+                    tx.commit()
+            except BaseException as error:
+                tx.discard()
+                if isinstance(error, Conflict) and attempt + 1 < attempts:
+                    continue
+                raise
+            tx.discard(staged_only=True)
+            return out
 
     def exists(self, name: str) -> bool:
-        path, fs = self._path(name)
-        return fs.exists(path)
+        return self.snapshot().entry(name) is not None
 
     def table(self, name: str, schema: str | None = None) -> DataFrame:
-        if schema is not None and not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return self.snapshot().table(name, schema)
 
     def save(self, **tables: DataFrame) -> None:
-        """Replace tables: all are written before the first is moved."""
-        staging = f"_staging/{uuid.uuid4().hex}"
-        try:
+        """Replace tables. If another writer changes one of them meanwhile, that is a Conflict."""
+
+        def work(tx: Transaction) -> None:
             for name, df in tables.items():
-                df.write.parquet(f"{self.root}/{staging}/{name}")
-            for name in tables:
-                (new, fs), (place, _) = self._path(f"{staging}/{name}"), self._path(name)
-                if fs.exists(place):
-                    old, _ = self._path(f"{staging}/{name}.old")
-                    fs.rename(place, old)
-                fs.rename(new, place)
-        finally:
-            path, fs = self._path("_staging")
-            fs.delete(path, True)
+                tx.write(name, df)
+
+        self.transact(work, attempts=1)
 
     def append(self, name: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(f"{self.root}/{name}")
+        self.transact(lambda tx: tx.append(name, df))
 
     def documents(self, only_unextracted: bool = False, limit: int | None = None) -> DataFrame:
         """Documents in the order of pmid as text, without their other abstracts."""
@@ -100,33 +119,74 @@ class Store:
         return self.table(name).count()
 
     def upsert(self, arriving: DataFrame) -> None:
-        self.save(documents=upsert_documents(self.table("documents", S.DOCUMENTS), arriving))
+        def work(tx: Transaction) -> None:
+            rows = tx.stage(arriving)
+            touched = tx.touched("documents", rows)
+            tx.rewrite("documents", upsert_documents(tx.read("documents", S.DOCUMENTS, touched), rows), touched)
+            tx.append("changes", rows.select("pmid").distinct())
+
+        self.transact(work)
 
     def save_extraction(self, scopes: DataFrame, mentions: DataFrame, relations: DataFrame, entities: DataFrame) -> None:
         """Replace what was extracted from the documents of scopes (pmid, nlp_scope) and mark them as extracted; entities
-        have an `ordinal` for the order in which they were seen. Saving twice gives the same tables."""
-        docs = self.table("documents", S.DOCUMENTS).alias("d").join(scopes.withColumnRenamed("nlp_scope", "_scope").alias("s"), "pmid", "left")
-        docs = docs.withColumns({"nlp_scope": F.coalesce("_scope", "nlp_scope"), "extracted": F.coalesce("extracted", F.lit(False)) | F.col("_scope").isNotNull()}).select(*self.table("documents", S.DOCUMENTS).columns)
-        self.save(
-            documents=docs,
-            mentions=replace_by_document(self.table("mentions", S.MENTIONS), mentions, scopes),
-            relations=replace_by_document(self.table("relations", S.RELATIONS), relations, scopes),
-            entities=first_entities(self.table("entities", S.ENTITIES), entities, ["ordinal"]),
-        )
+        have an `ordinal` for the order in which they were seen. Saving twice gives the same tables. Each input is worked out once."""
+
+        def work(tx: Transaction) -> None:
+            done, fresh = tx.stage(scopes.select("pmid", F.col("nlp_scope").alias("_scope"))), {"mentions": tx.stage(mentions), "relations": tx.stage(relations)}
+            seen = tx.stage(entities)
+            touched = tx.touched("documents", done)
+            docs = tx.read("documents", S.DOCUMENTS, touched)
+            marked = docs.join(done, "pmid", "left").withColumns({"nlp_scope": F.coalesce("_scope", "nlp_scope"), "extracted": F.coalesce("extracted", F.lit(False)) | F.col("_scope").isNotNull()})
+            tx.rewrite("documents", marked.select(*docs.columns), touched)
+            for name, schema in (("mentions", S.MENTIONS), ("relations", S.RELATIONS)):
+                touched = tx.touched(name, done, fresh[name])
+                tx.rewrite(name, replace_by_document(tx.read(name, schema, touched), fresh[name], done), touched)
+            touched = tx.touched("entities", seen)
+            tx.rewrite("entities", first_entities(tx.read("entities", S.ENTITIES, touched), seen, ["ordinal"]), touched)
+            tx.append("changes", done.select("pmid").distinct())
+
+        self.transact(work)
 
     def build_graph(self, min_confidence: float = S.MIN_CONFIDENCE) -> dict[str, int]:
-        """Rebuild the derived tables, all or none; their sizes."""
-        base = {n: self.table(n, s) for n, s in (("documents", S.DOCUMENTS), ("relations", S.RELATIONS), ("mentions", S.MENTIONS))}
-        derived = evidence.graph_tables(base["relations"], base["documents"], base["mentions"], min_confidence)
-        meta = self.spark.createDataFrame([("graph_min_confidence", str(min_confidence))], "key string, value string")
-        self.save(**derived, meta=meta)
+        """Make the derived tables from all rows; their sizes."""
+
+        def work(tx: Transaction) -> None:
+            maintenance.build(tx, min_confidence)
+            tx.forget("changes")
+            tx.meta |= {"graph_min_confidence": str(min_confidence), "graph_version": str(tx.base.version)}
+
+        self.transact(work)
         return {n: self.count(n) for n in S.GRAPH_TABLES}
 
+    def refresh_graph(self) -> dict[str, int]:
+        """Bring the derived tables up to date with the documents changed since they were made; how many buckets of each were rewritten. Where
+        there is no graph yet, or a vacuum took the version it was made of, all is built (and nothing is returned)."""
+
+        def work(tx: Transaction) -> dict[str, int]:
+            least = float(tx.base.meta.get("graph_min_confidence", S.MIN_CONFIDENCE))
+            since = int(tx.base.meta.get("graph_version", 0))
+            sizes: dict[str, int] = {}
+            if since not in self.log.versions():
+                maintenance.build(tx, least)
+            else:
+                sizes = maintenance.refresh(tx, self.snapshot(since), tx.base.table("changes", "pmid string"), least)
+            tx.forget("changes")
+            tx.meta |= {"graph_min_confidence": str(least), "graph_version": str(tx.base.version)}
+            return sizes
+
+        return self.transact(work)
+
+    def vacuum(self, unused_seconds: float = 86_400) -> int:
+        """Remove old versions but the one the graph was made of, and the folders that nothing names any more."""
+        return self.log.vacuum([int(self.snapshot().meta.get("graph_version", 0))], unused_seconds)
+
     def meta(self, key: str) -> str | None:
-        row = self.table("meta", "key string, value string").where(F.col("key") == key).first()
-        return row["value"] if row else None
+        return self.snapshot().meta.get(key)
 
     def graph(self):
+        """The read queries over one version."""
         from quillweave.plans.graph import KnowledgeGraph
 
-        return KnowledgeGraph({n: self.table(n) for n in (*S.BASE_TABLES, *S.GRAPH_TABLES)})
+        snapshot = self.snapshot()
+        tables = {n: snapshot.table(n) for n in (*S.BASE_TABLES, *S.GRAPH_TABLES)}
+        return KnowledgeGraph({n: df.drop(*maintenance.STATE.get(n, ())) for n, df in tables.items()})
