@@ -3,6 +3,8 @@ overlapping matches exactly, shard by shard; thresholds and scores follow from t
 
 from __future__ import annotations
 
+import itertools
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,9 @@ LEAST, LONGEST, TOP, COVER = 30, 4, 2000, 80
 #: so 32 MB a level at most. Beyond that size more candidates pass that the exact counts then drop: more work, the same rows.
 BYTES_A_COUNTER, FEWEST, MOST = 16, 1 << 16, 1 << 28
 #: Bytes of text that one automaton is made for, and read in.
-SHARD = 4 << 20
+SHARD = 2 << 20
+#: Bytes of text that a task counts at least, if there are more such tasks than cores: partial sums of small tasks would repeat most phrases.
+TASK = 64 << 20
 #: A piece ends at any of these bytes; words are what blanks and tabs leave of it.
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -89,7 +93,7 @@ def _by_language(batches, work):
 def _sketch(docs: DataFrame, maps, width: int, least: int) -> np.ndarray:
     """A bit for each counter that phrases of one level more than there are maps bring to `least` or more: upper bounds, as phrases share counters. Counts are summed
     in each task, shuffled by ranges of counters, and added up row by row."""
-    span = max(1, width // BUCKETS)
+    span = max(8, width // BUCKETS)
 
     def run(batches):
         found, counts, held = [], [], 0
@@ -183,19 +187,24 @@ def _count(docs: DataFrame, maps, longest: int) -> DataFrame:
                 yield lang, n, phrase[1:-1], c
 
     def run(batches):
-        total: dict[tuple, int] = {}
+        total: dict[tuple[str, int], dict[str, int]] = {}
+        held = 0
 
         def rows():
-            for i in range(0, len(keys := list(total)), 1 << 16):
-                some = keys[i : i + (1 << 16)]
-                columns = [pa.array([k[0] for k in some]), pa.array([k[1] for k in some], pa.int32()), pa.array([k[2] for k in some]), pa.array([total[k] for k in some], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "c"])
-            total.clear()
+            while total:
+                (lang, n), counts = total.popitem()
+                for some in itertools.batched(counts.items(), 1 << 16):
+                    phrase, c = zip(*some, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c)), pa.array([n] * len(c), pa.int32()), pa.array(phrase), pa.array(c, pa.int64())], ["lang", "size", "phrase", "c"])
 
         for lang, n, phrase, c in _by_language(batches, work):
-            total[lang, n, phrase] = total.get((lang, n, phrase), 0) + c
-            if len(total) >= HELD // 2:
+            counts = total.setdefault((lang, n), {})
+            if phrase not in counts:
+                held += 1
+            counts[phrase] = counts.get(phrase, 0) + c
+            if held >= HELD:
                 yield from rows()
+                held = 0
         yield from rows()
 
     return arrow(docs, run, "lang string, size int, phrase string, c long").groupBy("lang", "size", "phrase").agg(F.sum("c").alias("c"))
@@ -229,7 +238,7 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
         maps = [*maps, _sketch(docs, known, width, least)]
         known.destroy()
         known = spark.sparkContext.broadcast(maps)
-    counts = scratch.keep(_count(docs, known, longest))
+    counts = scratch.keep(_count(docs.coalesce(max(spark.sparkContext.defaultParallelism, size // TASK)), known, longest))
     known.destroy()
     word = F.split("phrase", " ")
     found = counts.where((F.col("size") >= 2) & (F.col("c") >= least)).select("lang", "phrase", "size", F.col("c").alias("a"), word.alias("w"))

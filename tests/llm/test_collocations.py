@@ -14,7 +14,7 @@ def brute(rows, least, longest, top, cover=80):
     """Every phrase counted one by one, all arithmetic in whole numbers."""
     counts, total = collections.defaultdict(collections.Counter), collections.Counter()
     for text, lang in rows:
-        lang, low = lang or "und", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        lang, low = "und" if lang is None else lang, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
         for piece in re.split("[.,;:!?\n-\r]", low):
             w = re.findall("[^ \t]+", piece)
             total[lang] += len(w)
