@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillweave import catalog_text
+from quillweave import catalog_files, catalog_text
 from quillweave import schemas as S
 from quillweave.functions.stats import slope
 from quillweave.operators import evidence, store
@@ -166,5 +166,5 @@ SQL |= {
         FROM region CROSS JOIN (SELECT unnest(range(2005, 2009)) AS year) CROSS JOIN (SELECT unnest(['yearly', 'non_english']) AS kind)""",
     "first_label_wins": "SELECT CAST(l_partkey AS VARCHAR) AS pmid, 's' || min(l_suppkey) AS query_label FROM lineitem GROUP BY l_partkey",
 }
-QUERIES |= catalog_text.QUERIES
-SQL |= catalog_text.SQL
+QUERIES |= catalog_text.QUERIES | catalog_files.QUERIES
+SQL |= catalog_text.SQL | catalog_files.SQL

@@ -82,12 +82,6 @@ def contained(outer: DataFrame, inner: DataFrame) -> DataFrame:
     return s.join(e, within).select("s.pmid", "s.index", (F.col("e.start") - F.col("s.start")).alias("start"), (F.col("e.end") - F.col("s.start")).alias("end"), *rest)
 
 
-def tag_sentences(sentences: DataFrame, index: DataFrame) -> DataFrame:
-    """(pmid, index, token, type, entity_id): tokens of sentences that are keys of a vocabulary index by themselves."""
-    token = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}-]+"), F.lit(0))))
-    return sentences.select("pmid", "index", token.alias("token")).withColumn("key", normalize_key(F.col("token"))).join(index, "key").select("pmid", "index", "token", "type", "entity_id")
-
-
 def numbered(df: DataFrame, by: list[str], name: str = "ordinal") -> DataFrame:
     """Numbers from 0 within the whole table in an order; for small tables such as query plans."""
     return df.withColumn(name, (F.row_number().over(W.orderBy(*by)) - 1).cast("long"))

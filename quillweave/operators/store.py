@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,15 @@ def first_entities(stored: DataFrame, fresh: DataFrame, order: list[str]) -> Dat
     return every.groupBy("entity_id").agg(F.min("e").alias("e")).select("entity_id", "e.type", "e.name", "e.matched")
 
 
+class Extracted(Protocol):
+    """What plans.extract.Extraction holds."""
+
+    scopes: DataFrame
+    mentions: DataFrame
+    relations: DataFrame
+    entities: DataFrame
+
+
 class Store:
     """Tables under one root, in a log of snapshots (operators.snapshots): every call that changes something commits all of it or
     nothing, whenever it stops, and a reader sees one version. Calls that work from what is stored are worked out again if another writer
@@ -130,23 +140,32 @@ class Store:
     def save_extraction(self, scopes: DataFrame, mentions: DataFrame, relations: DataFrame, entities: DataFrame) -> None:
         """Replace what was extracted from the documents of scopes (pmid, nlp_scope) and mark them as extracted; entities
         have an `ordinal` for the order in which they were seen. Saving twice gives the same tables. Each input is worked out once."""
+        self.transact(lambda tx: self._replace_extraction(tx, scopes, mentions, relations, entities))
+
+    def extract(self, make: Callable[[Callable[[DataFrame], DataFrame]], Extracted]) -> None:
+        """Save what `make` extracts; it is given a function that works a table out once, beside the store's tables, for as long as
+        the transaction takes (plans.extract.extract's `keep`)."""
 
         def work(tx: Transaction) -> None:
-            done, fresh = tx.stage(scopes.select("pmid", F.col("nlp_scope").alias("_scope"))), {"mentions": tx.stage(mentions), "relations": tx.stage(relations)}
-            seen = tx.stage(entities)
-            touched = tx.touched("documents", done)
-            docs = tx.read("documents", S.DOCUMENTS, touched)
-            marked = docs.join(done, "pmid", "left").withColumns({"nlp_scope": F.coalesce("_scope", "nlp_scope"), "extracted": F.coalesce("extracted", F.lit(False)) | F.col("_scope").isNotNull()})
-            tx.rewrite("documents", marked.select(*docs.columns), touched)
-            for name, schema in (("mentions", S.MENTIONS), ("relations", S.RELATIONS)):
-                touched = tx.touched(name, done, fresh[name])
-                tx.rewrite(name, replace_by_document(tx.read(name, schema, touched), fresh[name], done), touched)
-            touched = tx.touched("entities", seen)
-            tx.rewrite("entities", first_entities(tx.read("entities", S.ENTITIES, touched), seen, ["ordinal"]), touched)
-            tx.append("changes", done.select("pmid").distinct())
+            found = make(tx.stage)
+            self._replace_extraction(tx, found.scopes, found.mentions, found.relations, found.entities)
 
         self.transact(work)
 
+    def _replace_extraction(self, tx: Transaction, scopes: DataFrame, mentions: DataFrame, relations: DataFrame, entities: DataFrame) -> None:
+        done, fresh = tx.stage(scopes.select("pmid", F.col("nlp_scope").alias("_scope"))), {"mentions": tx.stage(mentions), "relations": tx.stage(relations)}
+        seen = tx.stage(entities)
+        touched = tx.touched("documents", done)
+        docs = tx.read("documents", S.DOCUMENTS, touched)
+        marked = docs.join(done, "pmid", "left").withColumns({"nlp_scope": F.coalesce("_scope", "nlp_scope"), "extracted": F.coalesce("extracted", F.lit(False)) | F.col("_scope").isNotNull()})
+        tx.rewrite("documents", marked.select(*docs.columns), touched)
+        for name, schema in (("mentions", S.MENTIONS), ("relations", S.RELATIONS)):
+            touched = tx.touched(name, done, fresh[name])
+            tx.rewrite(name, replace_by_document(tx.read(name, schema, touched), fresh[name], done), touched)
+        touched = tx.touched("entities", seen)
+        tx.rewrite("entities", first_entities(tx.read("entities", S.ENTITIES, touched), seen, ["ordinal"]), touched)
+        tx.append("changes", done.select("pmid").distinct())
+
     def build_graph(self, min_confidence: float = S.MIN_CONFIDENCE) -> dict[str, int]:
         """Make the derived tables from all rows; their sizes."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -18,7 +19,8 @@ from quillweave.operators import linking
 
 
 class Tagger(Protocol):
-    """A Column function from a sentence to its spans (start, end, label, text); a model is an iterator pandas_udf."""
+    """A Column function from a sentence to its spans (start, end, label, text); a model is an iterator pandas_udf. One that needs a join
+    has a method `tag` instead, from sentences (pmid, index, text, ...) to those with `spans`."""
 
     def __call__(self, text: Column) -> Column: ...
 
@@ -49,6 +51,11 @@ def relation_confidence(probabilities: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - F.coalesce(F.try_element_at(probabilities, F.lit(S.NO_RELATION)), F.lit(0.0))))
 
 
+def tag(sentences: DataFrame, tagger: Tagger) -> DataFrame:
+    """Sentences (pmid, index, text, ...) with `spans`."""
+    return tagger.tag(sentences) if hasattr(tagger, "tag") else sentences.withColumn("spans", tagger(F.col("text")))
+
+
 @dataclass
 class Extraction:
     """Tables of one run: scopes (pmid, nlp_scope), mentions, relations, and entities with the order they were seen in."""
@@ -66,20 +73,21 @@ def sentences(documents: DataFrame) -> DataFrame:
     return scoped.select("pmid", F.explode(document_sentences(F.col("title"), abstract)).alias("s")).select("pmid", "s.*")
 
 
-def extract(documents: DataFrame, tagger: Tagger, classifier: Classifier, lexicon: DataFrame, corpus: DataFrame | None = None) -> Extraction:
+def extract(documents: DataFrame, tagger: Tagger, classifier: Classifier, lexicon: DataFrame, corpus: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Extraction:
     """documents (pmid, title, abstract), a vocabulary (schemas.LEXICON) and optionally corpus abbreviations (short, long).
 
-    Spans are tagged once per sentence. Linking shuffles distinct surfaces, not mentions. Pairs are formed inside a
-    sentence's array, so no self-join of mentions.
+    `keep` works a table out once and gives it back to be read again, as a store's transaction does: with it spans are tagged, mentions
+    linked and pairs classified once for all tables; without it each table works them out anew. Linking shuffles distinct surfaces,
+    not mentions. Pairs are formed inside a sentence's array, so no self-join of mentions.
     """
     scopes = documents.select("pmid", nlp_scope(F.col("title"), F.col("abstract")).alias("nlp_scope"))
-    tagged = sentences(documents).withColumn("spans", tagger(F.col("text")))
+    tagged = keep(tag(sentences(documents), tagger))
     text = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")))
     defined = linking.document_abbreviations(documents.select("pmid", text.alias("text")))
     flat = tagged.select("pmid", "index", F.col("start").alias("at"), "text", F.posexplode("spans").alias("k", "span"))
     flat = flat.select("pmid", "index", "at", "text", "k", F.col("span.start").alias("start"), F.col("span.end").alias("end"), F.col("span.label").alias("type"), F.col("span.text").alias("surface"))
     carry = ["pmid", "index", "at", "text", "k", "start", "end", "type", "surface"]
-    linked = linking.resolve_mentions(linking.with_long_form(flat, defined, corpus), lexicon, carry)
+    linked = keep(linking.resolve_mentions(linking.with_long_form(flat, defined, corpus), lexicon, carry))
     mentions = linked.select("pmid", F.col("index").alias("sentence_index"), (F.col("start") + F.col("at")).alias("start_char"), (F.col("end") + F.col("at")).alias("end_char"), "surface", "type", "entity_id")
     keyed = F.struct("start", "k", "end", F.col("type").alias("label"), F.col("entity_id").alias("key"))
     per_sentence = linked.groupBy("pmid", "index").agg(F.first("text").alias("text"), F.array_sort(F.collect_list(keyed)).alias("mentions"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import xml.parsers.expat
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,20 +116,50 @@ def records(xml_text: str) -> list[dict]:
 def parse(files: DataFrame) -> DataFrame:
     """Articles (schemas.ARTICLES) of files (value), one file a row; a broken file is an error. The XML source of the
     engine loses the order of mixed content, so the standard library parses, a file at a time, within the executors."""
+    return files.select("value").mapInArrow(lambda batches: _articles(batches, records), S.ARTICLES)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[dict] = []
-            for text in batch.column(0).to_pylist():
-                rows += records(text or "")
-                if len(rows) >= ROWS:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
-                    rows = []
-            if rows:
+
+def _articles(batches: Iterator[pa.RecordBatch], read_rows: Callable[[str], list[dict]]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows: list[dict] = []
+        for text in batch.column(0).to_pylist():
+            rows += read_rows(text or "")
+            if len(rows) >= ROWS:
                 yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
+
+
+RECORD_END, SET_END = "</PubmedArticle>", "</PubmedArticleSet>"
+_RECORD = re.compile(r"<PubmedArticle(?=[\s>/])")
+
+
+def piece_records(piece: str) -> list[dict]:
+    """The articles of what stands before one end of a record, and after the one before."""
+    begin = _RECORD.search(piece)
+    before = piece[: begin.start()] if begin else piece
+    if "<!ENTITY" in before:
+        raise RecordError("entity declarations are not allowed")
+    return records(f"<PubmedArticleSet>{piece[begin.start() :]}{RECORD_END}{SET_END}") if begin else []
+
+
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value): files cut at the ends of records. Ranges of a large file are read by different tasks; a piece belongs to the range it
+    begins in, wherever the ranges fall. Files that are compressed as a whole are read by one task each, a piece at a time."""
+    return spark.read.text(path, lineSep=RECORD_END).select(F.col("_metadata.file_path").alias("file"), "value")
+
 
-    return files.select("value").mapInArrow(run, S.ARTICLES)
+def read(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
+    """Articles of files in UTF-8. A record that is broken or breaks off is an error; a file that ends after a record without closing the set
+    isn't noticed here, see `unclosed`. `whole` reads each file as one document instead, for files whose comments or CDATA
+    sections hold ends of records."""
+    if whole:
+        return parse(spark.read.text(path, wholetext=True))
+    return pieces(spark, path).select("value").mapInArrow(lambda batches: _articles(batches, piece_records), S.ARTICLES)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return parse(spark.read.text(path, wholetext=True))
+def unclosed(spark: SparkSession, path: str) -> DataFrame:
+    """(file): files that hold a record and don't close the set: what was lost in a transfer."""
+    closed = F.col("value").contains(SET_END).cast("int")
+    return pieces(spark, path).groupBy("file").agg(F.max(closed).alias("closed")).where(F.col("closed") == 0).select("file")

@@ -230,3 +230,24 @@ def test_confidence_out_of_range(spark):
     rows = spark.createDataFrame([("1", 2001, "a", "b", "Association", 1.5, 1)], "pmid string, year int, head_id string, tail_id string, label string, confidence double, n_sentences long")
     with pytest.raises(Exception, match="out of range"):
         maintenance.edge_year_rows(rows.withColumn("sign", F.lit(1))).collect()
+
+
+def test_extraction_tags_each_sentence_once(spark, tmp_path):
+    from quillweave.plans import extract
+
+    seen = spark.sparkContext.accumulator(0)
+    terms = {"NOD2": "Gene", "CD": "Disease"}
+
+    def tagger(text):
+        plain = extract.dictionary_tagger(terms)(text)
+        count = F.udf(lambda t: seen.add(1) or t, "string")  # one more for each sentence that is tagged
+        return F.when(count(text).isNotNull(), plain)
+
+    lexicon = spark.createDataFrame([("Gene", "NOD2", "G", "NOD2", 0, 0)], S.LEXICON)
+    store = Store(spark, str(tmp_path / "db"), 2)
+    store.upsert(spark.createDataFrame([(str(i), "NOD2 and CD", "The NOD2 gene is linked with CD in the patients of this study. NOD2 raises CD risk.", 2000, ["eng"], "", "", [], "q") for i in range(6)], S.ARTICLES + ", query_label string"))
+    docs = store.documents()
+    n = extract.sentences(docs).count()
+    seen.value = 0
+    store.extract(lambda keep: extract.extract(docs, tagger, extract.constant_classifier("Association", 0.9), lexicon, keep=keep))
+    assert seen.value == n == 18 and store.count("relations") == 18 and store.count("mentions") == 36
