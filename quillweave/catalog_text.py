@@ -262,7 +262,13 @@ _Q: dict[str, tuple[Callable, str | None]] = {
         f"WITH t AS (SELECT p_partkey, {_KEY.format(_BODIES)} AS k FROM part), "
         f"u AS (SELECT p_partkey, array_to_string(k, ' ') AS a, array_to_string(list_sort(list_transform(k, lambda x: {_ONE})), ' ') AS b FROM t) SELECT p_partkey, CASE WHEN a = b THEN a ELSE a || '|' || b END AS keys FROM u",
     ),
-    "word_keys": (word_keys, None),
+    "word_keys": (
+        word_keys,
+        """WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[\\p{L}\\p{M}]+')) AS word FROM documents),
+                spelled AS (SELECT word, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(lower(word), 'α', 'alpha'), 'β', 'beta'), 'γ', 'gamma'), 'δ', 'delta'),
+                    'ε', 'epsilon'), 'κ', 'kappa'), 'λ', 'lambda'), 'μ', 'mu'), 'τ', 'tau'), 'ω', 'omega') AS s FROM words)
+           SELECT word, array_to_string(list_sort(regexp_extract_all(strip_accents(s), '[0-9a-z]+')), ' ') AS key FROM spelled""",
+    ),
     "lexicon_index": (lexicon_index, f"WITH {_LEX} SELECT * FROM ix"),
     "resolve_mentions": (
         resolve_mentions,

@@ -73,11 +73,21 @@ def resolve_mentions(mentions: DataFrame, lexicon: DataFrame, carry: list[str])
     return mentions.join(resolved, same).select(*carry, "entity_id", "name", "matched")
 
 
+#: Characters of a bin of offsets.
+BIN = 256
+
+
 def contained(outer: DataFrame, inner: DataFrame) -> DataFrame:
     """Sentences (pmid, index, start, end) with the spans (pmid, start, end, ...) that lie within them wholly; the spans'
-    offsets become those in the sentence. An equi-join by document with a range condition."""
-    s, e = outer.alias("s"), inner.alias("e")
-    within = (F.col("s.pmid") == F.col("e.pmid")) & (F.col("e.start") >= F.col("s.start")) & (F.col("e.end") <= F.col("s.end"))
+    offsets become those in the sentence. Sentences may overlap, one whose end is before its start holds nothing.
+
+    An equi-join by document and bin of offsets: a sentence is in each bin that it reaches into, a span in that of its start, so the two
+    meet once, and a span is compared with the few sentences of its bin only. A long document's bins are dealt over tasks.
+    """
+    at = lambda c: F.floor(F.col(c) / BIN)
+    s = outer.where(F.col("start") <= F.col("end")).select("*", F.explode(F.sequence(at("start"), at("end"))).alias("_bin")).alias("s")
+    e = inner.withColumn("_bin", at("start")).alias("e")
+    within = (F.col("s.pmid") == F.col("e.pmid")) & (F.col("s._bin") == F.col("e._bin")) & (F.col("e.start") >= F.col("s.start")) & (F.col("e.end") <= F.col("s.end"))
     rest = [F.col(f"e.{c}") for c in inner.columns if c not in ("pmid", "start", "end")]
     return s.join(e, within).select("s.pmid", "s.index", (F.col("e.start") - F.col("s.start")).alias("start"), (F.col("e.end") - F.col("s.start")).alias("end"), *rest)
 

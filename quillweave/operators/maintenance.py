@@ -21,7 +21,9 @@ EXACT = "decimal(38,18)"
 PAIR = ("pmid", "head_id", "tail_id")
 #: What a table has beside its public columns.
 STATE = {"edges": ("sum_confidence", "log_miss", "n_sure"), "edge_years": ("sum_confidence",)}
-KEYS = {"evidence": list(EDGE), "edges": list(EDGE), "edge_years": list(EDGE), "entity_stats": ["entity_id"], "entity_years": ["entity_id"]}
+KEYS = {"evidence": list(EDGE), "edges": list(EDGE), "edge_years": list(EDGE), "entity_stats": ["entity_id"], "entity_years": ["entity_id"], "adjacency": ["entity_id"]}
+#: What an edge is called from one of its ends.
+END = ("entity_id", "neighbor_id", "is_head", "label")
 
 
 def signed(minus: DataFrame, plus: DataFrame) -> DataFrame:
@@ -101,6 +103,19 @@ def year_rows(rows: DataFrame, old: DataFrame | None = None) -> DataFrame:
     return fresh.groupBy("year").agg(_sum("n_docs", "n_docs")).where(F.col("n_docs") > 0)
 
 
+def adjacency_rows(years: DataFrame, entities: DataFrame) -> DataFrame:
+    """Edges under each of their ends: entity_id, neighbor_id, is_head (whether the entity is the head), label, the neighbour's name and
+    type, and `series`, the documents and sum of confidences of each year. So a read of one entity's edges needs neither a
+    sum over rows nor a join. Neighbours that no entity row names are left out."""
+    point = F.struct("year", "n_docs", "sum_confidence")
+    edges = years.groupBy(*EDGE).agg(F.array_sort(F.collect_list(point)).alias("series"))
+    end = lambda a, b, head: F.struct(F.col(a).alias("entity_id"), F.col(b).alias("neighbor_id"), F.lit(head).alias("is_head"))
+    ends = F.when(F.col("head_id") == F.col("tail_id"), F.array(end("head_id", "tail_id", True))).otherwise(F.array(end("head_id", "tail_id", True), end("tail_id", "head_id", False)))
+    both = edges.select(F.explode(ends).alias("e"), "label", "series").select("e.*", "label", "series")
+    named = entities.select(F.col("entity_id").alias("neighbor_id"), F.col("name").alias("neighbor_name"), F.col("type").alias("neighbor_type"))
+    return both.join(named, "neighbor_id").select(*END, "neighbor_name", "neighbor_type", "series")
+
+
 def _base(table: Callable[[str, str], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     return table("relations", S.RELATIONS), table("documents", S.DOCUMENTS), table("mentions", S.MENTIONS)
 
@@ -115,6 +130,7 @@ def build(tx, min_confidence: float) -> None:
     left = tx.write("evidence", evidence.document_evidence(relations, documents, min_confidence))
     years = tx.write("edge_years", edge_year_rows(_plus(left)))
     tx.write("edges", edge_rows(_plus(left), years, left))
+    tx.write("adjacency", adjacency_rows(years, tx.base.table("entities", S.ENTITIES)))
     dated = _plus(tx.stage(evidence.dated_mentions(mentions, documents)))
     tx.write("entity_stats", entity_rows(dated, tx.write("entity_years", entity_year_rows(dated))))
     tx.write("year_docs", evidence.year_docs(documents))
@@ -132,13 +148,19 @@ def refresh(tx, old, changed: DataFrame, min_confidence: float) -> dict[str, int
     (r0, d0, m0), (r1, d1, m1) = of(old), of(tx.base)
     rows = tx.stage(signed(evidence.document_evidence(r0, d0, min_confidence), evidence.document_evidence(r1, d1, min_confidence)))
     edge = tx.touched("evidence", rows)
-    sizes = dict.fromkeys(("evidence", "edges", "edge_years"), len(edge))
+    sizes = dict.fromkeys(("evidence", "edges", "edge_years"), len(edge)) | {"adjacency": 0}
     if edge:
         have = tx.read("evidence", buckets=edge)
         kept = have.join(rows.where(F.col("sign") < 0).select(*PAIR), list(PAIR), "left_anti")
         left = tx.rewrite("evidence", kept.unionByName(rows.where(F.col("sign") > 0).drop("sign")), edge)
         years = tx.rewrite("edge_years", edge_year_rows(rows, tx.read("edge_years", buckets=edge)), edge)
         tx.rewrite("edges", edge_rows(rows, years, left, tx.read("edges", buckets=edge)), edge)
+        moved = tx.stage(rows.select(*EDGE).distinct())
+        gone = moved.select(F.explode(F.array(F.struct(F.col("head_id").alias("entity_id"), F.col("tail_id").alias("neighbor_id"), F.lit(True).alias("is_head"), "label"), F.struct(F.col("tail_id").alias("entity_id"), F.col("head_id").alias("neighbor_id"), F.lit(False).alias("is_head"), "label"))).alias("e")).select("e.*")
+        ends = tx.touched("adjacency", gone)
+        sizes["adjacency"] = len(ends)
+        fresh = adjacency_rows(years.join(moved, list(EDGE), "left_semi"), tx.base.table("entities", S.ENTITIES))
+        tx.rewrite("adjacency", tx.read("adjacency", buckets=ends).join(gone, list(END), "left_anti").unionByName(fresh), ends)
     dated = tx.stage(signed(evidence.dated_mentions(m0, d0), evidence.dated_mentions(m1, d1)))
     entity = tx.touched("entity_stats", dated)
     sizes |= dict.fromkeys(("entity_stats", "entity_years"), len(entity))

@@ -203,9 +203,9 @@ class Store:
         return self.snapshot().meta.get(key)
 
     def graph(self):
-        """The read queries over one version."""
-        from quillweave.plans.graph import KnowledgeGraph
+        """The read queries over one version; neighbours are read from the adjacency table."""
+        from quillweave.plans.graph import StoredGraph
 
         snapshot = self.snapshot()
         tables = {n: snapshot.table(n) for n in (*S.BASE_TABLES, *S.GRAPH_TABLES)}
-        return KnowledgeGraph({n: df.drop(*maintenance.STATE.get(n, ())) for n, df in tables.items()})
+        return StoredGraph({n: df.drop(*maintenance.STATE.get(n, ())) for n, df in tables.items()}, lambda entity_id: snapshot.rows_of("adjacency", [entity_id], self.KEYS["adjacency"]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -198,3 +198,26 @@ class KnowledgeGraph:
         for p in parts[1:]:
             out = out.union(p)
         return out
+
+
+class StoredGraph(KnowledgeGraph):
+    """A graph whose edges are stored under each end too (operators.maintenance.adjacency_rows): `adjacent` gives an entity's."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], adjacent: Callable[[str], DataFrame]):
+        super().__init__(tables)
+        self.adjacent = adjacent
+
+    def neighbors(self, entity_id: str, since: int | None = None, until: int | None = None, label: str | None = None, min_docs: int = 1, limit: int = S.QUERY_LIMIT) -> DataFrame:
+        """The same rows as from the year table, without a shuffle: a row holds an edge's years, and its neighbour's name as it was
+        when the graph was last built or refreshed."""
+        S.check_years(since, until)
+        S.check_choice(label, S.RELATION_LABELS, "label")
+        low, high = S.FIRST_YEAR - (1 << 20) if since is None else since, S.LAST_YEAR + (1 << 20) if until is None else until
+        rows = self.adjacent(entity_id)
+        rows = rows if label is None else rows.where(F.col("label") == label)
+        rows = rows.withColumn("s", F.filter("series", lambda p: p["year"].between(low, high))).where(F.size("s") > 0)
+        docs = F.aggregate("s", F.lit(0).cast("long"), lambda total, p: total + p["n_docs"])
+        confidence = F.aggregate("s", F.lit(0.0), lambda total, p: total + p["sum_confidence"].cast("double"))
+        summed = rows.select(F.lit(entity_id).alias("entity_id"), "neighbor_id", "neighbor_name", "neighbor_type", "label", docs.alias("n_docs"), confidence.alias("c"), F.get("s", F.lit(0))["year"].alias("first_year"), F.try_element_at("s", F.lit(-1))["year"].alias("last_year"))
+        found = summed.where(F.col("n_docs") >= min_docs).select("entity_id", "neighbor_id", "neighbor_name", "neighbor_type", "label", "n_docs", (F.col("c") / F.col("n_docs")).alias("mean_confidence"), "first_year", "last_year")
+        return _first(found, limit, F.col("n_docs").desc(), F.col("mean_confidence").desc(), F.col("neighbor_id"), F.col("label"))

@@ -78,6 +78,27 @@ def test_corpus(spark):
         pubtator.read_split(spark, "Extra", "/nowhere")
 
 
+def test_containment_is_that_of_all_pairs(spark):
+    import random
+
+    draw = random.Random(1)
+    span = lambda most: (lambda a, n: (a, a + n))(draw.randrange(-50, 3000), draw.randrange(-2, most))
+    sentences = [(draw.choice("ab"), i, *span(900)) for i in range(80)] + [("a", 99, 0, 3000), ("b", 98, 256, 512)]
+    spans = [(draw.choice("abc"), *span(300), f"l{i}") for i in range(400)] + [("b", 256, 512, "edge"), ("b", 512, 512, "end"), ("a", 5, 3000, "x")]
+    got = linking.contained(spark.createDataFrame(sentences, "pmid string, index int, start int, end int"), spark.createDataFrame(spans, "pmid string, start int, end int, label string"))
+    want = sorted((p, i, s - a, e - a, x) for p, i, a, b in sentences for q, s, e, x in spans if p == q and a <= b and s >= a and e <= b)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 1000
+
+
+def test_containment_in_a_long_document(spark):
+    """Work in proportion to the spans: each is compared with the sentences of its bin, not of its document."""
+    n = 100_000
+    sentences = spark.range(n // 2).select(F.lit("1").alias("pmid"), F.col("id").cast("int").alias("index"), (F.col("id") * 100).cast("int").alias("start"), (F.col("id") * 100 + 99).cast("int").alias("end"))
+    spans = spark.range(n).select(F.lit("1").alias("pmid"), (F.col("id") * 50).cast("int").alias("start"), (F.col("id") * 50 + 9).cast("int").alias("end"))
+    got = linking.contained(sentences, spans)
+    assert got.count() == n and got.where("start NOT IN (0, 50) OR end NOT IN (9, 59)").count() == 0
+
+
 def test_vocabularies(spark, tmp_path):
     (tmp_path / lexicon.GENE_FILE).write_text("hgnc_id\tsymbol\tname\talias_symbol\talias_name\tprev_symbol\tprev_name\tentrez_id\nHGNC:1\tNOD2\treceptor two\t\"CARD15|IBD1\"\t\tOLD\t\t348\nHGNC:2\tX1\tx one\n")
     with gzip.open(tmp_path / lexicon.DISEASE_FILE, "wt") as f:

@@ -157,6 +157,8 @@ def plain(df, columns):
 def check(store):
     for name, df in rebuilt(store).items():
         assert plain(store.table(name), df.columns) == plain(df, df.columns), name
+    years, entities = store.table("edge_years"), store.table("entities")
+    assert sorted(map(repr, store.table("adjacency").collect())) == sorted(map(repr, maintenance.adjacency_rows(years, entities).collect()))
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -193,12 +195,13 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     store.save_extraction(*extraction(spark, {"3": [("h3", "t3", "Association", 0.6)]}))
     sizes = store.refresh_graph()
     after = store.snapshot().manifest["tables"]
+    assert sizes.pop("adjacency") in (1, 2)
     assert sizes == {"evidence": 1, "edges": 1, "edge_years": 1, "entity_stats": 0, "entity_years": 0}
     for name in ("edges", "evidence", "relations"):
         assert sum(before[name]["parts"][b] != after[name]["parts"][b] for b in before[name]["parts"]) == 1
     assert before["entity_stats"] == after["entity_stats"]
     check(store)
-    assert store.refresh_graph() == dict.fromkeys(sizes, 0) and store.table("changes").count() == 0
+    assert store.refresh_graph() == dict.fromkeys([*sizes, "adjacency"], 0) and store.table("changes").count() == 0
     store.save_extraction(*extraction(spark, {"3": []}))
     store.refresh_graph()
     check(store)
@@ -251,3 +254,28 @@ def test_extraction_tags_each_sentence_once(spark, tmp_path):
     seen.value = 0
     store.extract(lambda keep: extract.extract(docs, tagger, extract.constant_classifier("Association", 0.9), lexicon, keep=keep))
     assert seen.value == n == 18 and store.count("relations") == 18 and store.count("mentions") == 36
+
+
+def test_neighbours_are_read_from_one_bucket_without_a_shuffle(spark, tmp_path, capsys):
+    from quillweave.plans.graph import KnowledgeGraph
+
+    draw = random.Random(3)
+    store = Store(spark, str(tmp_path / "db"), 8)
+    docs = {str(p): [(draw.choice("abcd"), draw.choice("wxyza"), draw.choice(["Association", "Positive_Correlation"]), draw.choice([0.6, 0.9]))] for p in range(60)}
+    store.upsert(articles(spark, *[(p, "t", draw.choice([None, 2001, 2002, 2003])) for p in docs]))
+    store.save_extraction(*extraction(spark, docs))
+    store.build_graph()
+    stored = store.graph()
+    plain_graph = KnowledgeGraph(stored.tables)
+    for entity in "axq":
+        for more in ({}, {"since": 2002}, {"until": 2002, "label": "Association"}, {"min_docs": 3, "limit": 2}):
+            one, two = ([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in g.neighbors(entity, **more).collect()] for g in (stored, plain_graph))
+            assert one == two
+    rows = stored.neighbors("a")
+    assert rows.collect()
+    rows.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and "Join" not in plan and "EqualTo(entity_id,a)" in plan
+    entry = store.snapshot().entry("adjacency")
+    files = {f.rsplit("/", 2)[1] for f in stored.adjacent("a").inputFiles()}
+    assert len(files) == 1 < len(entry["parts"])
