@@ -80,7 +80,7 @@ def _ascii(text: Column) -> Column:
     for c in greek:
         out = F.replace(out, F.lit(c), F.lit(several[c]))
     rest = {c: t for c, t in several.items() if c not in greek}
-    known = F.map_from_arrays(F.array(*map(F.lit, rest)), F.array(*map(F.lit, rest.values())))
+    known = F.str_to_map(F.lit("\x02".join(f"{c}\x01{t}" for c, t in rest.items())), F.lit("\x02"), F.lit("\x01"))  # one literal, read once
     spelled_out = F.array_join(F.transform(F.split(out, ""), lambda c: F.when(c < "\x80", c).otherwise(F.coalesce(F.try_element_at(known, c), c))), "")
     out = F.when(out.rlike(_class(rest)), spelled_out).otherwise(out)
     return F.regexp_replace(F.regexp_replace(out, word, "_"), r"[^\x00-\x7F]", " ")

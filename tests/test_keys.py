@@ -16,7 +16,7 @@ def differ(spark, names, size):
 def test_every_character(spark):
     """Each alone, between letters, and after a possessive: forty to a name, so that each stands in several surroundings."""
     every = [chr(n) for n in range(sys.maxunicode + 1) if not 0xD800 <= n < 0xE000]
-    names = ["".join(f"a{c}b {c}'s{c} " for c in every[i : i + 40]) for i in range(0, len(every), 40)]
+    names = ["".join(f"a{c}b's{c} " for c in every[i : i + 40]) for i in range(0, len(every), 40)]
     assert differ(spark, names, 8) == []
 
 
