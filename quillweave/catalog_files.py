@@ -57,6 +57,20 @@ def graph_refreshed_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_built(spark, sf_dir).snapshot().table("edges").select("head_id", "tail_id", "label", "n_sentences", "max_confidence", "mean_confidence"))
 
 
+def neighbors_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbours of the first brand by name, from the store's edges by end."""
+    first = adapters.table(spark, sf_dir, "part").agg(F.min(F.concat(F.lit("brand:"), "p_brand"))).first()[0]
+    return _plain(_built(spark, sf_dir).graph().neighbors(first, since=1995, limit=1000))
+
+
+def names_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities by a part of their names with a wildcard, from the trigram index."""
+    store = Store(spark, shared_folder(spark, "names"), buckets=8)
+    store.save(entities=adapters.entities(spark, sf_dir))
+    store.index_names()
+    return store.search_names("RAN%#1")
+
+
 def dictionary_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names in a sentence of each order's lines, as they are, in capitals and the plural, turned round, or after another word."""
     lines = adapters.table(spark, sf_dir, "lineitem").join(adapters.table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
@@ -143,7 +157,7 @@ def relation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEY = "head_id || '|' || tail_id || '|' || label"
 _SPLIT = "CAST(o_orderkey AS VARCHAR) AS pmid, o_orderpriority AS p, o_orderstatus AS s, length(CAST(o_orderkey AS VARCHAR)) + 7 AS pos"
 
-QUERIES = {f.__name__: f for f in (graph_refreshed, graph_refreshed_maxima, dictionary_tags, articles_scan, gene_vocabulary, disease_vocabulary, corpus_rows, ner_sentences, relation_pairs)}
+QUERIES = {f.__name__: f for f in (graph_refreshed, graph_refreshed_maxima, neighbors_stored, names_search, dictionary_tags, articles_scan, gene_vocabulary, disease_vocabulary, corpus_rows, ner_sentences, relation_pairs)}
 SQL = {
     "graph_refreshed": f"""WITH {adapters.sql_base()}
         SELECT 'edges' AS "table", {_KEY} AS key, n_docs, round(combined_confidence, 6) AS value, CAST(first_year AS BIGINT) AS first_year, CAST(last_year AS BIGINT) AS last_year FROM ed
@@ -152,6 +166,13 @@ SQL = {
         UNION ALL SELECT 'entity_years', entity_id || '|' || year, n_docs, NULL, NULL, NULL FROM ny
         UNION ALL SELECT 'year_docs', CAST(year AS VARCHAR), n_docs, NULL, NULL, NULL FROM yd""",
     "graph_refreshed_maxima": f"WITH {adapters.sql_base()} SELECT head_id, tail_id, label, n_sentences, round(max_confidence, 6) AS max_confidence, round(mean_confidence, 6) AS mean_confidence FROM ed",
+    "neighbors_stored": f"""WITH {adapters.sql_base()}, me AS (SELECT 'brand:' || min(p_brand) AS id FROM part)
+        SELECT id AS entity_id, neighbor_id, name AS neighbor_name, type AS neighbor_type, label, n_docs, round(mean, 6) AS mean_confidence, CAST(first_year AS BIGINT) AS first_year, CAST(last_year AS BIGINT) AS last_year
+        FROM (SELECT id, CASE WHEN head_id = id THEN tail_id ELSE head_id END AS neighbor_id, label, CAST(sum(n_docs) AS BIGINT) AS n_docs,
+                     sum(n_docs * mean_confidence) / sum(n_docs) AS mean, min(year) AS first_year, max(year) AS last_year
+              FROM ey, me WHERE (head_id = id OR tail_id = id) AND year >= 1995 GROUP BY id, head_id, tail_id, label)
+        JOIN ge ON entity_id = neighbor_id ORDER BY n_docs DESC, mean DESC, neighbor_id, label LIMIT 1000""",
+    "names_search": f"WITH {adapters.sql_base()} SELECT entity_id, type, name, matched FROM ge WHERE lower(name) LIKE '%ran%#1%'",
     "dictionary_tags": """
         WITH one AS (SELECT p_name, bool_or(p_type = 'ECONOMY') AS gene FROM part GROUP BY p_name),
              many AS (SELECT p_name, bool_or(p_type = 'ECONOMY') AS gene FROM part WHERE p_partkey % 2 = 0 GROUP BY p_name),

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillweave import schemas as S
-from quillweave.operators import maintenance
-from quillweave.operators.snapshots import Conflict, Snapshot, SnapshotLog, Transaction
+from quillweave.operators import maintenance, names
+from quillweave.operators.snapshots import Conflict, Snapshot, SnapshotLog, Transaction, bucket_of
 
 #: What an upsert leaves as it is in a document that is there already.
 STICKY = ("query_label", "nlp_scope", "extracted")
@@ -72,7 +72,7 @@ class Store:
     buckets that its rows fall into.
     """
 
-    KEYS = {"documents": ["pmid"], "mentions": ["pmid"], "relations": ["pmid"], "entities": ["entity_id"], **maintenance.KEYS}
+    KEYS = {"documents": ["pmid"], "mentions": ["pmid"], "relations": ["pmid"], "entities": ["entity_id"], **maintenance.KEYS, "name_grams": ["gram"]}
     ATTEMPTS = 5
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16, step: Callable[[str], None] = lambda name: None):
@@ -195,6 +195,27 @@ class Store:
 
         return self.transact(work)
 
+    def index_names(self) -> None:
+        """Make the trigram index of the entities' names."""
+
+        def work(tx: Transaction) -> None:
+            tx.write("name_grams", names.gram_rows(tx.read("entities", S.ENTITIES)))
+            tx.meta["names_version"] = str(tx.base.changed("entities"))
+
+        self.transact(work)
+
+    def search_names(self, term: str) -> DataFrame:
+        """Entities whose name is LIKE %term% in any case. Read from the buckets of the index that the term's trigrams are in; from all
+        entities where the term has no run of three characters between wildcards, or entities have changed since the index was made."""
+        if not term.strip():
+            raise ValueError("the term is empty")
+        snapshot = self.snapshot()
+        grams = names.term_grams(self.spark.range(1).select(F.lower(F.lit(term))).first()[0])
+        if not grams or snapshot.meta.get("names_version") != str(snapshot.changed("entities")) or snapshot.entry("name_grams") is None:
+            return snapshot.table("entities", S.ENTITIES).where(names.like(term)).select(*names.COLUMNS)
+        of = self.spark.createDataFrame([(g,) for g in grams], "gram string").select(bucket_of(["gram"], snapshot.entry("name_grams")["buckets"]).alias("b"))
+        return names.search(snapshot.table("name_grams", buckets={r["b"] for r in of.collect()}), term, grams)
+
     def vacuum(self, unused_seconds: float = 86_400) -> int:
         """Remove old versions but the one the graph was made of, and the folders that nothing names any more."""
         return self.log.vacuum([int(self.snapshot().meta.get("graph_version", 0))], unused_seconds)
