@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +43,7 @@ def parse(files: DataFrame) -> Corpus:
     A relation stays if its type is known, both ids are those of entities of the document, and the pair of types (of the
     last entity with the id) is in scope.
     """
-    blocks = files.select(F.explode(F.split("value", r"\n(?U)\s*\n")).alias("block")).where(F.trim(F.regexp_replace("block", r"(?U)\s+", " ")) != "")
+    blocks = files.select(F.explode(F.split("value", r"\n(?U)\s*\n")).alias("block")).where(F.col("block").rlike(r"(?U)\S"))
     lines = F.split(F.regexp_replace("block", r"^\n+|\n+$", ""), "\n")
     cut = lambda i, mark, k: F.get(F.split(F.get(F.col("lines"), F.lit(i)), rf"\|{mark}\|", 2), F.lit(k))
     good = (F.size("lines") >= 2) & F.get(F.col("lines"), F.lit(0)).contains("|t|") & F.coalesce(F.get(F.col("lines"), F.lit(1)), F.lit("")).contains("|a|")
@@ -63,8 +67,66 @@ def parse(files: DataFrame) -> Corpus:
     return Corpus(heads.select("pmid", "title", "abstract"), entities, relations)
 
 
+_PIECES = "file string, at long, whole boolean, value string"
+
+
+def _cut(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Lines (file, at, value), in order within each range `at` of a file, as pieces: with `whole` what stands between two blank lines of a
+    range, otherwise one row a range, with what stands before its first blank line and after its last one (all, without one)."""
+    join = lambda parts: "\n".join(t for p in parts for t in p.to_pylist())
+    now, head, open_ = None, None, []  # the range, what stood before its first blank line, lines since the last one
+
+    def edge() -> list[tuple]:
+        return [] if whole or now is None else [(*now, False, join(open_) if head is None else f"{head}\n\n{join(open_)}")]
+
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.string(), pa.int64(), pa.bool_(), pa.string()), strict=True)], ["file", "at", "whole", "value"])
+
+    for batch in batches:
+        files, at, lines = (batch.column(i) for i in range(3))
+        places = at.to_numpy()
+        moved = np.flatnonzero((places[1:] != places[:-1]) | pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)) + 1
+        for i, j in zip([0, *moved.tolist()], [*moved.tolist(), len(places)], strict=True):
+            if i == j:
+                continue
+            if now != (here := (files[i].as_py(), int(places[i]))):
+                if found := edge():
+                    yield rows(found)
+                now, head, open_ = here, None, []
+            empty = pc.equal(pc.utf8_trim_whitespace(lines[i:j]), "")
+            part = pc.if_else(empty, "", lines[i:j])
+            blank = np.flatnonzero(empty.to_numpy(zero_copy_only=False))
+            if not len(blank):
+                open_.append(part)
+                continue
+            open_.append(part[: blank[0]])
+            done = [(*now, True, join(open_))] if whole and head is not None else []
+            if head is None:
+                head = join(open_)
+            if done:
+                yield rows(done)
+            if whole and len(blank) > 1:
+                between = pa.ListArray.from_arrays(pa.array(blank, pa.int32()), part)
+                texts = pc.binary_join(between, "\n")
+                n = len(texts)
+                yield pa.RecordBatch.from_arrays([pa.array([now[0]] * n, pa.string()), pa.array([now[1]] * n, pa.int64()), pa.array([True] * n), texts], ["file", "at", "whole", "value"])
+            open_ = [part[blank[-1] + 1 :]]
+    if found := edge():
+        yield rows(found)
+
+
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(value): files cut at blank lines, so that a task holds a few blocks at a time, however large a file is. Ranges of a file are read by
+    different tasks; what reaches over their borders, a few lines a range, is put together by file. Files that are compressed as a whole are read
+    by one task each. Ends of lines are those that Python knows."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    inner = lines.mapInArrow(lambda batches: _cut(batches, True), _PIECES).select("value")
+    edges = lines.mapInArrow(lambda batches: _cut(batches, False), _PIECES)
+    return inner.unionByName(edges.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("e")).select(F.array_join(F.col("e.value"), "\n").alias("value")))
+
+
 def read(spark: SparkSession, path: str) -> Corpus:
-    return parse(spark.read.text(path, wholetext=True))
+    return parse(pieces(spark, path))
 
 
 def read_split(spark: SparkSession, split: str, folder: str) -> Corpus:

@@ -78,6 +78,26 @@ def test_corpus(spark):
         pubtator.read_split(spark, "Extra", "/nowhere")
 
 
+def test_corpus_files_are_read_by_ranges(spark, tmp_path):
+    """A file that is cut at any place gives the blocks of the whole file; no task makes one row of it."""
+    gaps = ["\n\n", "\n \n", "\n\n\n", "\n\t\n\n \n", "\n\u2003\n"]
+    text = "\n\n" + "".join(BLOCK.replace("7", str(700 + i)).rstrip("\n") + gaps[i % 5] for i in range(12))
+    (tmp_path / "a.PubTator").write_text(text, encoding="utf-8")
+    (tmp_path / "b.PubTator").write_text(BLOCK.rstrip("\n").replace("\n", "\r\n"), newline="")
+    want = sorted([str(700 + i) for i in range(12)] + ["7"])
+    shown = lambda c: [sorted(map(str, df.collect())) for df in (c.documents, c.entities, c.relations)]
+    whole = shown(pubtator.parse(spark.createDataFrame([(text,), (BLOCK,)], "value string")))
+    for size in ("211", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            corpus = pubtator.read(spark, str(tmp_path))
+            assert sorted(r.pmid for r in corpus.documents.collect()) == want and shown(corpus) == whole
+            most = pubtator.pieces(spark, str(tmp_path)).agg(F.max(F.length("value"))).first()[0]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert most < len(text) / 5
+
+
 def test_containment_is_that_of_all_pairs(spark):
     import random
 
