@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillweave import schemas as S
 from quillweave.functions.stats import ratio
+from quillweave.operators.shared import dealt
 
 POSITIVE = tuple(label for label in S.RELATION_LABELS if label != S.NO_RELATION)
 
@@ -25,10 +26,11 @@ def _count(condition: Column) -> Column:
 def set_prf(gold: DataFrame, predicted: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:
     """Compare two sets of rows; with `by` (part of the keys) once for each of its values and once for all (null).
 
-    Both sides are tagged and put together; one aggregation by key makes them distinct and compares them.
+    Both sides are tagged and put together; one aggregation by key makes them distinct and compares them. Where the input is large its rows
+    are dealt by key before, into partitions of bounded input.
     """
     tag = lambda df, g: df.select(*keys, F.lit(g).alias("g"), F.lit(1 - g).alias("p"))
-    each = tag(gold, 1).union(tag(predicted, 0)).groupBy(*keys).agg(F.max("g").alias("g"), F.max("p").alias("p"))
+    each = dealt(tag(gold, 1).union(tag(predicted, 0)), *keys).groupBy(*keys).agg(F.max("g").alias("g"), F.max("p").alias("p"))
     counts = (_count((F.col("g") == 1) & (F.col("p") == 1)).alias("a"), _count((F.col("g") == 0) & (F.col("p") == 1)).alias("b"), _count((F.col("g") == 1) & (F.col("p") == 0)).alias("c"))
     summed = (each.rollup(*by) if by else each.groupBy()).agg(*counts)
     return summed.select(*(by or []), *prf(F.col("a"), F.col("b"), F.col("c")))

@@ -11,6 +11,11 @@ from quillweave.functions.stats import noisy_or
 EDGE = ("head_id", "tail_id", "label")
 
 
+def _years(documents: DataFrame) -> DataFrame:
+    """Never broadcast: by the size of its files, most of which other columns may be thought to fill, a table of millions of rows looks small."""
+    return documents.select("pmid", "year").hint("merge")
+
+
 def document_evidence(relations: DataFrame, documents: DataFrame, min_confidence: float = S.MIN_CONFIDENCE) -> DataFrame:
     """One row per document and pair: the surest passing sentence's label and confidence, and how many sentences pass.
 
@@ -18,7 +23,7 @@ def document_evidence(relations: DataFrame, documents: DataFrame, min_confidence
     serves the aggregation, so relations are shuffled once.
     """
     passing = relations.where((F.col("label") != S.NO_RELATION) & (F.col("confidence") >= min_confidence))
-    dated = passing.select("pmid", "sentence_index", *EDGE, "confidence").join(documents.select("pmid", "year"), "pmid")
+    dated = passing.select("pmid", "sentence_index", *EDGE, "confidence").join(_years(documents), "pmid")
     best = F.min(F.struct((-F.col("confidence")).alias("c"), "sentence_index", "label", "year"))
     found = dated.groupBy("pmid", "head_id", "tail_id").agg(best.alias("b"), F.count("*").alias("n_sentences"))
     return found.select("pmid", F.col("b.year").alias("year"), "head_id", "tail_id", F.col("b.label").alias("label"), (-F.col("b.c")).alias("confidence"), "n_sentences")
@@ -41,7 +46,7 @@ def edge_years(evidence: DataFrame) -> DataFrame:
 def dated_mentions(mentions: DataFrame, documents: DataFrame) -> DataFrame:
     """(entity, document, year) with the number of mentions: summed per document before anything is counted distinct, so
     a hub entity's rows shrink in every task. The join's partitioning by document serves it."""
-    return mentions.select("pmid", "entity_id").join(documents.select("pmid", "year"), "pmid").groupBy("pmid", "entity_id").agg(F.count("*").alias("n"), F.min("year").alias("year"))
+    return mentions.select("pmid", "entity_id").join(_years(documents), "pmid").groupBy("pmid", "entity_id").agg(F.count("*").alias("n"), F.min("year").alias("year"))
 
 
 def entity_stats(mentions: DataFrame, documents: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The folder that all executors share."""
+"""The folder that all executors share, and how rows are dealt to tasks."""
 
 from __future__ import annotations
 
@@ -6,7 +6,12 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Bytes of input files for a task that sorts or groups what comes of them.
+SHARE = 2 << 20
+#: Inputs of fewer shares are not dealt.
+LEAST = 8
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -18,3 +23,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="quillweave-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a table is read from, 0 where there are none."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    paths = (jvm.org.apache.hadoop.fs.Path(f) for f in df.inputFiles())
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths)
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by keys into partitions whose number grows with the input files, and is never below the session's: joins and groups by
+    those keys work on them as they lie. Left to itself the engine merges partitions to a size after compression, or to as many as there
+    are cores, and one task sorts and groups millions of rows at once. Small inputs are left as they are."""
+    n = -(-input_bytes(df) // SHARE)
+    return df if n < LEAST else df.repartition(max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)

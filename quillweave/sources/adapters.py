@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillweave import schemas as S
 from quillweave.operators import evidence
+from quillweave.operators.shared import dealt
 from quillweave.plans.graph import KnowledgeGraph
 
 
@@ -25,17 +26,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as classified pairs of a brand and the customer's nation; the quantity's share of 50 is the confidence.
-    The dimension sides are small beside the lines, and left to the optimizer to broadcast."""
+    Parts and customers are small beside the lines, and left to the optimizer to broadcast. Lines are dealt by document once, for the join
+    with orders and for all joins and groups by document that follow."""
     nations = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
-    owners = table(spark, sf_dir, "orders").join(nations, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "n_name")
+    owners = table(spark, sf_dir, "orders").join(nations, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").cast("string").alias("pmid"), "n_name")
     flag, state = F.col("l_returnflag"), F.col("l_linestatus")
     label = F.when(flag == "A", "Association").when((flag == "N") & (state == "F"), "Positive_Correlation").when((flag == "R") & (state == "F"), "Negative_Correlation").otherwise(S.NO_RELATION)
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", label.alias("label"))
-    joined = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-    pmid = F.col("l_orderkey").cast("string")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("pmid"), "l_partkey", "l_linenumber", "l_quantity", label.alias("label"))
+    branded = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    joined = dealt(branded, "pmid").join(owners.hint("merge"), "pmid")
     return joined.select(
-        pmid.alias("pmid"), F.col("l_linenumber").alias("sentence_index"), F.concat(F.lit("brand:"), "p_brand").alias("head_id"), F.concat(F.lit("nation:"), "n_name").alias("tail_id"),
-        "label", (F.col("l_quantity") / 50.0).alias("confidence"), F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" of order "), pmid).alias("sentence"),
+        "pmid", F.col("l_linenumber").alias("sentence_index"), F.concat(F.lit("brand:"), "p_brand").alias("head_id"), F.concat(F.lit("nation:"), "n_name").alias("tail_id"),
+        "label", (F.col("l_quantity") / 50.0).alias("confidence"), F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" of order "), "pmid").alias("sentence"),
     )
 
 
