@@ -25,7 +25,7 @@ def _built(spark: SparkSession, sf_dir: str) -> Store:
     late = F.coalesce(F.col("year") >= LATE, F.lit(False))
     article = lambda df: df.select("pmid", F.lit("").alias("title"), F.lit("").alias("abstract"), "year", "languages", F.lit("").alias("journal"), F.lit("").alias("vernacular_title"), F.array().cast("array<struct<language:string,text:string>>").alias("other_abstracts"), F.lit("q").alias("query_label"))
     entities = adapters.entities(spark, sf_dir).withColumn("ordinal", F.lit("0"))
-    of = lambda name, keep: rows[name].join(docs.select("pmid", "year"), "pmid").where(keep).drop("year")
+    of = lambda name, keep: rows[name].join(docs.select("pmid", "year").hint("merge"), "pmid").where(keep).drop("year")
     store.upsert(article(docs.withColumn("year", F.when(late, F.col("year") - 1).otherwise(F.col("year")))))
     first = ~late | (F.col("sentence_index") == 1)
     store.save_extraction(docs.select("pmid", "nlp_scope"), of("mentions", first), of("relations", first), entities)

@@ -143,7 +143,7 @@ def refresh(tx, old, changed: DataFrame, min_confidence: float) -> dict[str, int
     some = {n: tx.touched(n, pmids) if tx.base.entry(n) else [] for n in ("relations", "documents", "mentions")}
 
     def of(version) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return _base(lambda n, schema: version.table(n, schema, some[n]).join(pmids, "pmid", "left_semi"))
+        return _base(lambda n, schema: version.table(n, schema, some[n]).join(pmids.hint("merge"), "pmid", "left_semi"))
 
     (r0, d0, m0), (r1, d1, m1) = of(old), of(tx.base)
     rows = tx.stage(signed(evidence.document_evidence(r0, d0, min_confidence), evidence.document_evidence(r1, d1, min_confidence)))
@@ -151,7 +151,7 @@ def refresh(tx, old, changed: DataFrame, min_confidence: float) -> dict[str, int
     sizes = dict.fromkeys(("evidence", "edges", "edge_years"), len(edge)) | {"adjacency": 0}
     if edge:
         have = tx.read("evidence", buckets=edge)
-        kept = have.join(rows.where(F.col("sign") < 0).select(*PAIR), list(PAIR), "left_anti")
+        kept = have.join(rows.where(F.col("sign") < 0).select(*PAIR).hint("merge"), list(PAIR), "left_anti")
         left = tx.rewrite("evidence", kept.unionByName(rows.where(F.col("sign") > 0).drop("sign")), edge)
         years = tx.rewrite("edge_years", edge_year_rows(rows, tx.read("edge_years", buckets=edge)), edge)
         tx.rewrite("edges", edge_rows(rows, years, left, tx.read("edges", buckets=edge)), edge)

@@ -40,8 +40,9 @@ def upsert_documents(stored: DataFrame, arriving: DataFrame) -> DataFrame:
 
 
 def replace_by_document(stored: DataFrame, fresh: DataFrame, done: DataFrame) -> DataFrame:
-    """Rows of `done` documents (pmid) are dropped from the stored table, then the fresh ones are added."""
-    return stored.join(done.select("pmid").distinct(), "pmid", "left_anti").select(*stored.columns).unionByName(fresh)
+    """Rows of `done` documents (pmid) are dropped from the stored table, then the fresh ones are added. Documents are never broadcast: files
+    of millions of their ids are small."""
+    return stored.join(done.select("pmid").distinct().hint("merge"), "pmid", "left_anti").select(*stored.columns).unionByName(fresh)
 
 
 def first_entities(stored: DataFrame, fresh: DataFrame, order: list[str]) -> DataFrame:
@@ -157,7 +158,7 @@ class Store:
         seen = tx.stage(entities)
         touched = tx.touched("documents", done)
         docs = tx.read("documents", S.DOCUMENTS, touched)
-        marked = docs.join(done, "pmid", "left").withColumns({"nlp_scope": F.coalesce("_scope", "nlp_scope"), "extracted": F.coalesce("extracted", F.lit(False)) | F.col("_scope").isNotNull()})
+        marked = docs.join(done.hint("merge"), "pmid", "left").withColumns({"nlp_scope": F.coalesce("_scope", "nlp_scope"), "extracted": F.coalesce("extracted", F.lit(False)) | F.col("_scope").isNotNull()})
         tx.rewrite("documents", marked.select(*docs.columns), touched)
         for name, schema in (("mentions", S.MENTIONS), ("relations", S.RELATIONS)):
             touched = tx.touched(name, done, fresh[name])

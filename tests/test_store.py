@@ -279,3 +279,15 @@ def test_neighbours_are_read_from_one_bucket_without_a_shuffle(spark, tmp_path,
     entry = store.snapshot().entry("adjacency")
     files = {f.rsplit("/", 2)[1] for f in stored.adjacent("a").inputFiles()}
     assert len(files) == 1 < len(entry["parts"])
+
+
+def test_documents_are_not_broadcast(spark, tmp_path):
+    """Tables with a row a document are joined by shuffle, however small their files look."""
+    from quillweave.operators.store import replace_by_document
+
+    spark.range(1000).selectExpr("cast(id as string) pmid", "id x").write.parquet(str(tmp_path / "rows"))
+    spark.range(100).selectExpr("cast(id * 7 as string) pmid").write.parquet(str(tmp_path / "done"))
+    stored, done = spark.read.parquet(str(tmp_path / "rows")), spark.read.parquet(str(tmp_path / "done"))
+    left = replace_by_document(stored, stored.limit(0), done)
+    assert "BroadcastHashJoin" not in left._jdf.queryExecution().executedPlan().toString()
+    assert left.count() == 1000 - 100
