@@ -12,48 +12,58 @@ ABBREVIATIONS = (
     "e.g i.e vs cf fig figs al approx ca no nos dr mr mrs ms prof resp ref refs eq vol sp spp "
     "inc ltd co st jan feb mar apr jun jul aug sep sept oct nov dec p"
 )
-#: White space as Python has it, and a sentence's possible end: a sign, maybe a closing quote or bracket, white space.
-BLANK = r"[\s\x1C-\x1F]"
-END = rf"(?U)([.!?][\"')\]]?{BLANK}+)"
-MARK = "\x01"
+#: White space as Python has it: ranges of code points, all characters, the inside of a class.
+_RANGES = ((9, 13), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000))
+BLANKS = "".join(chr(c) for a, b in _RANGES for c in range(a, b + 1))
+_CLASS = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in _RANGES)
+#: Stand for a sentence's end, and for a full stop that is none.
+MARK, HOLD = "\x01", "\x02"
+#: A short word: an abbreviation in any case (ASCII letters) or one letter whose small form is one letter too.
+_ASCII = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else f"\\{c}" for c in w) for w in ABBREVIATIONS.split())
+_SHORT = rf"(?:{_ASCII}|[\p{{L}}&&[^\x{{130}}]])"
+#: The full stop of a short word that begins after white space or a bracket, where a sentence could end. It begins with the sign, so
+#: that nothing is looked at elsewhere.
+STOP = rf"\.(?<=(?<![^{_CLASS}(\[]){_SHORT}\.)(?=[\"')\]]?[{_CLASS}])"
+#: Such a stop where the brackets follow on something else: then the word is longer than it looks.
+JOINED = rf"([(\[](?<=[^{_CLASS}(\[][(\[])[(\[]*+{_SHORT}\.){HOLD}"
+#: A sign, maybe a closing quote or bracket, white space, and then a capital, a bracket or a quote.
+END = rf"([.!?][\"')\]]?[{_CLASS}]++)(?=[\p{{IsUppercase}}(\[\"'])"
 
 
-def _trimmed(segments: Column) -> Column:
-    """Spans of the segments without the white space around them; what is empty is left out."""
-    placed = let(segments, lambda s: F.arrays_zip(s, running_starts(F.transform(s, F.length)))).cast("array<struct<text:string,start:int>>")
+def _placed(text: Column) -> Column:
+    """array<struct<start,end,text>> of a text that holds neither mark."""
+    held = F.regexp_replace(F.regexp_replace(text, STOP, f"$0{HOLD}"), JOINED, "$1")
+    marked = F.translate(F.regexp_replace(held, END, f"$1{MARK}"), HOLD, "")
+    placed = let(F.split(marked, MARK), lambda s: F.arrays_zip(s, running_starts(F.transform(s, F.length)))).cast("array<struct<text:string,start:int>>")
 
     def span(p: Column) -> Column:
-        before = F.length(F.regexp_extract(p["text"], rf"(?U)^{BLANK}*", 0))
-        body = F.regexp_replace(p["text"], rf"(?U)^{BLANK}+|{BLANK}+$", "")
-        return F.struct((p["start"] + before).cast("int").alias("start"), (p["start"] + before + F.length(body)).cast("int").alias("end"))
+        body = F.ltrim(p["text"], F.lit(BLANKS))
+        return let(F.struct((p["start"] + F.length(p["text"]) - F.length(body)).alias("start"), F.rtrim(body, F.lit(BLANKS)).alias("text")), lambda b: F.struct(b["start"].alias("start"), (b["start"] + F.length(b["text"])).alias("end"), b["text"].alias("text")))
 
     return F.filter(F.transform(placed, span), lambda s: s["end"] > s["start"])
 
 
-def sentence_spans(text: Column) -> Column:
-    """array<struct<start,end>>: white space trimmed, end exclusive. A null or blank text has none.
+def sentences(text: Column) -> Column:
+    """array<struct<start,end,text>>: white space trimmed, end exclusive. A null or blank text has none.
 
-    Possible ends are marked and the text split there. One counts if the next piece begins with a capital, a bracket or a
-    quote, and the word before a full stop is neither an abbreviation nor a single letter. Pieces between ends that
-    count are one segment; offsets are sums of lengths, as they count code points. The mark can stand for any sign that
-    is neither blank nor capital, so one that the text holds is another of that kind meanwhile.
+    Full stops of short words are held first, then the ends that count are marked and the text is split there, so work grows with the
+    text's length alone: every sentence is cut out of the text once. Offsets are sums of lengths, as they count code points. The marks
+    can stand for any sign that is neither blank nor capital, so where the text holds one it is another of that kind meanwhile, and the
+    sentences are read from the text itself.
     """
-    plain = F.translate(F.coalesce(text, F.lit("")), MARK, "\x02")
-    pieces = F.split(F.regexp_replace(plain, END, f"$1{MARK}"), MARK)
-    sign = lambda p: F.regexp_extract(p, rf"(?U)([.!?])[\"')\]]?{BLANK}+$", 1)
-    word = lambda p: F.lower(F.regexp_replace(F.regexp_extract(p, rf"(?U)([^\s\x1C-\x1F]*)[.!?][\"')\]]?{BLANK}+$", 1), r"^[(\[]+", ""))
-    short = lambda p: (sign(p) == ".") & (word(p).isin(*ABBREVIATIONS.split()) | word(p).rlike(r"^\p{L}$"))
-    opens = lambda p: F.coalesce(p, F.lit("")).rlike(r"^[\p{IsUppercase}(\[\"']")
-    joined = let(pieces, lambda ps: F.array_join(F.transform(ps, lambda p, i: F.concat(p, F.when(opens(F.get(ps, i + 1)) & ~short(p), MARK).otherwise(""))), ""))
-    return _trimmed(F.split(joined, MARK))
+    plain = F.coalesce(text, F.lit(""))
+    strange = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.substring(plain, s["start"] + 1, s["end"] - s["start"]).alias("text"))
+    return F.when(plain.rlike(f"[{MARK}{HOLD}]"), F.transform(_placed(F.translate(plain, MARK + HOLD, "\x03\x03")), strange)).otherwise(_placed(plain))
+
+
+def sentence_spans(text: Column) -> Column:
+    """array<struct<start,end>> of the sentences."""
+    return F.transform(sentences(text), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
 
 
 def document_sentences(title: Column, abstract: Column) -> Column:
     """array<struct<index,start,end,text>>: the title's sentences, then the abstract's, whose offsets are those in title
     + blank + abstract."""
-    title, abstract = F.coalesce(title, F.lit("")), F.coalesce(abstract, F.lit(""))
-    whole = F.concat(title, F.lit(" "), abstract)
-    shift = F.length(title) + 1
-    moved = F.transform(sentence_spans(abstract), lambda s: F.struct((s["start"] + shift).alias("start"), (s["end"] + shift).alias("end")))
-    spans = F.concat(sentence_spans(title), moved)
-    return F.transform(spans, lambda s, i: F.struct(i.alias("index"), s["start"].alias("start"), s["end"].alias("end"), F.substring(whole, s["start"] + 1, s["end"] - s["start"]).alias("text")))
+    shift = F.length(F.coalesce(title, F.lit(""))) + 1
+    moved = F.transform(sentences(abstract), lambda s: F.struct((s["start"] + shift).alias("start"), (s["end"] + shift).alias("end"), s["text"].alias("text")))
+    return F.transform(F.concat(sentences(title), moved), lambda s, i: F.struct(i.alias("index"), s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text")))

@@ -58,6 +58,26 @@ def test_long_text_has_many_sentences(spark):
     assert len(spans) == 3000 and spans[-1].start == 29990
 
 
+def test_sentences_take_time_in_proportion_to_the_text(spark):
+    """Words of one long text are looked at where a full stop ends them, and its sentences are cut out of it once: a text of one long word,
+    of blanks only between two words, or of many sentences costs no square of its length."""
+    import time
+
+    many = "One (e.g. This) ends. " * 30_000
+    texts = ["x" * 200_000 + ". Y", "a." + " " * 200_000 + "b.", "(" * 200_000 + "p. Q", many]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    start = time.time()
+    got = [r.v for r in df.select(document_sentences(F.lit(""), F.col("t")).alias("v")).collect()]
+    assert time.time() - start < 60
+    assert [len(v) for v in got] == [2, 1, 1, 30_000] and {s.text for s in got[3]} == {"One (e.g. This) ends."}
+    assert all(s.text == t[s.start - 1 : s.end - 1] for t, v in zip(texts[:3], got, strict=False) for s in v)
+
+
+def test_brackets_before_short_words(spark):
+    texts = ["x(e.g. A", "(e.g. A", "x ([(p. A", "x[](Dr. A", "\u0130. A", "a\x02b. C\x01 (e.g. D) e. F"]
+    assert sentences(spark, *texts) == [plain_sentences(t) for t in texts]
+
+
 def test_document_sentences(spark):
     df = spark.createDataFrame([("APOE in AD", "It binds. It acts.")], "a string, b string")
     got = df.select(document_sentences(F.col("a"), F.col("b"))).first()[0]
