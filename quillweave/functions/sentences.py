@@ -18,9 +18,10 @@ BLANKS = "".join(chr(c) for a, b in _RANGES for c in range(a, b + 1))
 _CLASS = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in _RANGES)
 #: Stand for a sentence's end, and for a full stop that is none.
 MARK, HOLD = "\x01", "\x02"
-#: A short word: an abbreviation in any case (ASCII letters) or one letter whose small form is one letter too.
+#: A short word: an abbreviation in any case (ASCII letters) or one letter whose small form is one letter too
+#: (two capitals are newer than the pattern's letters, their small forms aren't).
 _ASCII = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else f"\\{c}" for c in w) for w in ABBREVIATIONS.split())
-_SHORT = rf"(?:{_ASCII}|[\p{{L}}&&[^\x{{130}}]])"
+_SHORT = rf"(?:{_ASCII}|[[\p{{L}}\x{{A7CB}}\x{{A7DC}}]&&[^\x{{130}}]])"
 #: The full stop of a short word that begins after white space or a bracket, where a sentence could end. It begins with the sign, so
 #: that nothing is looked at elsewhere.
 STOP = rf"\.(?<=(?<![^{_CLASS}(\[]){_SHORT}\.)(?=[\"')\]]?[{_CLASS}])"

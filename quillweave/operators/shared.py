@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(spark: SparkSession, name: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that works a table out once, into the shared folder, and gives it back to be read again."""
+    root, numbers = shared_folder(spark, name), itertools.count()
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{root}/{next(numbers)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return keep
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files that a table is read from, 0 where there are none."""
     jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()

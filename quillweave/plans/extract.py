@@ -16,6 +16,7 @@ from quillweave.functions import spans as SP
 from quillweave.functions.language import nlp_scope
 from quillweave.functions.sentences import document_sentences
 from quillweave.operators import linking
+from quillweave.operators.shared import dealt
 
 
 class Tagger(Protocol):
@@ -78,7 +79,7 @@ def extract(documents: DataFrame, tagger: Tagger, classifier: Classifier, lexico
 
     `keep` works a table out once and gives it back to be read again, as a store's transaction does: with it spans are tagged, mentions
     linked and pairs classified once for all tables; without it each table works them out anew. Linking shuffles distinct surfaces,
-    not mentions. Pairs are formed inside a sentence's array, so no self-join of mentions.
+    not mentions. Mentions of a large input are dealt by document into partitions of bounded input. Pairs are formed inside a sentence's array, so no self-join of mentions.
     """
     scopes = documents.select("pmid", nlp_scope(F.col("title"), F.col("abstract")).alias("nlp_scope"))
     tagged = keep(tag(sentences(documents), tagger))
@@ -90,7 +91,7 @@ def extract(documents: DataFrame, tagger: Tagger, classifier: Classifier, lexico
     linked = keep(linking.resolve_mentions(linking.with_long_form(flat, defined, corpus), lexicon, carry))
     mentions = linked.select("pmid", F.col("index").alias("sentence_index"), (F.col("start") + F.col("at")).alias("start_char"), (F.col("end") + F.col("at")).alias("end_char"), "surface", "type", "entity_id")
     keyed = F.struct("start", "k", "end", F.col("type").alias("label"), F.col("entity_id").alias("key"))
-    per_sentence = linked.groupBy("pmid", "index").agg(F.first("text").alias("text"), F.array_sort(F.collect_list(keyed)).alias("mentions"))
+    per_sentence = dealt(linked, "pmid").groupBy("pmid", "index").agg(F.first("text").alias("text"), F.array_sort(F.collect_list(keyed)).alias("mentions"))
     pairs = per_sentence.select("pmid", "index", "text", F.explode(SP.candidate_pairs(F.col("mentions"))).alias("p")).where(SP.apart(F.col("p.head"), F.col("p.tail")))
     marked = pairs.select("pmid", "index", "p", SP.mark_entities(F.col("text"), F.col("p.head"), F.col("p.tail")).alias("sentence"))
     classified = marked.withColumn("c", classifier(F.col("sentence")))

@@ -43,6 +43,27 @@ def test_resolve(spark):
     assert got(spark.createDataFrame([("CD", "Crohn disease")], "short string, long string"))[("2", "CD", "Disease")] == ("MESH:D1", True)
 
 
+def test_frequent_mentions_are_resolved_alike(spark, monkeypatch):
+    """A name's mentions give the same rows whether it is frequent or not, and those of a frequent one aren't all in one partition."""
+    vocabulary = lex(spark, ("Gene", "NOD2", "G1", "NOD2", 0))
+    rows = [(str(i), "NOD2" if i % 10 else f"x {i % 3}", None if i % 7 == 0 else "Gene", "nod two" if i % 4 == 0 else None) for i in range(400)]
+    mentions = spark.createDataFrame(rows, "pmid string, surface string, type string, long_form string")
+    run = lambda: linking.resolve_mentions(mentions, vocabulary, ["pmid", "surface", "type"])
+    want = sorted(map(str, run().collect()))
+    assert len(want) == sum(r[2] is not None for r in rows)
+    monkeypatch.setattr(linking, "FREQUENT", 50)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = run()
+        assert sorted(map(str, got.collect())) == want
+        most = got.where("surface = 'NOD2'").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert most < 200
+
+
 def test_corpus_abbreviations(spark):
     rows = [("1", "CD", "atopic dermatitis"), ("2", "CD", "Crohn disease"), ("3", "CD", "Crohn's disease"), ("2", "PD", "b one"), ("1", "PD", "a one")]
     got = linking.corpus_abbreviations(spark.createDataFrame(rows, "pmid string, short string, long string")).collect()
@@ -98,6 +119,22 @@ def test_corpus_files_are_read_by_ranges(spark, tmp_path):
     assert most < len(text) / 5
 
 
+def test_extraction_deals_mentions_by_input(spark, tmp_path, monkeypatch):
+    """Mentions of large files are grouped in partitions whose number grows with them; relations are the same."""
+    from quillweave.operators import shared
+
+    rows = [(str(i), "The title", f"We saw that the man of the town and the girl of row {i} and her cat were with us in the end (WM).") for i in range(60)]
+    spark.createDataFrame(rows, "pmid string, title string, abstract string").write.parquet(str(tmp_path / "d"))
+    documents = spark.read.parquet(str(tmp_path / "d"))
+    vocabulary = lex(spark, ("Gene", "the", "NCBIGene:1", "THE", 0))
+    run = lambda: extract.extract(documents, extract.dictionary_tagger({"the": S.GENE, "of": S.DISEASE}), extract.constant_classifier("Association", 0.9), vocabulary, keep=shared.kept(spark, "test")).relations
+    few = sorted(map(str, run().collect()))
+    monkeypatch.setattr(shared, "SHARE", max(1, shared.input_bytes(documents) // 20))
+    many = run()
+    assert sorted(map(str, many.collect())) == few and len(few) == 60
+    assert "REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+
+
 def test_containment_is_that_of_all_pairs(spark):
     import random
 
