@@ -90,9 +90,8 @@ class Codec:
         if spec["model"]["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or spec.get("normalizer"):
             raise ValueError("the vocabulary must be byte-level BPE without normaliser and prefix space")
         letters = byte_letters()
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
+        self.cutter = Tokenizer.from_file(path).pre_tokenizer  # a worker keeps that, not the library's own vocabulary
         self.special = [t["content"] for t in spec["added_tokens"]]
         vocab = spec["model"]["vocab"]
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -112,6 +111,16 @@ class Codec:
         self.token_bytes = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
         self.clear()
 
+    @functools.cached_property
+    def library(self):
+        """The library's own encoder, for comparisons."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def clear(self) -> None:
         self.slot: dict[int, int] = {}
         self.table = np.zeros(1 << 12, dtype=np.int64)
@@ -165,7 +174,7 @@ class Codec:
             if part in self.added:
                 out.append(self.added[part])
                 continue
-            for word, _ in self.library.pre_tokenizer.pre_tokenize_str(part) if part else ():
+            for word, _ in self.cutter.pre_tokenize_str(part) if part else ():
                 if word not in known:
                     known[word] = self.whole(word.translate(self.plain).encode("latin-1"))
                 out += known[word]

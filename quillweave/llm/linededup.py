@@ -18,8 +18,8 @@ PERCENT, LEAST, EVERY = 90, 4, 1
 #: FREQUENT words are told apart so, the most frequent ones; their counts are broadcast (9 bytes each).
 RARE, FREQUENT = 128, 1 << 22
 #: A list of two words of more lines than LONG (as many as a rare word's list may hold) is compared in blocks of BLOCK x
-#: BLOCK lines.
-LONG, BLOCK = 128, 2048
+#: BLOCK lines, of which BAND meet the others at a time: numbers of all their pairs take a hundred MB.
+LONG, BLOCK, BAND = 128, 2048, 512
 #: Postings of rare words that a task holds before it passes them on; pairs of them that are compared at once.
 HELD, AT_ONCE = 1_000_000, 1 << 19
 #: Bits of the signature that candidate pairs are filtered by before their words are joined.
@@ -449,10 +449,13 @@ def block_links(posts: DataFrame, blocked: DataFrame, words_: DataFrame, percent
         keep = often[at]
         early = keep & (pos < until[row]) & (flat != w1)
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        shared = overlaps(row[keep], slot[at[keep]], len(d), left, right)
-        earlier = overlaps(row[early], slot[at[early]], len(d), left, right)
-        total = size[left][:, None] + size[right][None, :]
-        ok = (100 * shared >= percent * (total - shared)) & (earlier == 0) & has[left][:, None] & has[right][None, :]
+        ok = has[left][:, None] & has[right][None, :]
+        for first in range(0, len(left), BAND):
+            band = left[first : first + BAND]
+            shared = overlaps(row[keep], slot[at[keep]], len(d), band, right)
+            earlier = overlaps(row[early], slot[at[early]], len(d), band, right)
+            total = size[band][:, None] + size[right][None, :]
+            ok[first : first + BAND] &= (100 * shared >= percent * (total - shared)) & (earlier == 0)
         place = np.empty(len(d), dtype=np.int64)
         place[np.lexsort((line, d))] = np.arange(len(d))
         if i == j:

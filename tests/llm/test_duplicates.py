@@ -1,6 +1,7 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -165,6 +166,19 @@ def test_rare_words_lists_are_brute_force(spark, monkeypatch):
         assert got == matches(rows) and sum(n for _, n in got.values()) > 100
 
 
+def test_blocks_are_compared_within_a_few_times_their_result():
+    rng = np.random.default_rng(1)
+    at = np.unique(np.stack([rng.integers(0, 2048, 40_000), rng.integers(0, 9_000, 40_000)], axis=1), axis=0)
+    ones = np.zeros((2048, 9_000), np.float32)
+    ones[at[:, 0], at[:, 1]] = 1
+    left, right = np.arange(1024), np.arange(1024, 2048)
+    tracemalloc.start()
+    found = common.overlaps(at[:, 0], at[:, 1], 2048, left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found == ones[left] @ ones[right].T).all() and peak < 6 * found.nbytes
+
+
 def test_numbers_come_back_from_their_buckets(spark):
     rng = np.random.default_rng(4)
     key, place = rng.integers(-40, 40, 5000) * (1 << 57), np.arange(5000, dtype=np.uint32)
