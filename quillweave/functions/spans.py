@@ -24,11 +24,11 @@ def remove_overlaps(spans: Column) -> Column:
 def token_tags(offsets: Column, spans: Column) -> Column:
     """array<int>: for each token (struct<start,end>) the index of its tag: begin or inside of the first span that it
     overlaps, outside, or IGNORED_TAG for empty tokens."""
-    hit = lambda o: F.coalesce(F.array_min(F.transform(spans, lambda s, i: F.when((o["start"] < s["end"]) & (o["end"] > s["start"]), i))), F.lit(-1))
-    which = F.transform(offsets, lambda o: F.when(o["start"] == o["end"], F.lit(-2)).otherwise(hit(o)))
-    begin = lambda k: F.element_at(F.create_map(*(x for t in S.ENTITY_TYPES for x in (F.lit(t), F.lit(S.TAGS.index(f"B-{t}"))))), F.element_at(spans, k + 1)["label"])
-    tag = lambda w, k, i: F.when(k == -2, S.IGNORED_TAG).when(k == -1, 0).otherwise(begin(F.greatest(k, F.lit(0))) + F.when((i > 0) & (F.get(w, i - 1) == k), 1).otherwise(0))
-    return let(which, lambda w: F.transform(w, lambda k, i: tag(w, k, i)))
+    hit = lambda ss, o: F.coalesce(F.array_min(F.transform(ss, lambda s, i: F.when((o["start"] < s["end"]) & (o["end"] > s["start"]), i))), F.lit(-1))
+    which = lambda ss: F.transform(offsets, lambda o: F.when(o["start"] == o["end"], F.lit(-2)).otherwise(hit(ss, o)))
+    begin = lambda ss, k: F.element_at(F.create_map(*(x for t in S.ENTITY_TYPES for x in (F.lit(t), F.lit(S.TAGS.index(f"B-{t}"))))), F.element_at(ss, k + 1)["label"])
+    tag = lambda ss, w, k, i: F.when(k == -2, S.IGNORED_TAG).when(k == -1, 0).otherwise(begin(ss, F.greatest(k, F.lit(0))) + F.when((i > 0) & (F.get(w, i - 1) == k), 1).otherwise(0))
+    return let(spans, lambda ss: let(which(ss), lambda w: F.transform(w, lambda k, i: tag(ss, w, k, i))))
 
 
 def decode_tags(offsets: Column, tags: Column, text: Column) -> Column:

@@ -143,3 +143,11 @@ def test_candidate_pairs_and_marks(spark):
     assert tuple(one) == ("[E1] APOE [/E1] raises [E2] AD [/E2] risk", "[E2] APOE [/E2] raises [E1] AD [/E1] risk", "[E2] AAAA [/E2][E1] BBBB [/E1]")
     with pytest.raises(Exception, match="overlap"):
         spark.range(1).select(SP.mark_entities(text, span(0, 4), span(2, 6))).collect()
+
+
+def test_token_tags_work_their_spans_out_once(spark):
+    df = spark.sql("SELECT array(struct(0 AS start, 4 AS end), struct(5 AS start, 7 AS end)) AS o, array(1, 2) AS t")
+    spans = F.when(F.col("t") != F.array(F.lit(12345)), SP.decode_tags(F.col("o"), F.col("t"), F.lit("APOE e4")))
+    tagged = df.select(SP.token_tags(F.col("o"), spans).alias("tags"))
+    assert tagged.first()[0] == [1, 2]
+    assert tagged._jdf.queryExecution().analyzed().toString().count("12345") == 1
