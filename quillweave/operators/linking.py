@@ -17,9 +17,11 @@ SINGULAR_PENALTY = 3
 def lexicon_index(lexicon: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(type, key, entity_id, name): of the entries that share a key, the one of lowest priority, then the first read.
 
-    `wanted` (type, key) restricts the index before it is aggregated; it is usually far smaller than the vocabulary.
+    `wanted` (type, key) restricts the index before it is aggregated; it is usually far smaller than the vocabulary. Exploding keeps
+    rows without keys, here and below, until a condition on the key drops them: else the planner filters by the size of the keys
+    before, and works them out once more, for mentions even in each of them, below the aggregation.
     """
-    keyed = lexicon.select("type", "entity_id", "name", "priority", "ordinal", F.posexplode(lookup_keys(F.col("surface"))).alias("rank", "key")).where("key <> ''")
+    keyed = lexicon.select("type", "entity_id", "name", "priority", "ordinal", F.posexplode_outer(lookup_keys(F.col("surface"))).alias("rank", "key")).where("key <> ''")
     if wanted is not None:
         keyed = keyed.join(wanted.select("type", "key").distinct(), ["type", "key"], "left_semi")
     best = F.min(F.struct((F.col("priority") + SINGULAR_PENALTY * F.col("rank")).alias("p"), "ordinal", "rank", "entity_id", "name"))
@@ -65,7 +67,7 @@ def resolve_mentions(mentions: DataFrame, lexicon: DataFrame, carry: list[str])
     """
     what = ["surface", "type", "long_form"]
     asked = mentions.groupBy(*what).agg(F.count("*").alias("n")).withColumn("keys", candidate_keys(F.col("surface"), F.col("long_form")))
-    tried = asked.select(*what, F.posexplode("keys").alias("rank", "key"))
+    tried = asked.select(*what, F.posexplode_outer("keys").alias("rank", "key"))
     index = lexicon_index(lexicon, tried)
     hit = tried.join(index, ["type", "key"]).groupBy(*what).agg(F.min(F.struct("rank", "entity_id", "name")).alias("hit"))
     hit = hit.select(F.col("surface").alias("_s"), F.col("type").alias("_t"), F.col("long_form").alias("_l"), "hit")

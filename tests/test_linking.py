@@ -64,6 +64,16 @@ def test_frequent_mentions_are_resolved_alike(spark, monkeypatch):
     assert most < 200
 
 
+def test_keys_are_made_once_a_name(spark, tmp_path):
+    """No filter by the number of keys goes below the aggregation, where it would make the keys of every mention."""
+    spark.createDataFrame([(str(i), f"x {i % 3}", "Gene", None) for i in range(9)], "pmid string, surface string, type string, long_form string").write.parquet(str(tmp_path / "mentions"))
+    lex(spark, ("Gene", "x 1", "G1", "X 1", 0)).write.parquet(str(tmp_path / "lexicon"))
+    found = linking.resolve_mentions(spark.read.parquet(str(tmp_path / "mentions")), spark.read.parquet(str(tmp_path / "lexicon")), ["pmid"])
+    assert sorted((r.pmid, r.entity_id) for r in found.collect()) == sorted((str(i), "G1" if i % 3 == 1 else f"gene-text:{i % 3} x") for i in range(9))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert [] == [line for line in plan.splitlines() if "Filter" in line and "size(" in line]
+
+
 def test_corpus_abbreviations(spark):
     rows = [("1", "CD", "atopic dermatitis"), ("2", "CD", "Crohn disease"), ("3", "CD", "Crohn's disease"), ("2", "PD", "b one"), ("1", "PD", "a one")]
     got = linking.corpus_abbreviations(spark.createDataFrame(rows, "pmid string, short string, long string")).collect()
