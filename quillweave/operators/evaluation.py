@@ -64,16 +64,36 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
 
 
+def _scored(each: DataFrame, cases: dict[str, tuple[Column, Column, Column]]) -> DataFrame:
+    """Rows (measure, tp, fp, fn, precision, recall, f1): for each case the sums of three numbers over the rows, all in one pass."""
+    total = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    sums = each.agg(*(F.struct(*(total(c).alias(k) for k, c in zip("abc", three, strict=True))).alias(name) for name, three in cases.items()))
+    rows = sums.select(F.explode(F.array(*(F.struct(F.lit(n).alias("measure"), f"{n}.a", f"{n}.b", f"{n}.c") for n in cases))).alias("r")).select("r.*")
+    return rows.select("measure", *prf(F.col("a"), F.col("b"), F.col("c")))
+
+
+def _against(gold: Column, predicted: Column) -> tuple[Column, Column, Column]:
+    return gold & predicted, ~gold & predicted, gold & ~predicted
+
+
 def document_level(candidates: DataFrame, gold: DataFrame) -> DataFrame:
     """Rows (measure, counts and scores) of classified candidates (pmid, head_key, tail_key, label, confidence, ordinal)
     against all gold relations (pmid, id1, id2, label): `binary`, `typed`, and `ceiling`, whose recall is the share of gold
-    pairs that are candidates at all. Of a pair's positive predictions the surest counts, then the first."""
-    pairs = candidates.select("pmid", *_pair("head_key", "tail_key"), "label", "confidence", "ordinal")
-    best = pairs.where(F.col("label") != S.NO_RELATION).groupBy("pmid", "x", "y").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "ordinal", "label")).alias("b")).select("pmid", "x", "y", F.col("b.label").alias("label"))
-    truth = gold.select("pmid", *_pair("id1", "id2"), "label").distinct()
-    keys = ["pmid", "x", "y"]
-    name = lambda df, n: df.select(F.lit(n).alias("measure"), "*")
-    return name(set_prf(truth.select(*keys), best.select(*keys), keys), "binary").union(name(set_prf(truth, best, [*keys, "label"]), "typed")).union(name(set_prf(truth.select(*keys), pairs.select(*keys), keys), "ceiling"))
+    pairs that are candidates at all. Of a pair's positive predictions the surest counts, then the first.
+
+    Both sides are put together and dealt by document once; what a label has in a pair, and then what a pair has, comes of the rows as
+    they lie, and all three measures of that.
+    """
+    order = F.struct((-F.col("confidence")).alias("c"), "ordinal")
+    truth = gold.select("pmid", *_pair("id1", "id2"), "label", F.lit(1).alias("g"), F.lit(0).alias("p"))
+    pairs = candidates.select("pmid", *_pair("head_key", "tail_key"), "label", F.lit(0).alias("g"), F.lit(1).alias("p"), F.when(F.col("label") != S.NO_RELATION, order).alias("o"))
+    rows = dealt(truth.unionByName(pairs, allowMissingColumns=True), "pmid")
+    labels = rows.groupBy("pmid", "x", "y", "label").agg(F.max("g").alias("g"), F.max("p").alias("p"), F.min("o").alias("o"))
+    best = F.min(F.when(F.col("o").isNotNull(), F.struct("o", "label", "g"))).alias("best")
+    each = labels.groupBy("pmid", "x", "y").agg(F.sum("g").alias("n"), F.max("p").alias("p"), best)
+    is_gold, found, right = F.col("n") > 0, F.col("best").isNotNull(), F.coalesce("best.g", F.lit(0))
+    typed = (right, found.cast("int") - right, F.col("n") - right)
+    return _scored(each, {"binary": _against(is_gold, found), "typed": typed, "ceiling": _against(is_gold, F.col("p") > 0)})
 
 
 def strip_prefix(entity_id: Column) -> Column:

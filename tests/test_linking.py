@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -298,3 +299,26 @@ def test_scores(spark):
     m = evaluation.span_metrics(spark.createDataFrame([(0, 0, 4, "Gene"), (0, 5, 7, "Disease"), (1, 0, 2, "Gene")], span), spark.createDataFrame([(0, 0, 4, "Gene"), (0, 5, 8, "Disease"), (1, 0, 2, "Gene"), (1, 3, 4, "Gene")], span))
     assert {r.label: r[1:4] for r in m.collect()}[None] == (2, 2, 1)
     assert evaluation.cooccurrence_baseline(cand).select("label").distinct().first()[0] == "Association"
+
+
+def test_document_scores_read_each_side_once(spark, tmp_path):
+    """One pass over both sides gives what sets of keys give, with repeated, reversed and null values."""
+    pick = random.Random(5)
+    label, key = (lambda: pick.choice(["Association", "Positive_Correlation", S.NO_RELATION, None])), (lambda: pick.choice("abc"))
+    cand = [(str(i % 20), key(), key(), label(), pick.choice([0.2, 0.6, 0.9, None]), i) for i in range(150)]
+    gold = [(str(i % 23), key(), key(), label()) for i in range(70)]
+    spark.createDataFrame(cand, "pmid string, head_key string, tail_key string, label string, confidence double, ordinal int").write.parquet(str(tmp_path / "cand"))
+    spark.createDataFrame(gold, "pmid string, id1 string, id2 string, label string").write.parquet(str(tmp_path / "gold"))
+    read = lambda n: spark.read.parquet(str(tmp_path / n))
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("FileScan")
+    pair = lambda r: (r[0], *sorted(r[1:3]))
+    compared = lambda g, p: (len(g & p), len(p - g), len(g - p))
+
+    best: dict = {}
+    for r in (r for r in cand if r[3] not in (S.NO_RELATION, None)):
+        mine = (r[4] is not None, -(r[4] or 0), r[5], r[3])
+        best[pair(r)] = min(best.get(pair(r), mine), mine)
+    truth, every = {pair(r) for r in gold}, {pair(r) for r in cand}
+    want = {"binary": compared(truth, set(best)), "typed": compared({(*pair(r), r[3]) for r in gold}, {(*k, b[3]) for k, b in best.items()}), "ceiling": compared(truth, every)}
+    found = evaluation.document_level(read("cand"), read("gold"))
+    assert {r.measure: tuple(r[1:4]) for r in found.collect()} == want and scans(found) == 2
