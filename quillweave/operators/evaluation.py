@@ -111,11 +111,10 @@ def normalization_accuracy(resolved: DataFrame) -> DataFrame:
 
 def pipeline_relations(gold: DataFrame, relations: DataFrame, min_confidence: float = S.MIN_CONFIDENCE) -> DataFrame:
     """`model` and `cooccurrence` scores of extracted relations (pmid, head_id, tail_id, label, confidence) against gold
-    relations (pmid, id1, id2), as unordered pairs of bare ids in a document."""
+    relations (pmid, id1, id2), as unordered pairs of bare ids in a document. Both sides are put together and dealt by document once."""
     bare = relations.select("pmid", strip_prefix(F.col("head_id")).alias("a"), strip_prefix(F.col("tail_id")).alias("b"), "label", "confidence")
-    keys = ["pmid", "x", "y"]
-    truth = gold.select("pmid", *_pair("id1", "id2"))
-    found = bare.select("pmid", *_pair("a", "b"), "label", "confidence")
-    sure = found.where((F.col("label") != S.NO_RELATION) & (F.col("confidence") >= min_confidence))
-    name = lambda df, n: df.select(F.lit(n).alias("measure"), "*")
-    return name(set_prf(truth, sure.select(*keys), keys), "model").union(name(set_prf(truth, found.select(*keys), keys), "cooccurrence"))
+    sure = F.coalesce((F.col("label") != S.NO_RELATION) & (F.col("confidence") >= min_confidence), F.lit(False))
+    truth = gold.select("pmid", *_pair("id1", "id2"), F.lit(True).alias("g"), F.lit(False).alias("p"), F.lit(False).alias("sure"))
+    found = bare.select("pmid", *_pair("a", "b"), F.lit(False).alias("g"), F.lit(True).alias("p"), sure.alias("sure"))
+    each = dealt(truth.unionByName(found), "pmid").groupBy("pmid", "x", "y").agg(*(F.max(c).alias(c) for c in ("g", "p", "sure")))
+    return _scored(each, {"model": _against(F.col("g"), F.col("sure")), "cooccurrence": _against(F.col("g"), F.col("p"))})

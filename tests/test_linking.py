@@ -322,3 +322,8 @@ def test_document_scores_read_each_side_once(spark, tmp_path):
     want = {"binary": compared(truth, set(best)), "typed": compared({(*pair(r), r[3]) for r in gold}, {(*k, b[3]) for k, b in best.items()}), "ceiling": compared(truth, every)}
     found = evaluation.document_level(read("cand"), read("gold"))
     assert {r.measure: tuple(r[1:4]) for r in found.collect()} == want and scans(found) == 2
+
+    rel = read("cand").select("pmid", F.concat(F.lit("MESH:"), "head_key").alias("head_id"), F.col("tail_key").alias("tail_id"), "label", "confidence")
+    sure = {pair(r) for r in cand if r[3] not in (S.NO_RELATION, None) and (r[4] or 0) >= 0.5}
+    found = evaluation.pipeline_relations(read("gold"), rel, 0.5)
+    assert {r.measure: tuple(r[1:4]) for r in found.collect()} == {"model": compared(truth, sure), "cooccurrence": compared(truth, every)} and scans(found) == 2
