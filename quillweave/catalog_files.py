@@ -150,8 +150,7 @@ def ner_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _corpus(spark, sf_dir)
-    return _plain(extract.relation_examples(c.documents, c.entities, c.relations))
+    return _plain(extract.annotated_examples(_corpus(spark, sf_dir).blocks))
 
 
 _KEY = "head_id || '|' || tail_id || '|' || label"

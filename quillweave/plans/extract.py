@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from quillweave.functions.language import nlp_scope
 from quillweave.functions.sentences import document_sentences
 from quillweave.operators import linking
 from quillweave.operators.shared import dealt
+from quillweave.sources.pubtator import annotations
 
 
 class Tagger(Protocol):
@@ -126,3 +129,56 @@ def relation_examples(documents: DataFrame, gold_entities: DataFrame, gold_relat
         "pmid", F.col("index").alias("sentence_index"), SP.mark_entities(F.col("text"), F.col("p.head"), F.col("p.tail")).alias("text"), F.col("p.head.key").alias("head_key"), F.col("p.tail.key").alias("tail_key"),
         F.col("p.head.label").alias("head_type"), F.col("p.tail.label").alias("tail_type"), F.coalesce("f.label", F.lit(S.NO_RELATION)).alias("label"),
     )
+
+
+_EXAMPLE = {"pmid": pa.string(), "sentence_index": pa.int32(), "text": pa.string(), "head_key": pa.string(), "tail_key": pa.string(), "head_type": pa.string(), "tail_type": pa.string(), "label": pa.string()}
+_EXAMPLES = "pmid string, sentence_index int, text string, head_key string, tail_key string, head_type string, tail_type string, label string"
+#: Examples of a batch.
+ROWS = 2000
+
+
+def annotated_examples(blocks: DataFrame) -> DataFrame:
+    """The rows of `relation_examples` for an annotated corpus (pubtator.Corpus.blocks): as all that a pair needs stands in its document's
+    block, documents are read once and nothing is joined. Blocks with the same number are documents of their own."""
+    read = blocks.select("pmid", F.concat("title", F.lit(" "), "abstract").alias("text"), "rows", document_sentences(F.col("title"), F.col("abstract")).alias("s"))
+    return read.select("pmid", "text", "rows", F.transform("s", lambda s: s["start"]).alias("starts"), F.transform("s", lambda s: s["end"]).alias("ends")).mapInArrow(_examples, _EXAMPLES)
+
+
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _EXAMPLE.values(), strict=True)], list(_EXAMPLE))
+    found: list[tuple] = []
+    for given in batches:
+        for document in zip(*(c.to_pylist() for c in given.columns), strict=True):
+            for row in _pairs(*document):
+                found.append(row)
+                if len(found) >= ROWS:
+                    yield batch(found)
+                    found = []
+    if found:
+        yield batch(found)
+
+
+def _pairs(pmid: str, text: str, rows: list[str], starts: list[int], ends: list[int]) -> Iterator[tuple]:
+    """The examples of one document, whose sentences are in order and don't overlap."""
+    known = annotations(text, rows)
+    inside: dict[int, list[tuple]] = {}
+    for entity in known.entities:
+        k = bisect_right(starts, entity[0]) - 1
+        while k >= 0 and ends[k] >= entity[1]:
+            inside.setdefault(k, []).append(entity)
+            k -= 1
+    for k in sorted(inside):
+        first: dict[str, tuple] = {}
+        for entity in sorted(inside[k], key=lambda e: e[0]):
+            first.setdefault(entity[3], entity)
+        ordered = sorted(first.values(), key=lambda e: (S.HEAD_ORDER[e[2]], e[0]))
+        for i, head in enumerate(ordered):
+            for tail in ordered[i + 1 :]:
+                if head[2] != tail[2] and (head[1] <= tail[0] or tail[1] <= head[0]):
+                    yield pmid, k, _marked(text, starts[k], ends[k], head, tail), head[3], tail[3], head[2], tail[2], known.relations.get(frozenset((head[3], tail[3])), S.NO_RELATION)
+
+
+def _marked(text: str, start: int, end: int, head: tuple, tail: tuple) -> str:
+    """A sentence with both spans in their marks, as spans.mark_entities gives it."""
+    (a, am), (b, bm) = ((head, S.HEAD_MARKS), (tail, S.TAIL_MARKS)) if head[0] < tail[0] else ((tail, S.TAIL_MARKS), (head, S.HEAD_MARKS))
+    return f"{text[start : a[0]]}{am[0]} {text[a[0] : a[1]]} {am[1]}{text[a[1] : b[0]]}{bm[0]} {text[b[0] : b[1]]} {bm[1]}{text[b[1] : end]}"

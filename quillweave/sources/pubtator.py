@@ -18,11 +18,12 @@ from quillweave.functions.spans import in_scope
 @dataclass
 class Corpus:
     """documents (pmid, title, abstract), entities (pmid, ordinal, start, end, text, label, ids) and relations (pmid,
-    ordinal, id1, id2, label)."""
+    ordinal, id1, id2, label); blocks (pmid, title, abstract, rows) is all of it, a document a row, for what needs no more than one."""
 
     documents: DataFrame
     entities: DataFrame
     relations: DataFrame
+    blocks: DataFrame
 
 
 def _check(ok: Column, value: Column, message: Column, kind: str) -> Column:
@@ -64,7 +65,36 @@ def parse(files: DataFrame) -> Corpus:
     known = lambda k: types.select("pmid", F.col("id").alias(f"id{k}"), F.col("type").alias(f"type{k}"))
     named = fields.where(size == 5).select("pmid", "ordinal", at(2).alias("id1"), at(3).alias("id2"), _mapped(at(1), S.CORPUS_RELATION_TYPES).alias("label")).where(F.col("label").isNotNull())
     relations = named.join(known(1), ["pmid", "id1"]).join(known(2), ["pmid", "id2"]).where(in_scope(F.col("type1"), F.col("type2"))).select("pmid", "ordinal", "id1", "id2", "label")
-    return Corpus(heads.select("pmid", "title", "abstract"), entities, relations)
+    return Corpus(heads.select("pmid", "title", "abstract"), entities, relations, heads)
+
+
+@dataclass
+class Annotations:
+    """entities (start, end, label, key) of a document, one for each id, in order, and relations {pair of ids: label}, the first of each."""
+
+    entities: list[tuple[int, int, str, str]]
+    relations: dict[frozenset[str], str]
+
+
+def annotations(text: str, rows: list[str]) -> Annotations:
+    """The annotations in a block's rows, by the rules of `parse`, in time that grows with their number."""
+    entities, raw, types = [], [], {}
+    for row in rows:
+        f = row.split("\t")
+        if len(f) == 5:
+            raw.append(f)
+        elif label := S.CORPUS_ENTITY_TYPES.get(f[4]):
+            if not all(n.isascii() and n.isdigit() and len(n) < 10 for n in f[1:3]) or text[int(f[1]) : int(f[2])] != f[3]:
+                raise ValueError(f"not at its offsets: {f[3]}")
+            for key in f[5].split(","):
+                if key not in ("", "-"):
+                    entities.append((int(f[1]), int(f[2]), label, key))
+                    types[key] = label
+    relations: dict[frozenset[str], str] = {}
+    for _, kind, a, b, _ in raw:
+        if (label := S.CORPUS_RELATION_TYPES.get(kind)) and a in types and b in types and types[a] != types[b]:
+            relations.setdefault(frozenset((a, b)), label)
+    return Annotations(entities, relations)
 
 
 _PIECES = "file string, at long, whole boolean, value string"

@@ -1,6 +1,7 @@
 import gzip
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,6 +111,33 @@ def test_corpus(spark):
         pubtator.read_split(spark, "Extra", "/nowhere")
 
 
+def test_annotated_examples_are_those_of_the_joins(spark):
+    """The same rows without a join, from documents of many sentences, entities at the same place, of several ids and over the end of a sentence."""
+    names, kinds = ("NOD2", "CD", "tau", "Fe"), ("GeneOrGeneProduct", "DiseaseOrPhenotypicFeature", "ChemicalEntity", "OrganismTaxon")
+    blocks = []
+    for d in range(40):
+        title, abstract = f"{names[d % 4]} in {names[d % 3]}.", " ".join(f"{names[(d + i) % 4]} binds {names[(d * i) % 4]} é\U0001f600 {names[i % 3]}{'.' if i % 3 else ''}" for i in range(d % 7))
+        text, rows = f"{title} {abstract}", []
+        for m in re.finditer("NOD2|CD|tau|Fe", text):
+            ids = (names[len(rows) % 3], "-", m[0], f"{m[0]},{d % 5}")[len(rows) % 4]
+            rows.append(f"{d}\t{m.start()}\t{m.end()}\t{m[0]}\t{kinds[(names.index(m[0]) + (d % 11 == len(rows))) % 4]}\t{ids}")
+        if len(text) > 20:
+            rows.append(f"{d}\t3\t{len(text)}\t{text[3:]}\tChemicalEntity\tlong")
+        rows += [f"{d}\t{('Bind', 'Association', 'Odd', 'Negative_Correlation')[(d + i) % 4]}\t{names[i % 4]}\t{names[(i + d) % 4]}\tNo" for i in range(6)]
+        blocks.append("\n".join([f"{d}|t|{title}", f"{d}|a|{abstract}", *rows]))
+    c = pubtator.parse(spark.createDataFrame([("\n\n".join(blocks),)], "value string"))
+    want, got = extract.relation_examples(c.documents, c.entities, c.relations), extract.annotated_examples(c.blocks)
+    assert want.dtypes == got.dtypes
+    rows = sorted(map(str, want.collect()))
+    assert sorted(map(str, got.collect())) == rows and len(rows) > 100 and {r.label for r in got.collect()} >= {"None", "Association"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    twice = pubtator.parse(spark.createDataFrame([(f"{BLOCK}\n\n{BLOCK}",)], "value string")).blocks
+    assert extract.annotated_examples(twice).count() == 2
+    with pytest.raises(Exception, match="not at its offsets"):
+        extract.annotated_examples(pubtator.parse(spark.createDataFrame([(BLOCK.replace("7\t0\t4", "7\t1\t4"),)], "value string")).blocks).collect()
+
+
 def test_corpus_files_are_read_by_ranges(spark, tmp_path):
     """A file that is cut at any place gives the blocks of the whole file; no task makes one row of it."""
     gaps = ["\n\n", "\n \n", "\n\n\n", "\n\t\n\n \n", "\n\u2003\n"]
