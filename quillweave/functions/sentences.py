@@ -50,11 +50,14 @@ def sentences(text: Column) -> Column:
     Full stops of short words are held first, then the ends that count are marked and the text is split there, so work grows with the
     text's length alone: every sentence is cut out of the text once. Offsets are sums of lengths, as they count code points. The marks
     can stand for any sign that is neither blank nor capital, so where the text holds one it is another of that kind meanwhile, and the
-    sentences are read from the text itself.
+    sentences are read from the text itself. A text in which no sentence could end before its own end is one sentence.
     """
     plain = F.coalesce(text, F.lit(""))
+    body = F.ltrim(plain, F.lit(BLANKS))
+    start, trimmed = F.length(plain) - F.length(body), F.rtrim(body, F.lit(BLANKS))
+    one = F.array(F.struct(start.alias("start"), (start + F.length(trimmed)).alias("end"), trimmed.alias("text")))
     strange = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.substring(plain, s["start"] + 1, s["end"] - s["start"]).alias("text"))
-    return F.when(plain.rlike(f"[{MARK}{HOLD}]"), F.transform(_placed(F.translate(plain, MARK + HOLD, "\x03\x03")), strange)).otherwise(_placed(plain))
+    return F.when(~plain.rlike(END), F.when(trimmed == "", F.slice(one, 1, 0)).otherwise(one)).when(plain.rlike(f"[{MARK}{HOLD}]"), F.transform(_placed(F.translate(plain, MARK + HOLD, "\x03\x03")), strange)).otherwise(_placed(plain))
 
 
 def sentence_spans(text: Column) -> Column:
